@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from barmart.functions.numeric import percent_move, percent_spread, ratio
 from barmart.functions.regime import regime_label
 from barmart.operators.ranking import rank_values
-from barmart.operators.rsi import SPAN, index_parts, join_earlier_blocks, settle_rsi
-from barmart.operators.series import BLOCK, CORE, along, calendar_bounded, cut_series, over_series, trailing
+from barmart.operators.rsi import index_parts, seed_columns, with_index
+from barmart.operators.series import along, over_series, trailing
 from barmart.schemas import Bars
 
 MEAN_ROWS = (7, 14, 30)
@@ -97,28 +97,25 @@ def add_bands(df: DataFrame, bars: Bars = Bars()) -> DataFrame:
     )
 
 
-def add_daily_ranking(df: DataFrame, bars: Bars = Bars()) -> DataFrame:
+def add_daily_ranking(df: DataFrame, bars: Bars = Bars(), dates_fit: bool = False) -> DataFrame:
     """Rank, dense rank and percent rank by size, largest first, among the bars of one date."""
     names = {"rank": "rank_by_mcap", "dense_rank": "dense_rank_by_mcap", "percent_rank": "pct_rank_by_mcap"}
-    return rank_values(df, [bars.time], bars.size, names)
+    return rank_values(df, [bars.time], bars.size, names, dates_fit)
 
 
 def add_regime(df: DataFrame, name: str = "market_regime") -> DataFrame:
     return df.withColumn(name, regime_label(F.col("pct_change_7d"), F.col("high_low_spread_pct"), F.col("rsi_14")))
 
 
-def enrich(df: DataFrame, bars: Bars = Bars()) -> DataFrame:
-    """All features of a bar table: one exchange by key for the series, one by date for the ranking."""
-    builders = (rolling_columns, deviation_columns, vwap_columns, momentum_columns)
+def enrich(df: DataFrame, bars: Bars = Bars(), dates_fit: bool = False) -> DataFrame:
+    """All features of a bar table: one exchange by key for the series, and the ranking by date.
 
-    def step(rows: DataFrame, part: list[str]) -> DataFrame:
+    ``dates_fit``: every date is known to hold few enough bars for one task (``groups_fit``).
+    """
+    builders = (rolling_columns, deviation_columns, vwap_columns, momentum_columns, seed_columns)
+
+    def parts(rows: DataFrame, part: list[str]) -> DataFrame:
         framed = rows.withColumns({k: c for build in builders for k, c in build(part, bars).items()})
         return index_parts(framed, part, bars)
 
-    ranked = add_daily_ranking(df, bars)
-    if calendar_bounded(df, bars):
-        series = settle_rsi(step(ranked, [bars.key]), "rsi_14")
-    else:
-        parts = step(cut_series(ranked, bars, SPAN), [bars.key, BLOCK])
-        series = settle_rsi(join_earlier_blocks(parts, bars), "rsi_14").filter(CORE).drop(BLOCK, CORE)
-    return add_regime(series)
+    return add_regime(with_index(add_daily_ranking(df, bars, dates_fit), bars, parts, "rsi_14"))

@@ -48,7 +48,7 @@ class _Pass:
         bad_rows, total = self.count(bad), F.col("total")
         share = F.coalesce(ratio(bad_rows, total), F.lit(0.0))
         details = F.format_string(text, bad_rows, total)
-        self.results.append(_result(F.lit(name), share <= limit, F.round(share, 4), limit, details))
+        self.results.append(_result(F.lit(name), share <= limit, F.bround(share, 4), limit, details))
 
     def forbid(self, name: str, bad: Column, text: str) -> None:
         bad_rows = self.count(bad)
@@ -153,10 +153,10 @@ def check_regime_shares(
     details = F.format_string(
         "Regime '%s' dominates %.1f%% of days for %s — consider retuning classifier thresholds",
         F.coalesce(F.col(regime), F.lit("None")),
-        rate * 100,
+        F.bround(rate * 100, 1),
         owner,
     )
-    row = _result(F.concat(F.lit("regime_distribution_"), owner), F.lit(False), F.round(rate, 4), limit, details)
+    row = _result(F.concat(F.lit("regime_distribution_"), owner), F.lit(False), F.bround(rate, 4), limit, details)
     return dominant_regimes(df, key, regime, limit).select(F.inline(F.array(row))).to(QUALITY_REPORT)
 
 

@@ -5,28 +5,49 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+# A group of at most this many rows may be ranked by one task.
+GROUP_ROWS = 4_000_000
+
 # Slots per unit of ln; with the double range this allows at most some 10^5 slots per group.
 SLOTS_PER_LOG = 64
 SLOT_SCALE = 1e6
 LARGEST = 1e300
 
 
+def groups_fit(df: DataFrame, group: list[str | Column], limit: int = GROUP_ROWS) -> bool:
+    """Measure (one pre-aggregated count): does every group hold at most ``limit`` rows?"""
+    sizes = df.groupBy(*group).agg(F.count("*").alias("rows"))
+    return (sizes.agg(F.max("rows")).first()[0] or 0) <= limit
+
+
 def value_slot(value: Column) -> Column:
-    """A coarse bucket that never decreases as ``value`` grows; NaN ranks above all numbers."""
+    """A coarse bucket that never decreases as ``value`` grows; NaN ranks above all numbers, null has none."""
     size = F.log1p(F.least(F.abs(value), F.lit(LARGEST)) * SLOT_SCALE) * SLOTS_PER_LOG
     slot = F.floor(size).cast("int")
-    return F.when(F.isnan(value), F.lit(2**30)).when(value < 0, -slot).otherwise(slot)
+    return F.when(F.isnan(value), F.lit(2**30)).when(value < 0, -slot).when(value >= 0, slot)
 
 
-def rank_values(df: DataFrame, group: list[str], value: str, names: dict[str, str]) -> DataFrame:
+def rank_values(df: DataFrame, group: list[str], value: str, names: dict[str, str], fits: bool = False) -> DataFrame:
     """Add rank, dense rank and percent rank by ``value`` descending (nulls last) within ``group``.
 
-    ``names`` maps the wanted ones to column names. A window over the group would put all
-    its rows into one task. Instead the distinct values are counted (pre-aggregated before
-    the exchange, so equal values cost one row per task), ranked inside slots of similar
-    values, and shifted by what the slots above hold. Only the slot totals of a group, a
-    bounded number, meet in one window. The rows then look their rank up by
-    (group, value), where a value shared by many rows can be split like any skewed join key.
+    ``names`` maps the wanted kinds to column names. ``fits`` says that no group is too
+    large for one task, as measured by ``groups_fit``; otherwise groups are split.
+    """
+    if not fits:
+        return _rank_split(df, group, value, names)
+    within = Window.partitionBy(*group).orderBy(F.desc_nulls_last(value))
+    kinds = {"rank": F.rank(), "dense_rank": F.dense_rank(), "percent_rank": F.percent_rank()}
+    return df.withColumns({name: kinds[k].over(within) for k, name in names.items()})
+
+
+def _rank_split(df: DataFrame, group: list[str], value: str, names: dict[str, str]) -> DataFrame:
+    """Rank without ever bringing a group together.
+
+    The distinct values are counted (pre-aggregated before the exchange, so equal values
+    cost one row per task), ranked inside slots of similar values, and shifted by what the
+    slots above hold. Only the slot totals of a group, a bounded number, meet in one
+    window. The rows then look their rank up by (group, value), where a value shared by
+    many rows can be split like any skewed join key.
     """
     counted = (
         df.groupBy(*group, value)

@@ -16,14 +16,17 @@ forward without a limit on the gap.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barmart.functions.numeric import ratio
 from barmart.operators.series import BLOCK, CORE, along, calendar_bounded, cut_series
 from barmart.schemas import Bars
 
-SPAN = 4096
+SPAN_BITS = 12
+SPAN = 1 << SPAN_BITS
 DECAY = 13.0 / 14.0
 MIN_CHANGES = 14
 NEUTRAL = 50.0
@@ -32,27 +35,39 @@ _SEEN, _HELD = "_changes_seen", "_held_index"
 _WORK = ["_row", "_change", "_span", "_up", "_down", "_span_end"]
 
 
+def seed_columns(part: list[str], bars: Bars) -> dict[str, Column]:
+    """Row number and change of the close: what ``index_parts`` starts from."""
+    close = F.nanvl(F.col(bars.close).cast("double"), F.lit(None).cast("double"))
+    series = along(part, bars)
+    return {"_row": F.row_number().over(series) - 1, "_change": close - F.lag(close).over(series)}
+
+
 def add_rsi(df: DataFrame, bars: Bars = Bars(), name: str = "rsi_14") -> DataFrame:
+    def parts(rows: DataFrame, part: list[str]) -> DataFrame:
+        return index_parts(rows.withColumns(seed_columns(part, bars)), part, bars)
+
+    return with_index(df, bars, parts, name)
+
+
+def with_index(df: DataFrame, bars: Bars, parts: Callable[[DataFrame, list[str]], DataFrame], name: str) -> DataFrame:
+    """Run ``parts`` (which must end in ``index_parts``) per series, cut into blocks where needed."""
     if calendar_bounded(df, bars):
-        return settle_rsi(index_parts(df, [bars.key], bars), name)
-    parts = index_parts(cut_series(df, bars, SPAN), [bars.key, BLOCK], bars)
-    return settle_rsi(join_earlier_blocks(parts, bars), name).filter(CORE).drop(BLOCK, CORE)
+        return settle_rsi(parts(df, [bars.key]), name)
+    blocks = parts(cut_series(df, bars, SPAN), [bars.key, BLOCK])
+    return settle_rsi(join_earlier_blocks(blocks, bars), name).filter(CORE).drop(BLOCK, CORE)
 
 
 def index_parts(df: DataFrame, part: list[str], bars: Bars) -> DataFrame:
     """Add the number of changes seen so far and the index held at the last real change.
 
-    In a cut series both count core rows only: history rows lack their own history.
+    Expects the seed columns. In a cut series both count core rows only: history rows
+    lack their own history.
     """
     core = F.col(CORE) if CORE in df.columns else F.lit(True)
-    close = F.nanvl(F.col(bars.close).cast("double"), F.lit(None).cast("double"))
-    series = along(part, bars)
-    stepped = df.withColumns(
-        {"_row": F.row_number().over(series) - 1, "_change": close - F.lag(close).over(series)}
-    ).withColumn("_span", F.floor(F.col("_row") / SPAN))
+    stepped = df.withColumn("_span", F.shiftright("_row", SPAN_BITS))
 
     # From here every window sorts by (part, span, time), so one sort serves them all.
-    place = F.pmod("_row", F.lit(SPAN))
+    place = F.col("_row").bitwiseAND(SPAN - 1)
     growth = F.pow(F.lit(1 / DECAY), place)
     so_far = Window.partitionBy(*part, "_span").orderBy(bars.time).rowsBetween(Window.unboundedPreceding, 0)
     change = F.col("_change")

@@ -10,7 +10,7 @@ from barmart.functions.numeric import percent_move, ratio
 from barmart.functions.regime import UNKNOWN
 from barmart.operators.features import add_bands
 from barmart.operators.joins import attach_lookup
-from barmart.operators.ranking import rank_values, top_per_key
+from barmart.operators.ranking import groups_fit, rank_values, top_per_key
 from barmart.schemas import Bars
 
 
@@ -43,9 +43,16 @@ def weekly_bars(silver: DataFrame, bars: Bars = Bars()) -> DataFrame:
     return weekly.withColumn("weekly_return_pct", percent_move(F.col("week_close"), F.col("week_open")))
 
 
-def weekly_rankings(silver: DataFrame, bars: Bars = Bars()) -> DataFrame:
+def weeks_fit(silver: DataFrame, bars: Bars = Bars()) -> bool:
+    """Measure whether one task can rank a week: it has no more weekly bars than bars."""
+    day = F.col(bars.time)
+    return groups_fit(silver, [iso_year(day), iso_week(day)])
+
+
+def weekly_rankings(silver: DataFrame, bars: Bars = Bars(), fits: bool = False) -> DataFrame:
+    """Weekly bars ranked by return within their week; ``fits`` as measured by ``weeks_fit``."""
     week = ["iso_year", "iso_week"]
-    ranked = rank_values(weekly_bars(silver, bars), week, "weekly_return_pct", {"rank": "weekly_rank"})
+    ranked = rank_values(weekly_bars(silver, bars), week, "weekly_return_pct", {"rank": "weekly_rank"}, fits)
     return ranked.orderBy(*week, "weekly_rank", bars.key)
 
 

@@ -16,6 +16,7 @@ from barmart.operators.features import enrich
 from barmart.operators.joins import join_bars
 from barmart.operators.layout import partition_skew, rows_per_key
 from barmart.operators.quality import quality_report, summarise
+from barmart.operators.ranking import groups_fit
 from barmart.plans import gold
 from barmart.schemas import Bars
 from barmart.sources.lookup import coin_lookup
@@ -28,7 +29,7 @@ LAYERS = ("bronze", "quality", "silver", "gold")
 SOURCES = {"ohlc": read_ohlc, "market": read_market}
 GOLD_TABLES = {
     "gold_daily_summary": lambda silver, lookup, bars: gold.daily_summary(silver, lookup, bars),
-    "gold_weekly_rankings": lambda silver, lookup, bars: gold.weekly_rankings(silver, bars),
+    "gold_weekly_rankings": lambda silver, lookup, bars: gold.weekly_rankings(silver, bars, gold.weeks_fit(silver, bars)),
     "gold_volatility_report": lambda silver, lookup, bars: gold.volatility_report(silver, bars),
     "gold_regime_summary": lambda silver, lookup, bars: gold.regime_summary(silver, bars),
 }
@@ -82,7 +83,8 @@ def build_bronze(spark: SparkSession, places: Places) -> dict[str, int]:
 def build_silver(spark: SparkSession, places: Places, bars: Bars) -> dict[str, int]:
     prices = read_table(spark, places.table("bronze_ohlc"), places.fmt)
     measures = read_table(spark, places.table("bronze_market"), places.fmt)
-    enriched = enrich(join_bars(prices, measures, bars), bars)
+    # The join keeps one bar per (key, date), so a date holds no more rows than in the measures.
+    enriched = enrich(join_bars(prices, measures, bars), bars, groups_fit(measures, [bars.time]))
     return {"silver_enriched": write_table(enriched, places.table("silver_enriched"), (bars.key,), places.fmt)}
 
 

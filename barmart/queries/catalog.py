@@ -7,9 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barmart.functions.calendar import with_calendar
+from barmart.functions.calendar import iso_week, iso_year, with_calendar
 from barmart.functions.regime import regime_label
 from barmart.operators import cleaning, features, joins, layout, quality
+from barmart.operators.ranking import groups_fit
 from barmart.operators.rsi import add_rsi
 from barmart.plans import gold
 from barmart.plans.layers import clean
@@ -40,11 +41,13 @@ def _rounded(df: DataFrame, *columns: str) -> DataFrame:
     return df.select(*[F.round(c, DIGITS[c]).alias(c) if c in DIGITS else F.col(c) for c in wanted])
 
 
+def _days_fit(spark: SparkSession, sf_dir: str) -> bool:
+    """A day has no more supplier bars than line items shipped."""
+    return groups_fit(inputs.table(spark, sf_dir, "lineitem"), ["l_shipdate"])
+
+
 def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    joined = joins.join_bars(
-        inputs.supplier_prices(spark, sf_dir), inputs.supplier_measures(spark, sf_dir), newest=[]
-    )
-    return features.enrich(joined)
+    return features.enrich(inputs.supplier_bars(spark, sf_dir), dates_fit=_days_fit(spark, sf_dir))
 
 
 # --- features ---------------------------------------------------------------------------
@@ -82,6 +85,12 @@ def daily_rankings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(features.add_daily_ranking(inputs.supplier_bars(spark, sf_dir)), *_RANKED)
 
 
+@_query
+def daily_rankings_fitting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bars = inputs.supplier_bars(spark, sf_dir)
+    return _rounded(features.add_daily_ranking(bars, dates_fit=_days_fit(spark, sf_dir)), *_RANKED)
+
+
 @_query
 def daily_rankings_tied(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(features.add_daily_ranking(inputs.event_bars(spark, sf_dir)), *_RANKED)
@@ -264,7 +273,16 @@ def limit_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def silver_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(_silver(spark, sf_dir))
+    prices, measures = inputs.supplier_prices(spark, sf_dir), inputs.supplier_measures(spark, sf_dir)
+    joined = joins.join_bars(prices, measures, one_per_day=False)
+    return _rounded(features.enrich(joined, dates_fit=_days_fit(spark, sf_dir)))
+
+
+@_query
+def silver_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver as planned where nothing bounds a series or a date: time stamps, and split rankings."""
+    bars = inputs.supplier_bars(spark, sf_dir).withColumn("event_date", F.col("event_date").cast("timestamp"))
+    return _rounded(features.enrich(bars)).withColumn("event_date", F.to_date("event_date"))
 
 
 @_query
@@ -285,7 +303,9 @@ def daily_summary_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def weekly_rankings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(gold.weekly_rankings(inputs.supplier_bars(spark, sf_dir)))
+    day = F.col("l_shipdate")
+    fits = groups_fit(inputs.table(spark, sf_dir, "lineitem"), [iso_year(day), iso_week(day)])
+    return _rounded(gold.weekly_rankings(inputs.supplier_bars(spark, sf_dir), fits=fits))
 
 
 @_query

@@ -177,7 +177,7 @@ _SILVER_CHECKED = _NULL_CHECKED + (
 
 def _null_rate(column: str, source: str) -> str:
     return f"""SELECT 'null_rate_{column}' AS check_name, avg(CASE WHEN {column} IS NULL THEN 1.0 ELSE 0.0 END) <= 0.05 AS passed,
-       round(avg(CASE WHEN {column} IS NULL THEN 1.0 ELSE 0.0 END), 4) AS metric_value, CAST(0.05 AS DOUBLE) AS threshold,
+       round_even(avg(CASE WHEN {column} IS NULL THEN 1.0 ELSE 0.0 END), 4) AS metric_value, CAST(0.05 AS DOUBLE) AS threshold,
        CAST(count(*) - count({column}) AS VARCHAR) || '/' || CAST(count(*) AS VARCHAR) || ' nulls in ''{column}''' AS details
 FROM {source}"""
 
@@ -192,13 +192,13 @@ FROM {source}"""
 def _zero_volume(source: str) -> str:
     bad = "count(*) FILTER (WHERE total_volume_usd IS NULL OR total_volume_usd = 0)"
     return f"""SELECT 'zero_volume_rate' AS check_name, {bad} / count(*) <= 0.02 AS passed,
-       round({bad} / count(*), 4) AS metric_value, CAST(0.02 AS DOUBLE) AS threshold,
+       round_even({bad} / count(*), 4) AS metric_value, CAST(0.02 AS DOUBLE) AS threshold,
        CAST({bad} AS VARCHAR) || '/' || CAST(count(*) AS VARCHAR) || ' rows with zero/null volume' AS details
 FROM {source}"""
 
 
 def _regime_rows(source: str, limit: float) -> str:
-    return f"""SELECT 'regime_distribution_' || coin_id AS check_name, false AS passed, round(regime_rate, 4) AS metric_value,
+    return f"""SELECT 'regime_distribution_' || coin_id AS check_name, false AS passed, round_even(regime_rate, 4) AS metric_value,
        CAST({limit} AS DOUBLE) AS threshold,
        'Regime ''' || market_regime || ''' dominates ' || printf('%.1f', regime_rate * 100) || '% of days for '
          || coin_id || ' — consider retuning classifier thresholds' AS details
@@ -269,7 +269,7 @@ SELECT * FROM prices JOIN measures USING (coin_id, event_date)""",
     + "SELECT coin_id, event_date, close, ticker, category FROM bars JOIN lookup USING (coin_id)",
     # bronze
     "date_columns": """
-SELECT event_id, epoch_ms(ts) AS timestamp_ms, epoch_ms(epoch_ms(ts)) AS event_ts, CAST(ts AS DATE) AS event_date,
+SELECT event_id, epoch_us(ts) // 1000 AS timestamp_ms, epoch_ms(epoch_us(ts) // 1000) AS event_ts, CAST(ts AS DATE) AS event_date,
        CAST(year(ts) AS INTEGER) AS event_year, CAST(month(ts) AS INTEGER) AS event_month
 FROM events""",
     "quarantine_bad": _with(_RAW_ORDERS)
@@ -383,3 +383,7 @@ averaged AS (
     + """SELECT count(*) FILTER (WHERE passed) AS passed, count(*) FILTER (WHERE NOT passed) AS failed,
        count(*) AS total FROM results""",
 }
+
+# The same results by another plan.
+ORACLES["daily_rankings_fitting"] = ORACLES["daily_rankings"]
+ORACLES["silver_split"] = ORACLES["silver_enriched"]
