@@ -16,7 +16,7 @@ from barmart.functions.numeric import percent_move, percent_spread, ratio
 from barmart.functions.regime import regime_label
 from barmart.operators.ranking import rank_values
 from barmart.operators.rsi import index_parts, seed_columns, with_index
-from barmart.operators.series import along, over_series, trailing
+from barmart.operators.series import along, calendar_bounded, over_series, trailing
 from barmart.schemas import Bars
 
 MEAN_ROWS = (7, 14, 30)
@@ -28,6 +28,7 @@ BAND_WIDTH = 2.0
 VOLATILITY_ROWS = 30
 PERIODS_PER_YEAR = 365
 LONGEST_FRAME = 30
+RANK_NAMES = {"rank": "rank_by_mcap", "dense_rank": "dense_rank_by_mcap", "percent_rank": "pct_rank_by_mcap"}
 
 Columns = dict[str, Column]
 
@@ -97,10 +98,11 @@ def add_bands(df: DataFrame, bars: Bars = Bars()) -> DataFrame:
     )
 
 
-def add_daily_ranking(df: DataFrame, bars: Bars = Bars(), dates_fit: bool = False) -> DataFrame:
+def add_daily_ranking(
+    df: DataFrame, bars: Bars = Bars(), dates_fit: bool = False, values_from: DataFrame | None = None
+) -> DataFrame:
     """Rank, dense rank and percent rank by size, largest first, among the bars of one date."""
-    names = {"rank": "rank_by_mcap", "dense_rank": "dense_rank_by_mcap", "percent_rank": "pct_rank_by_mcap"}
-    return rank_values(df, [bars.time], bars.size, names, dates_fit)
+    return rank_values(df, [bars.time], bars.size, RANK_NAMES, dates_fit, values_from)
 
 
 def add_regime(df: DataFrame, name: str = "market_regime") -> DataFrame:
@@ -118,4 +120,13 @@ def enrich(df: DataFrame, bars: Bars = Bars(), dates_fit: bool = False) -> DataF
         framed = rows.withColumns({k: c for build in builders for k, c in build(part, bars).items()})
         return index_parts(framed, part, bars)
 
-    return add_regime(with_index(add_daily_ranking(df, bars, dates_fit), bars, parts, "rsi_14"))
+    def ranked(rows: DataFrame) -> DataFrame:
+        return add_daily_ranking(rows, bars, dates_fit, values_from=df)
+
+    # Rank while rows are narrow; but a cut series is evaluated twice, so there rank it afterwards.
+    if calendar_bounded(df, bars):
+        enriched = with_index(ranked(df), bars, parts, "rsi_14")
+    else:
+        enriched = ranked(with_index(df, bars, parts, "rsi_14"))
+    computed = [c for c in enriched.columns if c not in df.columns and c not in RANK_NAMES.values() and c != "rsi_14"]
+    return add_regime(enriched.select(*df.columns, *computed, *RANK_NAMES.values(), "rsi_14"))

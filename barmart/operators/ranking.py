@@ -27,20 +27,30 @@ def value_slot(value: Column) -> Column:
     return F.when(F.isnan(value), F.lit(2**30)).when(value < 0, -slot).when(value >= 0, slot)
 
 
-def rank_values(df: DataFrame, group: list[str], value: str, names: dict[str, str], fits: bool = False) -> DataFrame:
+def rank_values(
+    df: DataFrame,
+    group: list[str],
+    value: str,
+    names: dict[str, str],
+    fits: bool = False,
+    values_from: DataFrame | None = None,
+) -> DataFrame:
     """Add rank, dense rank and percent rank by ``value`` descending (nulls last) within ``group``.
 
     ``names`` maps the wanted kinds to column names. ``fits`` says that no group is too
     large for one task, as measured by ``groups_fit``; otherwise groups are split.
+    ``values_from`` may name a cheaper table with the same groups and values to count.
     """
     if not fits:
-        return _rank_split(df, group, value, names)
+        return _rank_split(df, df if values_from is None else values_from, group, value, names)
     within = Window.partitionBy(*group).orderBy(F.desc_nulls_last(value))
     kinds = {"rank": F.rank(), "dense_rank": F.dense_rank(), "percent_rank": F.percent_rank()}
     return df.withColumns({name: kinds[k].over(within) for k, name in names.items()})
 
 
-def _rank_split(df: DataFrame, group: list[str], value: str, names: dict[str, str]) -> DataFrame:
+def _rank_split(
+    df: DataFrame, values_from: DataFrame, group: list[str], value: str, names: dict[str, str]
+) -> DataFrame:
     """Rank without ever bringing a group together.
 
     The distinct values are counted (pre-aggregated before the exchange, so equal values
@@ -50,7 +60,7 @@ def _rank_split(df: DataFrame, group: list[str], value: str, names: dict[str, st
     many rows can be split like any skewed join key.
     """
     counted = (
-        df.groupBy(*group, value)
+        values_from.groupBy(*group, value)
         .agg(F.count("*").alias("_rows"))
         .withColumn("_slot", value_slot(F.col(value).cast("double")))
     )

@@ -56,15 +56,17 @@ def weekly_rankings(silver: DataFrame, bars: Bars = Bars(), fits: bool = False)
     return ranked.orderBy(*week, "weekly_rank", bars.key)
 
 
+def volatility(silver: DataFrame, bars: Bars = Bars()) -> DataFrame:
+    """Annualised volatility and Bollinger bands of each bar."""
+    used = [bars.key, bars.time, bars.close, "pct_change_1d", "rsi_14", "market_regime"]
+    return add_bands(silver.select(*used), bars).select(
+        bars.key, bars.time, bars.close, "annualized_vol_pct", "bb_sma_20", "bb_upper", "bb_lower",
+        "bb_pct_b", "bb_bandwidth", "rsi_14", "market_regime",
+    )
+
+
 def volatility_report(silver: DataFrame, bars: Bars = Bars()) -> DataFrame:
-    return (
-        add_bands(silver.select(bars.key, bars.time, bars.close, "pct_change_1d", "rsi_14", "market_regime"), bars)
-        .select(
-            bars.key, bars.time, bars.close, "annualized_vol_pct", "bb_sma_20", "bb_upper", "bb_lower",
-            "bb_pct_b", "bb_bandwidth", "rsi_14", "market_regime",
-        )
-        .orderBy(bars.key, bars.time)
-    )
+    return volatility(silver, bars).orderBy(bars.key, bars.time)
 
 
 def regime_summary(silver: DataFrame, bars: Bars = Bars()) -> DataFrame:
@@ -87,6 +89,6 @@ def regime_summary(silver: DataFrame, bars: Bars = Bars()) -> DataFrame:
 
 
 def most_volatile(report: DataFrame, bars: Bars = Bars(), rows: int = 5) -> DataFrame:
-    """The most volatile bars of each key, most volatile first."""
-    volatility = "annualized_vol_pct"
-    return top_per_key(report, bars.key, volatility, rows, [bars.time]).orderBy(bars.key, F.desc(volatility), bars.time)
+    """The most volatile bars of each key, most volatile first; ``report`` may come in any order."""
+    by = "annualized_vol_pct"
+    return top_per_key(report, bars.key, by, rows, [bars.time]).orderBy(bars.key, F.desc(by), bars.time)

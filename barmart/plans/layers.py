@@ -45,11 +45,17 @@ class Outcome:
 
 @dataclass(frozen=True)
 class Places:
-    """Where the layers read and write."""
+    """Where and how the layers read and write.
+
+    Bronze and silver are partitioned by ``partition_by``: the key by default, which suits
+    up to some thousands of keys; with more, use ("event_year",) or (), as every key would
+    become a directory of small files.
+    """
 
     raw: str
     out: str
     fmt: str = "parquet"
+    partition_by: tuple[str, ...] = ("coin_id",)
 
     def table(self, name: str) -> str:
         return f"{self.out}/{name}"
@@ -73,7 +79,7 @@ def build_bronze(spark: SparkSession, places: Places) -> dict[str, int]:
         name = f"bronze_{source}"
         watched = rows.observe(seen, F.count_if(lacks_key()).alias("rejected"))
         good = clean(watched).drop("_corrupt_record")
-        stored[name] = write_table(good, places.table(name), ("coin_id",), places.fmt)
+        stored[name] = write_table(good, places.table(name), places.partition_by, places.fmt)
         if seen.get["rejected"]:
             log.warning("%s: rows without key set aside", source)
             append_table(rejected_rows(rows), places.table(f"quarantine/{source}"))
@@ -85,7 +91,8 @@ def build_silver(spark: SparkSession, places: Places, bars: Bars) -> dict[str, i
     measures = read_table(spark, places.table("bronze_market"), places.fmt)
     # The join keeps one bar per (key, date), so a date holds no more rows than in the measures.
     enriched = enrich(join_bars(prices, measures, bars), bars, groups_fit(measures, [bars.time]))
-    return {"silver_enriched": write_table(enriched, places.table("silver_enriched"), (bars.key,), places.fmt)}
+    path = places.table("silver_enriched")
+    return {"silver_enriched": write_table(enriched, path, places.partition_by, places.fmt)}
 
 
 def build_gold(
@@ -140,13 +147,14 @@ def run(
     lookup: DataFrame | None = None,
     fmt: str = "parquet",
     keep_silver: bool = False,
+    partition_by: tuple[str, ...] = ("coin_id",),
 ) -> dict[str, Outcome]:
     """Run the requested layers in order; one whose parent failed is left out.
 
     ``layers`` is any subset of bronze, quality, silver, gold and layout. Quality runs
     on the bronze tables and again on silver. A layer not requested counts as done.
     """
-    places = Places(raw, out, fmt)
+    places = Places(raw, out, fmt, partition_by)
     both = ("bronze_ohlc", "bronze_market")
     plan: list[tuple[str, str, str, Callable[[], dict[str, int]]]] = [
         ("bronze", "bronze", "", lambda: build_bronze(spark, places)),

@@ -320,7 +320,7 @@ def volatility_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def topk_volatility(spark: SparkSession, sf_dir: str) -> DataFrame:
-    top = gold.most_volatile(gold.volatility_report(_silver(spark, sf_dir)))
+    top = gold.most_volatile(gold.volatility(_silver(spark, sf_dir)))
     return _rounded(top, *BAR_ID, "close", "annualized_vol_pct", "rsi_14", "market_regime")
 
 

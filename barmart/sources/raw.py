@@ -36,6 +36,6 @@ def read_market(spark: SparkSession, raw: str) -> DataFrame:
 
 def read_payloads(spark: SparkSession, raw: str, kind: str) -> DataFrame:
     """Whole response bodies laid out like the raw zone: coin_id (directory name), payload, lineage."""
-    files = _lineage(spark.read.option("wholetext", True).text(f"{raw}/{kind}/*/*.json"))
+    files = _lineage(spark.read.text(f"{raw}/{kind}/*/*.json", wholetext=True))
     key = F.regexp_extract("_source_file", r"([^/]+)/[^/]+$", 1)
     return files.withColumnRenamed("value", "payload").withColumn("coin_id", key)
