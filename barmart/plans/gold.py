@@ -11,6 +11,7 @@ from barmart.functions.regime import UNKNOWN
 from barmart.operators.features import add_bands
 from barmart.operators.joins import attach_lookup
 from barmart.operators.ranking import groups_fit, rank_values, top_per_key
+from barmart.operators.series import calendar_bounded
 from barmart.schemas import Bars
 
 
@@ -66,6 +67,13 @@ def volatility(silver: DataFrame, bars: Bars = Bars()) -> DataFrame:
 
 
 def volatility_report(silver: DataFrame, bars: Bars = Bars()) -> DataFrame:
+    """All bars with volatility and bands, sorted.
+
+    Ranges of keys serve both the windows and the final order, so one exchange does, and
+    the sampling it needs reads the stored rows, not the windows.
+    """
+    if calendar_bounded(silver, bars):
+        silver = silver.repartitionByRange(bars.key)
     return volatility(silver, bars).orderBy(bars.key, bars.time)
 
 

@@ -391,4 +391,5 @@ def dq_regime_dominance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def dq_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.summarise(quality.quality_report(features.enrich(inputs.gap_bars(spark, sf_dir))))
+    silver = features.enrich(inputs.gap_bars(spark, sf_dir), dates_fit=_days_fit(spark, sf_dir))
+    return quality.summarise(quality.quality_report(silver))

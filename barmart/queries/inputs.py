@@ -33,7 +33,7 @@ def supplier_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     price = F.floor("l_extendedprice")
     line = F.col("l_orderkey") * 10 + F.col("l_linenumber")
     return table(spark, sf_dir, "lineitem").select(
-        F.col("l_suppkey").cast("string").alias("coin_id"),
+        F.col("l_suppkey").alias("coin_id"),
         F.to_date("l_shipdate").alias("event_date"),
         price.cast("double").alias("price"),
         (line * 200_000 + price).alias("seq"),
@@ -144,7 +144,7 @@ def supplier_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "supplier")
         .filter(F.col("s_suppkey") % 7 != 0)
         .select(
-            F.col("s_suppkey").cast("string").alias("coin_id"),
+            F.col("s_suppkey").alias("coin_id"),
             F.col("s_name").alias("ticker"),
             F.concat(F.lit("nation "), F.col("s_nationkey").cast("string")).alias("category"),
         )

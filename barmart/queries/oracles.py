@@ -6,7 +6,7 @@ from __future__ import annotations
 
 _SUPPLIER_BARS = """
 lines AS (
-  SELECT CAST(l_suppkey AS VARCHAR) AS coin_id, CAST(l_shipdate AS DATE) AS event_date,
+  SELECT l_suppkey AS coin_id, CAST(l_shipdate AS DATE) AS event_date,
          floor(l_extendedprice) AS price, l_quantity AS quantity,
          (l_orderkey * 10 + l_linenumber) * 200000 + CAST(floor(l_extendedprice) AS BIGINT) AS seq
   FROM lineitem),
@@ -42,7 +42,7 @@ lookup AS (
 
 _SUPPLIER_LOOKUP = """
 lookup AS (
-  SELECT CAST(s_suppkey AS VARCHAR) AS coin_id, s_name AS ticker,
+  SELECT s_suppkey AS coin_id, s_name AS ticker,
          'nation ' || CAST(s_nationkey AS VARCHAR) AS category
   FROM supplier WHERE s_suppkey % 7 <> 0)"""
 

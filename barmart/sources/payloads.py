@@ -27,15 +27,18 @@ def zip_market(df: DataFrame, keep: list[str], payload: str = "payload") -> Data
     The time comes from the prices. ``length_mismatch`` tells whether elements were left
     over; an absent array counts as empty.
     """
-    parsed = F.from_json(payload, MARKET_PAYLOAD)
     names = MARKET_PAYLOAD.fieldNames()
-    lists = {n: F.coalesce(parsed[n], F.array().cast(MARKET_PAYLOAD[n].dataType)) for n in names}
+    nothing = F.array().cast(MARKET_PAYLOAD[names[0]].dataType)
     sizes = [F.size(n) for n in names]
     shortest = F.least(*sizes)
-    cut = df.select(*keep, *[c.alias(n) for n, c in lists.items()]).select(
-        *keep,
-        (shortest != F.greatest(*sizes)).alias("length_mismatch"),
-        F.explode(F.arrays_zip(*[F.slice(n, F.lit(1), shortest).alias(n) for n in names])).alias("point"),
+    cut = (
+        df.select(*keep, F.from_json(payload, MARKET_PAYLOAD).alias("body"))
+        .select(*keep, *[F.coalesce(F.col("body")[n], nothing).alias(n) for n in names])
+        .select(
+            *keep,
+            (shortest != F.greatest(*sizes)).alias("length_mismatch"),
+            F.explode(F.arrays_zip(*[F.slice(n, F.lit(1), shortest).alias(n) for n in names])).alias("point"),
+        )
     )
 
     def element(name: str, index: int) -> Column:

@@ -5,15 +5,22 @@ from __future__ import annotations
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from barmart.operators import features
 from barmart.operators.ranking import top_per_key
+from barmart.plans import gold
 from barmart.queries.catalog import QUERIES
 from tests.conftest import plan_of
 
 SF = "/root/testdata/sf0.001"
 
 
+def _stored(bars):
+    """Bars with constant feature columns, as if read from a silver table."""
+    return bars.withColumns({"pct_change_1d": F.lit(1.0), "rsi_14": F.lit(1.0), "market_regime": F.lit("")})
+
+
 def test_series_features_share_one_exchange(steady_bars):
     for add in (features.add_rolling, features.add_vwap, features.add_momentum):
         assert plan_of(add(steady_bars)).count("Exchange") == 1
@@ -51,6 +58,11 @@ def test_top_rows_are_limited_before_the_exchange(steady_bars):
     assert plan.count("WindowGroupLimit") == 2
 
 
+def test_sorted_report_needs_one_exchange(steady_bars):
+    plan = plan_of(gold.volatility_report(_stored(steady_bars)))
+    assert plan.count("Exchange") == plan.count("Exchange rangepartitioning") == 1
+
+
 def test_preview_is_a_bounded_sort(spark):
     assert "TakeOrderedAndProject(limit=10" in plan_of(QUERIES["limit_preview"](spark, SF))
 
