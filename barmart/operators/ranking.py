@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 # A group of at most this many rows may be ranked by one task.
 GROUP_ROWS = 4_000_000
 
-# Slots per unit of ln; with the double range this allows at most some 10^5 slots per group.
-SLOTS_PER_LOG = 64
+# Slots per unit of ln: values in one slot differ by at most 0.4 percent. The double range
+# then allows some 4 * 10^5 slots per group, whatever its size.
+SLOTS_PER_LOG = 256
 SLOT_SCALE = 1e6
 LARGEST = 1e300
 

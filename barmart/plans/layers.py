@@ -17,6 +17,7 @@ from barmart.operators.joins import join_bars
 from barmart.operators.layout import partition_skew, rows_per_key
 from barmart.operators.quality import quality_report, summarise
 from barmart.operators.ranking import groups_fit
+from barmart.operators.series import calendar_bounded
 from barmart.plans import gold
 from barmart.schemas import Bars
 from barmart.sources.lookup import coin_lookup
@@ -91,8 +92,10 @@ def build_silver(spark: SparkSession, places: Places, bars: Bars) -> dict[str, i
     measures = read_table(spark, places.table("bronze_market"), places.fmt)
     # The join keeps one bar per (key, date), so a date holds no more rows than in the measures.
     enriched = enrich(join_bars(prices, measures, bars), bars, groups_fit(measures, [bars.time]))
+    # Uncut series leave each (bounded) key in one task, sorted: one file per key without another exchange.
+    clustered = calendar_bounded(enriched, bars) and places.partition_by == (bars.key,)
     path = places.table("silver_enriched")
-    return {"silver_enriched": write_table(enriched, path, places.partition_by, places.fmt)}
+    return {"silver_enriched": write_table(enriched, path, places.partition_by, places.fmt, clustered)}
 
 
 def build_gold(

@@ -109,6 +109,20 @@ def test_cut_series_give_the_same_features(monkeypatch, series):
     assert not bad, bad[0]
 
 
+def test_cut_intraday_series(monkeypatch, spark):
+    """20,000 bars seven seconds apart: many rows per hour, frames reaching over hours and blocks."""
+    monkeypatch.setattr(series_module, "BLOCK_ROWS", 5000)
+    closes = _random_closes(3, 20_000)
+    df = spark.createDataFrame(list(enumerate(closes)), "i int, close double").select(
+        F.lit("hot").alias("coin_id"), F.timestamp_seconds(1_700_000_000 + F.col("i") * 7).alias("event_date"), "i", "close"
+    )
+    got = features.add_rolling(df.repartition(7)).orderBy("i").toPandas()
+    column = pd.Series(closes, dtype=float)
+    assert list(got.i) == list(range(20_000))
+    for rows in (7, 14, 30):
+        np.testing.assert_allclose(got[f"avg_close_{rows}d"], column.rolling(rows, min_periods=1).mean(), rtol=1e-12)
+
+
 def test_other_column_names(steady_bars):
     renamed = steady_bars.withColumnsRenamed({"coin_id": "sensor", "event_date": "day", "close": "reading"})
     bars = Bars(key="sensor", time="day", close="reading")

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -29,6 +31,9 @@ def test_full_run(spark, finished):
     assert expected <= set(silver.columns)
     assert silver.filter(F.col("event_date") == "2024-01-20").select("close", "rsi_14").first() == (30.5, 100.0)
 
+    for coin in ("bitcoin", "ethereum"):
+        assert len(list(Path(out, "silver_enriched", f"coin_id={coin}").glob("*.parquet"))) == 1
+
     for source in ("ohlc", "market"):
         rejected = spark.read.parquet(f"{out}/quarantine/{source}")
         assert rejected.count() == 3

@@ -58,6 +58,16 @@ def test_top_rows_are_limited_before_the_exchange(steady_bars):
     assert plan.count("WindowGroupLimit") == 2
 
 
+def test_cut_series_never_gather_a_key(steady_bars):
+    """Of a whole key only hourly counts and one row per block meet in one window."""
+    timed = steady_bars.withColumn("event_date", F.col("event_date").cast("timestamp"))
+    lines = [line for line in plan_of(features.enrich(timed)).splitlines() if "Window [" in line]
+    by_key = [line for line in lines if re.search(r"\], \[coin_id#\d+\], \[", line)]
+    assert by_key
+    for line in by_key:
+        assert re.search(r"\[coin_id#\d+\], \[(_hour|_block)#", line), line
+
+
 def test_sorted_report_needs_one_exchange(steady_bars):
     plan = plan_of(gold.volatility_report(_stored(steady_bars)))
     assert plan.count("Exchange") == plan.count("Exchange rangepartitioning") == 1
