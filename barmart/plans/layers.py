@@ -21,13 +21,19 @@ from barmart.operators.series import calendar_bounded
 from barmart.plans import gold
 from barmart.schemas import Bars
 from barmart.sources.lookup import coin_lookup
-from barmart.sources.raw import read_market, read_ohlc
+from barmart.sources.payloads import flatten_ohlc, zip_market
+from barmart.sources.raw import read_market, read_ohlc, read_payloads
 from barmart.sources.tables import append_table, held, read_table, write_table
 
 log = logging.getLogger(__name__)
 
 LAYERS = ("bronze", "quality", "silver", "gold")
 SOURCES = {"ohlc": read_ohlc, "market": read_market}
+ORIGIN = ["coin_id", "_source_file", "_run_id", "_ingested_at"]
+PAYLOAD_SOURCES = {
+    "ohlc": lambda spark, raw: flatten_ohlc(read_payloads(spark, raw, "ohlc"), ORIGIN),
+    "market": lambda spark, raw: zip_market(read_payloads(spark, raw, "market"), ORIGIN),
+}
 GOLD_TABLES = {
     "gold_daily_summary": lambda silver, lookup, bars: gold.daily_summary(silver, lookup, bars),
     "gold_weekly_rankings": lambda silver, lookup, bars: gold.weekly_rankings(silver, bars, gold.weeks_fit(silver, bars)),
@@ -50,13 +56,14 @@ class Places:
 
     Bronze and silver are partitioned by ``partition_by``: the key by default, which suits
     up to some thousands of keys; with more, use ("event_year",) or (), as every key would
-    become a directory of small files.
+    become a directory of small files. ``payloads``: the raw files are whole response bodies.
     """
 
     raw: str
     out: str
     fmt: str = "parquet"
     partition_by: tuple[str, ...] = ("coin_id",)
+    payloads: bool = False
 
     def table(self, name: str) -> str:
         return f"{self.out}/{name}"
@@ -74,7 +81,7 @@ def build_bronze(spark: SparkSession, places: Places) -> dict[str, int]:
     read once; only if there are any are they read again and stored.
     """
     stored = {}
-    for source, read in SOURCES.items():
+    for source, read in (PAYLOAD_SOURCES if places.payloads else SOURCES).items():
         rows = with_calendar(read(spark, places.raw))
         seen = Observation(f"bronze_{source}")
         name = f"bronze_{source}"
@@ -151,13 +158,14 @@ def run(
     fmt: str = "parquet",
     keep_silver: bool = False,
     partition_by: tuple[str, ...] = ("coin_id",),
+    payloads: bool = False,
 ) -> dict[str, Outcome]:
     """Run the requested layers in order; one whose parent failed is left out.
 
     ``layers`` is any subset of bronze, quality, silver, gold and layout. Quality runs
     on the bronze tables and again on silver. A layer not requested counts as done.
     """
-    places = Places(raw, out, fmt, partition_by)
+    places = Places(raw, out, fmt, partition_by, payloads)
     both = ("bronze_ohlc", "bronze_market")
     plan: list[tuple[str, str, str, Callable[[], dict[str, int]]]] = [
         ("bronze", "bronze", "", lambda: build_bronze(spark, places)),

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from barmart.schemas import MARKET_PAYLOAD, OHLC_PAYLOAD
+from barmart.schemas import MALFORMED, MARKET_PAYLOAD, OHLC_PAYLOAD
 
 
 def _millis(value: Column) -> Column:
@@ -13,10 +14,14 @@ def _millis(value: Column) -> Column:
 
 
 def flatten_ohlc(df: DataFrame, keep: list[str], payload: str = "payload") -> DataFrame:
-    """``[[ms, open, high, low, close], ...]`` to one row per inner array; a missing element is null."""
+    """``[[ms, open, high, low, close], ...]`` to one row per inner array; a missing element is null.
+
+    An unreadable body yields one row of nulls, which the key check of bronze sets aside.
+    """
+    bars = F.coalesce(F.from_json(payload, OHLC_PAYLOAD), F.array(F.lit(None).cast(OHLC_PAYLOAD.elementType)))
     bar = F.col("bar")
     prices = [F.get(bar, F.lit(i)).alias(name) for i, name in enumerate(("open", "high", "low", "close"), 1)]
-    return df.select(*keep, F.explode(F.from_json(payload, OHLC_PAYLOAD)).alias("bar")).select(
+    return df.select(*keep, F.explode(bars).alias("bar")).select(
         *keep, _millis(F.get(bar, F.lit(0))).alias("timestamp_ms"), *prices
     )
 
@@ -25,19 +30,22 @@ def zip_market(df: DataFrame, keep: list[str], payload: str = "payload") -> Data
     """Three parallel arrays of ``[ms, value]`` to rows, up to the shortest of the three.
 
     The time comes from the prices. ``length_mismatch`` tells whether elements were left
-    over; an absent array counts as empty.
+    over; an absent array counts as empty. An unreadable body yields one row of nulls.
     """
     names = MARKET_PAYLOAD.fieldNames()
+    readable = T.StructType([*MARKET_PAYLOAD.fields, T.StructField(MALFORMED, T.StringType())])
     nothing = F.array().cast(MARKET_PAYLOAD[names[0]].dataType)
     sizes = [F.size(n) for n in names]
     shortest = F.least(*sizes)
+    points = F.arrays_zip(*[F.slice(n, F.lit(1), shortest).alias(n) for n in names])
+    no_point = F.array(F.struct(*[F.lit(None).cast(MARKET_PAYLOAD[n].dataType.elementType).alias(n) for n in names]))
     cut = (
-        df.select(*keep, F.from_json(payload, MARKET_PAYLOAD).alias("body"))
-        .select(*keep, *[F.coalesce(F.col("body")[n], nothing).alias(n) for n in names])
+        df.select(*keep, F.from_json(payload, readable).alias("body"))
+        .select(*keep, F.col("body")[MALFORMED].alias(MALFORMED), *[F.coalesce(F.col("body")[n], nothing).alias(n) for n in names])
         .select(
             *keep,
             (shortest != F.greatest(*sizes)).alias("length_mismatch"),
-            F.explode(F.arrays_zip(*[F.slice(n, F.lit(1), shortest).alias(n) for n in names])).alias("point"),
+            F.explode(F.when(F.col(MALFORMED).isNull(), points).otherwise(no_point)).alias("point"),
         )
     )
 

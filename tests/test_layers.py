@@ -1,12 +1,13 @@
 from __future__ import annotations
 
+import json
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from barmart.plans.layers import run
-from tests.test_sources import FIRST, SECOND, put, raw_zone  # noqa: F401
+from tests.test_sources import DAY_MS, FIRST, SECOND, START_MS, put, raw_zone  # noqa: F401
 
 
 @pytest.fixture
@@ -71,6 +72,22 @@ def test_unpartitioned_tables(spark, raw_zone, tmp_path):  # noqa: F811
     assert outcomes["silver"].rows == {"silver_enriched": 84}
 
 
+def test_raw_response_bodies(spark, tmp_path):
+    """Bodies as a price service returns them give the same tables as the raw rows would."""
+    days = range(40)
+    for coin, base in (("bitcoin", 100.0), ("solana", 10.0)):
+        bars = [[START_MS + i * DAY_MS, base + i, base + i + 2, base + i - 1, base + i + 1] for i in days]
+        points = [[START_MS + i * DAY_MS, base * 10 + i] for i in days]
+        put(tmp_path / f"ohlc/{coin}/{FIRST}.json", json.dumps(bars))
+        put(tmp_path / f"market/{coin}/{FIRST}.json", json.dumps({"prices": points, "market_caps": points, "total_volumes": points[:35]}))
+    put(tmp_path / f"market/bad/{FIRST}.json", "<html>busy</html>")
+    out = str(tmp_path / "out")
+    outcomes = run(spark, str(tmp_path), out, ("bronze", "silver"), payloads=True)
+    assert outcomes["bronze"].rows == {"bronze_ohlc": 80, "bronze_market": 70}
+    assert outcomes["silver"].rows == {"silver_enriched": 70}
+    assert spark.read.parquet(f"{out}/quarantine/market").count() == 1
+
+
 def test_a_clean_source_leaves_no_quarantine(spark, raw_zone, tmp_path):  # noqa: F811
     for kind in ("ohlc", "market"):
         for folder, runs in (("bad", (FIRST, SECOND)), ("worse", (SECOND,))):

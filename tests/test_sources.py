@@ -75,7 +75,11 @@ def test_ohlc_payload(spark):
     body = json.dumps([[START_MS, 1, 2, 3, 4.5], [START_MS + 1, 5, 6, 7]])
     df = spark.createDataFrame([("a", body), ("empty", "[]"), ("broken", "{")], "coin_id string, payload string")
     got = [tuple(r) for r in flatten_ohlc(df, ["coin_id"]).collect()]
-    assert got == [("a", START_MS, 1.0, 2.0, 3.0, 4.5), ("a", START_MS + 1, 5.0, 6.0, 7.0, None)]
+    assert got == [
+        ("a", START_MS, 1.0, 2.0, 3.0, 4.5),
+        ("a", START_MS + 1, 5.0, 6.0, 7.0, None),
+        ("broken", None, None, None, None, None),
+    ]
 
 
 def test_market_payload_stops_at_the_shortest(spark):
@@ -87,12 +91,14 @@ def test_market_payload_stops_at_the_shortest(spark):
         "absent": {"prices": points([1, 2]), "total_volumes": points([6, 7])},
         "even": {"prices": points([1]), "market_caps": points([2]), "total_volumes": points([3])},
     }
-    df = spark.createDataFrame([(k, json.dumps(v)) for k, v in bodies.items()], "coin_id string, payload string")
+    texts = [(k, json.dumps(v)) for k, v in bodies.items()] + [("broken", "{not")]
+    df = spark.createDataFrame(texts, "coin_id string, payload string")
     got = [tuple(r) for r in zip_market(df, ["coin_id"]).collect()]
     assert got == [
         ("uneven", START_MS, 1.0, 4.0, 6.0, True),
         ("uneven", START_MS + 1, 2.0, 5.0, 7.0, True),
         ("even", START_MS, 1.0, 2.0, 3.0, False),
+        ("broken", None, None, None, None, False),
     ]
 
 
