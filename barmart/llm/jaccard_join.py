@@ -5,13 +5,14 @@ Jaccard distance (one minus similarity) is a metric, and the join works on regio
 1. Equal sets become one representative (the smallest doc_id).
 2. Around the empty set as pivot, where the distance is the set's size, shells of ratio 1/similarity are laid; a set also
    goes to the next shell, since its partner's size is within that ratio. Against pivots of other texts nearly every
-   distance is 1, so a set is only compared with pivots that it can come near: those with which it shares one of its
-   n - ceil(similarity * n) + 1 first shingles. Two sets that link share one of these, whatever the order of shingles, as
-   long as it is the same for all; frequent shingles come last.
-3. In each (shingle, shell) the smallest representative is the pivot; the region of a pivot holds the sets that met it.
-   Distances to the pivot are exact. Sets within the radius are linked to it and so with each other. By the triangle
-   inequality a set beyond twice the radius can't link with those; what lies between is the window: boundary sets, compared
-   with the members whose distance to the pivot differs by no more than the radius.
+   distance is 1, which tells nothing, so a set is only held against pivots that it can come near. Of its shingles in one
+   order (frequent ones last) the first n - ceil(similarity * n) + floor(EXTRA * n) + 1 are looked at: two sets that link
+   share more than similarity * EXTRA * n of these. In each (shingle, shell) the smallest representative is the pivot, and
+   a set belongs to the region of a pivot that it met often enough: with m pivots met in a shell, every partner is met
+   under one of them need / m times or more, by both. So each linked pair meets in a region.
+3. Distances to a region's first member, its centre, are exact. Sets within the radius are linked to it and so with each
+   other. By the triangle inequality a set beyond twice the radius can't link with those; what lies between is the window:
+   boundary sets, compared with the members whose distance to the centre differs by no more than the radius.
 4. What a region leaves open (the sets beyond the radius among each other, and the window against the core) is joined
    the same way again, pivot by pivot. A small region is joined in one task. Of a large one, the distances to the pivot are
    taken row by row, and only what stays open is cut into blocks, every two of which meet in a task of their own.
@@ -25,7 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from barmart.llm.components import components
@@ -36,6 +37,8 @@ from barmart.llm.words import WordCodes, shingle_set
 OFTEN_IN_BATCH = 4
 #: Length of the list of frequent shingles that tasks hold (1 MB). It only decides the order of shingles, never the links.
 FREQUENT = 1 << 16
+#: Share of a set's shingles that is looked at beyond the least number, so that partners must meet several times.
+EXTRA = 0.05
 #: Sets that one task holds of a region; a larger region is dealt to many tasks.
 BLOCK = 512
 
@@ -77,7 +80,7 @@ def shingle_digests(docs: DataFrame, length: int = 5, similarity: float = 0.75)
                 low = xxhash.xxh3_128_intdigest(s.tobytes(), seed)
                 k1.append((low & ((1 << 64) - 1)) - (1 << 63))
                 k2.append((low >> 64) - (1 << 63))
-                keep = len(s) - math.ceil(similarity * len(s) - 1e-9) + 1 if len(s) else 0
+                keep = len(s) - math.ceil(similarity * len(s) - 1e-9) + int(EXTRA * len(s) + 1e-9) + 1 if len(s) else 0
                 if len(frequent) and len(s):
                     late = frequent[np.minimum(np.searchsorted(frequent, s), len(frequent) - 1)] == s
                     s = np.concatenate([s[~late], s[late]])
@@ -177,20 +180,30 @@ def jaccard_links(docs: DataFrame, digests: DataFrame, length: int = 5, similari
     """(representatives, links): (k1, k2, rep) and edges (a, b) between representatives that connect every class."""
     kind = dict(docs.dtypes)["doc_id"]
     known = digests.filter("n > 0 AND doc_id IS NOT NULL")
-    reps = stored(known.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep")), "representatives")
-    chosen = if_small(reps.withColumnRenamed("rep", "doc_id"), reps.count())
+    reps = stored(known.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n")), "representatives")
+    chosen = if_small(reps.select("k1", "k2", F.col("rep").alias("doc_id")), reps.count())
     postings = known.join(chosen, ["k1", "k2", "doc_id"], "left_semi").select(
-        F.explode("first").alias("shingle"), F.col("doc_id").alias("rep"), "n"
+        F.explode("first").alias("shingle"), F.col("doc_id").alias("rep")
     )
     shared = postings.groupBy("shingle").agg(F.count("*").alias("sets")).filter("sets > 1").select("shingle")
+    common = stored(postings.join(shared, "shingle"), "common")
+    need = F.floor(similarity * EXTRA * F.col("n") - 1e-9) + 1
+    able = common.groupBy("rep").agg(F.count("*").alias("have")).join(reps.groupBy("rep").agg(F.min("n").alias("n")), "rep")
+    able = stored(able.withColumn("need", need).filter("have >= need").select("rep", "n", "need"), "able")
+    n_able = able.count()
     shell = F.floor(F.log("n") / F.lit(-math.log(similarity)) + 1e-9)
-    met = stored(
-        postings.join(shared, "shingle").select("shingle", "rep", F.explode(F.array(shell, shell + 1)).alias("shell")), "met"
-    )
+    met = common.join(if_small(able, n_able), "rep").select("shingle", "rep", F.explode(F.array(shell, shell + 1)).alias("shell"))
     pivots = met.groupBy("shingle", "shell").agg(F.min("rep").alias("pivot"), F.max("rep").alias("high")).filter("pivot <> high")
-    region = stored(met.join(pivots.drop("high"), ["shingle", "shell"]).select("pivot", "rep").distinct(), "region")
-    sizes = region.groupBy("pivot").agg(F.count("*").alias("size"))
-    hot = stored(sizes.filter(F.col("size") > BLOCK), "hot")
+    times = met.join(pivots.drop("high"), ["shingle", "shell"]).groupBy("rep", "shell", "pivot").agg(F.count("*").alias("times"))
+    own = Window.partitionBy("rep", "shell")
+    times = times.withColumns({"pivots": F.count("*").over(own), "total": F.sum("times").over(own)})
+    times = times.join(if_small(able, n_able), "rep").filter("total >= need AND times * pivots >= need")
+    region = times.select("pivot", "rep").distinct()
+    region = stored(region, "region")
+    sizes = region.groupBy("pivot").agg(F.count("*").alias("size"), F.min("rep").alias("heart")).filter("size > 1")
+    sizes = stored(sizes, "sizes")
+    n_regions = sizes.count()
+    hot, mild = [if_small(sizes.filter(f"size {op} {BLOCK}").select("pivot", "heart"), n_regions) for op in (">", "<=")]
 
     def with_sets(rows: DataFrame) -> DataFrame:
         """Adds the shingles of `rep`, made again from the texts of just these documents."""
@@ -209,29 +222,26 @@ def jaccard_links(docs: DataFrame, digests: DataFrame, length: int = 5, similari
     def join_regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found, id_kind = [], pa.int64()
         for rows in _groups(batches, 1):
-            ids = [r[1] for r in rows]
-            if rows[0][0] in ids:
-                found += region_links(ids, [r[2] for r in rows], ids.index(rows[0][0]), similarity)
+            found += region_links([r[1] for r in rows], [r[2] for r in rows], 0, similarity)
             if len(found) > 10_000:
                 yield _pairs(found, id_kind)
                 found = []
         yield _pairs(found, id_kind)
 
-    whole = with_sets(region.join(hot, "pivot", "left_anti")).select("pivot", "rep", "shingles")
+    whole = with_sets(region.join(mild, "pivot").drop("heart")).select("pivot", "rep", "shingles")
     links = whole.repartition("pivot").sortWithinPartitions("pivot", "rep").mapInArrow(join_regions, "a long, b long")
 
     # Hot regions: the same steps, with the distances to the pivot and the open rest dealt to many tasks.
-    large = stored(with_sets(region.join(hot.select("pivot"), "pivot")), "large")
-    heart = large.filter("rep = pivot").select("pivot", F.col("shingles").alias("heart"))
-    both = F.size(F.array_intersect("shingles", "heart")).cast("long")
-    union = F.size("shingles") + F.size("heart") - both
-    star = stored(
-        large.filter("rep <> pivot").join(heart, "pivot").select("pivot", "rep", both.alias("both"), union.alias("union")), "star"
-    )
+    large = stored(with_sets(region.join(hot, "pivot")), "large")
+    heart = large.filter("rep = heart").select("pivot", F.col("shingles").alias("around"))
+    both = F.size(F.array_intersect("shingles", "around")).cast("long")
+    union = F.size("shingles") + F.size("around") - both
+    star = large.filter("rep <> heart").join(heart, "pivot")
+    star = stored(star.select("pivot", "heart", "rep", both.alias("both"), union.alias("union")), "star")
     close = 100 * F.col("both") >= round(100 * similarity) * F.col("union")
-    placed = star.select("pivot", "rep", close.alias("core"), (1 - F.col("both") / F.col("union")).alias("far"))
+    placed = star.select("pivot", "heart", "rep", close.alias("core"), (1 - F.col("both") / F.col("union")).alias("far"))
     edge = placed.filter("NOT core").groupBy("pivot").agg(F.min("far").alias("least"))
-    left = placed.join(edge, "pivot").filter(f"NOT core OR far >= least - {1 - similarity} - 1e-9").drop("least")
+    left = placed.join(edge, "pivot").filter(f"NOT core OR far >= least - {1 - similarity} - 1e-9").drop("least", "heart")
     count = left.groupBy("pivot").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
     cut = (
@@ -240,7 +250,7 @@ def jaccard_links(docs: DataFrame, digests: DataFrame, length: int = 5, similari
         .withColumn("mate", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .withColumn("i", F.least("own", "mate"))
         .withColumn("j", F.greatest("own", "mate"))
-        .join(large, ["pivot", "rep"])
+        .join(large.drop("heart"), ["pivot", "rep"])
         .select("pivot", "i", "j", "rep", "core", "far", "shingles")
     )
 
@@ -251,7 +261,7 @@ def jaccard_links(docs: DataFrame, digests: DataFrame, length: int = 5, similari
 
     keys = ["pivot", "i", "j"]
     more = cut.repartition(*keys).sortWithinPartitions(*keys, "rep").mapInArrow(join_blocks, "a long, b long")
-    direct = placed.filter("core").select(F.col("rep").alias("a"), F.col("pivot").alias("b"))
+    direct = placed.filter("core").select(F.col("rep").alias("a"), F.col("heart").alias("b"))
     return reps, links.unionByName(direct).unionByName(more)
 
 
