@@ -26,7 +26,6 @@ OVERLAP = 256
 MEMO = 400_000
 MEMO_CHARS = 40
 MARK = "▁"
-_STABLE = re.compile("[^ ] ")
 
 
 class Counter(dict):
@@ -63,9 +62,10 @@ class Counter(dict):
         """Offsets in `text` at which its tokens begin (the mark before the text counts as offset 0)."""
         offsets, at = [], -1
         for piece in self.model.encode(text, out_type=str):
-            offsets.append(max(at, 0))
             byte = re.fullmatch("<0x([0-9A-F]{2})>", piece)
-            at += (int(byte[1], 16) & 0xC0 != 0x80) if byte else len(piece)
+            inside = byte and int(byte[1], 16) & 0xC0 == 0x80  # a further byte of a character begins where that does
+            offsets.append(max(at - bool(inside), 0))
+            at += 0 if inside else 1 if byte else len(piece)
         return offsets
 
     def huge(self, text: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> int:
@@ -87,17 +87,22 @@ class Counter(dict):
                 if common:
                     break
                 if end == len(text):
-                    return total + self.short(text[start:])
+                    return total + self.last(text, start)
                 width *= 2
                 end = min(len(text), end + width)
             cut = common[-1]
             total += sum(x + start < cut for x in left)
             start = cut + 1  # the space itself is the mark that the next chunk begins with
-        return total + self.short(text[start:])
+        return total + self.last(text, start)
+
+    def last(self, text: str, start: int) -> int:
+        """What is left behind the last cut: the mark of the cut's space alone, if nothing follows it."""
+        return self.short(text[start:]) if start < len(text) else self[""]
 
     def count(self, text: str | None) -> int:
         if not text:
             return 0
+        text = text.replace(MARK, " ")  # the model reads both alike
         return self.huge(text) if len(text) > HUGE else self.short(text)
 
 

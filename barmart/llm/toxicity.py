@@ -80,10 +80,11 @@ def grammar() -> tuple[Transducer, dict[str, float]]:
     report = {(0, "report"): (1, "report")} | {(1, s): (1, s + '"') for s in hot}
     marked = [s + q for s, q in product(hot, ("", '"'))]
     aim = {(0, "target"): (1, "target")} | {(1, s): (1, s + "@") for s in marked}
+    aim |= {(0, s): (2, s) for s in marked if s.startswith("threat")} | {(2, "target"): (1, "aimed")}
     machine = compose(compose(Transducer(0, negate), Transducer(0, report), base), Transducer(0, aim), base)
     worth = {"insult": 1.0, "threat": 0.2}
     factor = {"~": 0.5, '"': 0.6, "@": 1.3}
-    weights = {}
+    weights = {"aimed": 1.3}
     for s, a in product(marked, ("", "@")):
         symbol = s + a
         plain = re.match("[a-z]+", symbol)[0]

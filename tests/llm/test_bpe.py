@@ -1,0 +1,80 @@
+from __future__ import annotations
+
+import hashlib
+import random
+import sys
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from barmart.llm import bpe
+
+from .conftest import SCHEMA, doc_row
+
+PATH = public_tokenizers.path("byte_bpe_50k.json")
+ODD = [
+    "", " ", "  a", "a  b   c\n\n d \t", "it's IT'S we'll 'tis", "x<|endoftext|>y", "<|endoftext|><|endoftext|>", "<|endoftext", "a\x1cb !\x1c! a\x85b a\xa0b\u2003c\u3000 d",
+    "Ünïcödé ßß 漢字かな 한국어 \U0001f600\U0001f9d1\u200d\U0001f680", "½ ² Ⅷ ٣ e\u0301", "a" * 1000, "ab" * 700 + " " * 300 + "!" * 400, "\r\n\r\n x", "\x00\x01", "don't's",
+]
+
+
+@pytest.fixture(scope="module")
+def library():
+    return Tokenizer.from_file(PATH)
+
+
+@pytest.fixture(scope="module")
+def own():
+    return bpe.Bpe(PATH)
+
+
+def texts():
+    rng = random.Random(8)
+    pool = "ab  \n\t'stre.,!?0129äñ漢\u2009\x1f\x85<|endoftext|>"
+    return ODD + ["".join(rng.choice(pool) for _ in range(rng.randrange(1, 200))) for _ in range(400)]
+
+
+def test_ids_equal_the_library(own, library):
+    for text in texts():
+        ids = own.encode(text)
+        assert ids.tolist() == library.encode(text, add_special_tokens=False).ids, text
+        assert own.decode(ids) == library.decode(ids.tolist(), skip_special_tokens=False) == text
+
+
+def test_every_character_equals_the_library(own, library):
+    points = [c for c in range(sys.maxunicode + 1) if not 0xD800 <= c < 0xE000 and (c < 0x3400 or c % 61 == 0)]
+    for at in range(0, len(points), 64):
+        text = "".join(f"a{chr(c)}1{chr(c)} {chr(c)}!" for c in points[at : at + 64])
+        assert own.encode(text).tolist() == library.encode(text, add_special_tokens=False).ids, hex(points[at])
+
+
+def test_long_runs_merge_like_short_ones(own, monkeypatch):
+    rng = random.Random(9)
+    words = ["".join(rng.choice("etaoinshr") for _ in range(rng.randrange(2, 120))).encode() for _ in range(200)]
+    short = [own.merged(w) for w in words]
+    monkeypatch.setattr(bpe, "LONG", 1)
+    assert [own.merged(w) for w in words] == short
+
+
+def test_digests_of_a_table(messy, messy_rows, library):
+    want = []
+    for row in messy_rows:
+        ids = library.encode(row[1] or "", add_special_tokens=False).ids
+        text = library.decode(ids, skip_special_tokens=False)
+        sha = [hashlib.sha256(x).hexdigest() for x in (np.array(ids, "<u4").tobytes(), text.encode())]
+        want.append((str(row[0]), len(ids), *sha))
+    assert sorted((str(r[0]), *r[1:]) for r in bpe.bpe_digests(messy, PATH).collect()) == sorted(want)
+
+
+def test_round_trip_through_tables(spark):
+    rows = [doc_row(k, t) for k, t in enumerate(ODD)] + [doc_row(99, None)]
+    ids = bpe.encoded(spark.createDataFrame(rows, SCHEMA), PATH, ("doc_id", "lang"))
+    assert ids.columns == ["doc_id", "lang", "token_ids"]
+    back = {r.doc_id: r.text for r in bpe.decoded(ids, PATH).collect()}
+    assert back == {k: t for k, t in enumerate(ODD)} | {99: ""}
+
+
+def test_empty_table(no_docs):
+    assert bpe.bpe_digests(no_docs, PATH).collect() == [] and bpe.encoded(no_docs, PATH).collect() == []

@@ -3,7 +3,6 @@ from __future__ import annotations
 import random
 
 import numpy as np
-from collections import defaultdict
 
 from barmart.llm import jaccard_join
 from barmart.llm.components import components
@@ -54,16 +53,11 @@ def test_threshold_is_met_exactly(spark):
     assert result(spark.createDataFrame(rows, SCHEMA)) == brute(rows)
 
 
-def test_join_open_connects_like_all_pairs():
+def test_a_region_is_connected_like_all_pairs():
     rng = random.Random(1)
-    base = [np.array(rng.sample(range(1000), 40), np.uint64) for _ in range(4)]
-    sets = []
-    for k in range(60):
-        s = base[k % 4].copy()
-        s[: rng.randrange(8)] = [2000 + 100 * k + j for j in range(rng.randrange(8), 40)][: 0] or s[: 0].tolist() or s[0]
-        sets.append(np.unique(np.concatenate([s, np.array([5000 + k] * rng.randrange(2), np.uint64)])))
-    ids = list(range(60))
-    links = jaccard_join.region_links(ids, sets, 0, 0.75)
+    base = [rng.sample(range(1000), 40) for _ in range(4)]
+    sets = [np.array(sorted([*base[k % 4][rng.randrange(9) :], *range(5000 + 50 * k, 5000 + 50 * k + rng.randrange(6))]), np.uint64) for k in range(80)]
+    ids = list(range(80))
     group = {i: i for i in ids}
 
     def find(x):
@@ -71,7 +65,9 @@ def test_join_open_connects_like_all_pairs():
             x = group[x]
         return x
 
-    for a, b in links:
+    for a, b in jaccard_join.region_links(ids, sets, 0, 0.75):
+        both = len(set(sets[a].tolist()) & set(sets[b].tolist()))
+        assert 100 * both >= 75 * (len(sets[a]) + len(sets[b]) - both)
         group[find(a)] = find(b)
     for i in ids:
         for j in ids:
@@ -83,7 +79,7 @@ def test_join_open_connects_like_all_pairs():
 def test_components_of_a_long_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(1, 40)] + [(100, 101), (7, 7)], "a long, b long")
     got = {r.vertex: r.root for r in components(edges).collect()}
-    assert got == {**{i: 1 for i in range(2, 41)}, 101: 100} or got == {**{i: 1 for i in range(1, 41)}, 100: 100, 101: 100}
+    assert got == {**{i: 1 for i in range(2, 41)}, 101: 100}
 
 
 def test_one_of_each_keeps_columns_and_null_ids(messy, messy_rows):

@@ -1,0 +1,79 @@
+from __future__ import annotations
+
+import random
+import zlib
+
+import pytest
+
+from barmart.llm import toxicity
+
+from .conftest import SCHEMA, doc_row, prose
+
+
+def corpus():
+    rng = random.Random(11)
+    rows, labels = [], []
+    for k in range(600):
+        words, toxic = prose(rng, 80, 300).split(), int(k % 6 == 0)
+        if toxic:
+            for _ in range(3):
+                words.insert(rng.randrange(len(words)), rng.choice(["grubble", "snorf", f"blarg{rng.choice('aeiou')}ka"]))
+        rows.append(doc_row(k, " ".join(words)))
+        labels.append((k, 1, toxic))
+    return rows, labels
+
+
+def test_held_out_rows(spark):
+    rows, labels = corpus()
+    rows += [doc_row(None, "snorf"), doc_row(900, None), doc_row(901, ""), rows[0]]
+    frame = spark.createDataFrame(labels + [(None, 1, 1), (3, None, None)], "doc_id long, quality int, toxic int")
+    got = toxicity.toxic_scores(spark.createDataFrame(rows, SCHEMA), frame).collect()
+    assert len(got) == len(rows) and all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.3) for r in got)
+    truth = {i: t for i, _, t in labels}
+    held = [r for r in got if r.held_out]
+    assert {r.doc_id for r in held} == {i for i in {r[0] for r in rows} - {None} if zlib.crc32(str(i).encode()) % 4 == 2}
+    known = [r for r in held if r.doc_id in truth]
+    assert sum(r.predicted == truth[r.doc_id] for r in known) >= 0.95 * len(known)
+    assert {r.predicted for r in got if r.doc_id in (900, 901)} == {0}
+
+
+def test_clauses_weigh_context():
+    scorer = toxicity.Scorer({"grubble": 2.0, "blar*": 3.0})
+    plain = scorer.measures("what a grubble")[0]
+    assert plain == pytest.approx(2.0)
+    assert scorer.measures("that is not a grubble")[0] < plain
+    assert scorer.measures("he said what a grubble")[0] < scorer.measures("he what a grubble")[0]
+    assert scorer.measures("you grubble")[0] > plain
+    assert scorer.measures("Never. What a GRUBBLE")[0] == pytest.approx(plain)
+    assert scorer.measures("blarXY, grubble!")[0] == pytest.approx(5.0)
+    assert scorer.measures("agrubble grubbles")[0] == 0
+    assert scorer.measures("we kill you")[0] > scorer.measures("we kill")[0] > 0
+    assert scorer.measures(None) == (0.0, 0.0)
+
+
+def test_composition_equals_running_one_after_the_other():
+    machine, _ = toxicity.grammar()
+    rng = random.Random(1)
+    base = ["insult", "threat", "target", "negation", "report", "other"]
+    for _ in range(100):
+        clause = [rng.choice(base) for _ in range(8)]
+        left, told, aimed, threat, state = 0, False, False, False, machine.start
+        for symbol in clause:
+            want = symbol
+            if symbol in ("insult", "threat"):
+                want += "~" * bool(left) + '"' * told
+                want += "@" * aimed
+            elif symbol == "target" and threat and not aimed:
+                want = "aimed"
+            left = 3 if symbol == "negation" else max(0, left - 1)
+            threat = threat or symbol == "threat"
+            told, aimed = told or symbol == "report", aimed or symbol == "target"
+            state, out = machine.step(state, symbol)
+            assert out == want
+
+
+def test_without_labels_and_without_rows(spark, no_docs):
+    none = spark.createDataFrame([], "doc_id long, toxic int")
+    rows = toxicity.toxic_scores(spark.createDataFrame([doc_row(1, "snorf")], SCHEMA), none).collect()
+    assert [r.predicted for r in rows] == [0]
+    assert toxicity.toxic_scores(no_docs, none).collect() == []
