@@ -89,11 +89,12 @@ def base_statistics(text: Column) -> Column:
 
 def _vectors(rows: DataFrame) -> DataFrame:
     """Adds z0..z3, the transformed statistics in whole units."""
+    words, chars, lines = (F.greatest(F.col(c), F.lit(1)) for c in ("n_words", "word_chars", "n_lines"))
     values = (
-        F.log(F.col("word_chars") / F.col("n_words")),
-        F.log1p(100 * F.col("n_symbols") / F.col("word_chars")),
-        F.col("n_dup_lines") / F.greatest(F.col("n_lines"), F.lit(1)),
-        F.col("n_repeat_words") / F.col("n_words"),
+        F.log(chars / words),
+        F.log1p(100 * F.col("n_symbols") / chars),
+        F.col("n_dup_lines") / lines,
+        F.col("n_repeat_words") / words,
     )
     return rows.withColumns({f"z{j}": F.round(v * UNIT).cast("long") for j, v in zip(_DIMS, values)})
 
