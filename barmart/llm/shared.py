@@ -31,11 +31,29 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def if_small(df: DataFrame, rows: int, most_rows: int = 1 << 20) -> DataFrame:
+#: Rows of narrow keys (some 16 bytes each) up to which a table may be broadcast.
+FEW = 1 << 20
+
+
+def if_small(df: DataFrame, rows: int, most_rows: int = FEW) -> DataFrame:
     """Marks a narrow table for broadcast if its counted rows are few; larger ones are left to a shuffled join."""
     return F.broadcast(df) if rows <= most_rows else df
 
 
+def join_kept(wide: DataFrame, kept: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """Joins wide rows (texts) with a stored table that has unique keys `on`, inner or left.
+
+    If its counted keys are few, they are broadcast first, and only the wide rows that have a partner are exchanged.
+    """
+    if kept.count() > FEW:
+        return wide.join(kept, on, how)
+    keys = F.broadcast(kept.select(*on))
+    met = wide.join(keys, on, "left_semi").join(kept, on)
+    if how == "inner":
+        return met
+    return met.unionByName(wide.join(keys, on, "left_anti"), allowMissingColumns=True)
+
+
 def lists(arrays: list, kind=None) -> pa.ListArray:
     """An Arrow list column from numpy arrays of 64-bit numbers."""
     import numpy as np

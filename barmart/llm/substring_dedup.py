@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barmart.llm.shared import if_small, stored
+from barmart.llm.shared import join_kept, stored
 from barmart.llm.words import STEP, STEP_2, WordCodes, mixed, window_codes
 
 GRAM = 8
@@ -127,6 +127,7 @@ def repeated_spans(docs: DataFrame, length: int = 35, gram: int = GRAM) -> DataF
         .filter("times > 1")
         .select("anchor", (F.col("low") == F.col("high")).alias("alike"))
     )
+    often = stored(often, "often")  # both sides of the join are plain exchanges then, so a hot anchor can be split
     known = stored(rows.join(often, "anchor"), "repeated")
     size = F.col("at").bitwiseAND((1 << MASK_BITS) - 1)
     all_bits = F.expr(f"shiftleft(1L, CAST(at & {(1 << MASK_BITS) - 1} AS INT)) - 1")
@@ -145,7 +146,7 @@ def repeated_spans(docs: DataFrame, length: int = 35, gram: int = GRAM) -> DataF
         ),
         "asked",
     )
-    texts_asked = texts.join(if_small(asked, 16 * asked.count()), ["_t1", "_t2"])
+    texts_asked = join_kept(texts, asked, ["_t1", "_t2"])
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = WordCodes()
@@ -171,7 +172,7 @@ def repeated_spans(docs: DataFrame, length: int = 35, gram: int = GRAM) -> DataF
 
     kinds = "w1 long, w2 long, anchor long, block long, more boolean, off long"
     single = stored(texts_asked.select("_t1", "_t2", "text", "asked").mapInArrow(windows, kinds), "windows")
-    origin = F.struct("anchor", "block", "off")
+    origin = F.xxhash64("anchor", "block", "off")
     twice = (
         single.groupBy("w1", "w2")
         .agg(F.max("more").alias("more"), F.min(origin).alias("low"), F.max(origin).alias("high"))
@@ -190,7 +191,7 @@ def repeated_spans(docs: DataFrame, length: int = 35, gram: int = GRAM) -> DataF
 def _with_spans(docs: DataFrame, length: int) -> DataFrame:
     """The rows as a struct, so that no column of theirs can clash with the working columns; and their spans."""
     rows = docs.select(F.struct("*").alias("_row"), "text")
-    return _with_key(rows).drop("text").join(repeated_spans(docs, length), ["_t1", "_t2"], "left")
+    return join_kept(_with_key(rows).drop("text"), stored(repeated_spans(docs, length), "spans"), ["_t1", "_t2"], "left")
 
 
 def dedup_digests(docs: DataFrame, length: int = 35) -> DataFrame:
