@@ -185,7 +185,7 @@ def jaccard_links(docs: DataFrame, digests: DataFrame, length: int = 5, similari
     postings = known.join(chosen, ["k1", "k2", "doc_id"], "left_semi").select(
         F.explode("first").alias("shingle"), F.col("doc_id").alias("rep")
     )
-    shared = postings.groupBy("shingle").agg(F.count("*").alias("sets")).filter("sets > 1").select("shingle")
+    shared = stored(postings.groupBy("shingle").agg(F.count("*").alias("sets")).filter("sets > 1").select("shingle"), "shared")
     common = stored(postings.join(shared, "shingle"), "common")
     need = F.floor(similarity * EXTRA * F.col("n") - 1e-9) + 1
     able = common.groupBy("rep").agg(F.count("*").alias("have")).join(reps.groupBy("rep").agg(F.min("n").alias("n")), "rep")
