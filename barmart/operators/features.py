@@ -8,6 +8,7 @@ mix of them can share one window node, one sort and one exchange.
 from __future__ import annotations
 
 import math
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -66,11 +67,11 @@ def band_columns(part: list[str], bars: Bars) -> Columns:
 
 
 def _adder(*builders):
-    def add(df: DataFrame, bars: Bars = Bars()) -> DataFrame:
+    def add(df: DataFrame, bars: Bars = Bars(), block_rows: int | None = None) -> DataFrame:
         def step(rows: DataFrame, part: list[str]) -> DataFrame:
             return rows.withColumns({k: c for build in builders for k, c in build(part, bars).items()})
 
-        return over_series(df, bars, LONGEST_FRAME, step)
+        return over_series(df, bars, LONGEST_FRAME, step, block_rows)
 
     return add
 
@@ -99,20 +100,32 @@ def add_bands(df: DataFrame, bars: Bars = Bars()) -> DataFrame:
 
 
 def add_daily_ranking(
-    df: DataFrame, bars: Bars = Bars(), dates_fit: bool = False, values_from: DataFrame | None = None
+    df: DataFrame, bars: Bars = Bars(), dates_fit: bool = False, values_from: DataFrame | None = None, date: str | None = None
 ) -> DataFrame:
-    """Rank, dense rank and percent rank by size, largest first, among the bars of one date."""
-    return rank_values(df, [bars.time], bars.size, RANK_NAMES, dates_fit, values_from)
+    """Rank, dense rank and percent rank by size, largest first, among the bars of one date (``date``, or the time)."""
+    return rank_values(df, [date or bars.time], bars.size, RANK_NAMES, dates_fit, values_from)
 
 
 def add_regime(df: DataFrame, name: str = "market_regime") -> DataFrame:
     return df.withColumn(name, regime_label(F.col("pct_change_7d"), F.col("high_low_spread_pct"), F.col("rsi_14")))
 
 
-def enrich(df: DataFrame, bars: Bars = Bars(), dates_fit: bool = False) -> DataFrame:
+def enrich_days(df: DataFrame, bars: Bars = Bars(), stamp: str = "event_ts") -> DataFrame:
+    """All features where a key and day may have several rows: series run along the time stamp, ranks are those of the day.
+
+    Rows of one time stamp, which the plain join makes of several measures a day, are put in order by all their measures.
+    """
+    ties = tuple(c for c in (bars.size, bars.volume, *bars.prices) if c in df.columns)
+    return enrich(df, replace(bars, time=stamp, ties=ties), date=bars.time)
+
+
+def enrich(
+    df: DataFrame, bars: Bars = Bars(), dates_fit: bool = False, block_rows: int | None = None, date: str | None = None
+) -> DataFrame:
     """All features of a bar table: one exchange by key for the series, and the ranking by date.
 
-    ``dates_fit``: every date is known to hold few enough bars for one task (``groups_fit``).
+    ``dates_fit``: every date is known to hold few enough bars for one task (``groups_fit``). ``block_rows``: rows of
+    a block where series are cut. ``date``: the column that rankings go by, if not the time.
     """
     builders = (rolling_columns, deviation_columns, vwap_columns, momentum_columns, seed_columns)
 
@@ -121,12 +134,12 @@ def enrich(df: DataFrame, bars: Bars = Bars(), dates_fit: bool = False) -> DataF
         return index_parts(framed, part, bars)
 
     def ranked(rows: DataFrame) -> DataFrame:
-        return add_daily_ranking(rows, bars, dates_fit, values_from=df)
+        return add_daily_ranking(rows, bars, dates_fit, df, date)
 
     # Rank while rows are narrow; but a cut series is evaluated twice, so there rank it afterwards.
     if calendar_bounded(df, bars):
         enriched = with_index(ranked(df), bars, parts, "rsi_14")
     else:
-        enriched = ranked(with_index(df, bars, parts, "rsi_14"))
+        enriched = ranked(with_index(df, bars, parts, "rsi_14", block_rows))
     computed = [c for c in enriched.columns if c not in df.columns and c not in RANK_NAMES.values() and c != "rsi_14"]
     return add_regime(enriched.select(*df.columns, *computed, *RANK_NAMES.values(), "rsi_14"))

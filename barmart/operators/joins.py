@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barmart.operators.cleaning import newest_per
+from barmart.operators.cleaning import daily_bars, latest_of
 from barmart.schemas import Bars
 
 BROADCAST_BYTES = 8 * 1024 * 1024
@@ -15,22 +15,28 @@ def join_bars(
     prices: DataFrame,
     measures: DataFrame,
     bars: Bars = Bars(),
-    one_per_day: bool = True,
-    newest: list[str] | None = None,
+    days: str = "merged",
+    order: str = "timestamp_ms",
+    total_volume: bool = False,
 ) -> DataFrame:
     """Inner join on (key, time); the right side contributes size and volume only.
 
-    With ``one_per_day`` the newest bar (by ``newest``, default the raw time stamp) of each
-    (key, time) is kept on both sides first, so nothing fans out and no join key is hot.
-    Its exchange by (key, time) is the one the join needs. Without it, equal keys fan out
-    as in any SQL join.
+    ``merged`` makes one true bar of all rows of a (key, time) on both sides first: earliest
+    open, extremes, latest close; latest size and volume (``total_volume``: the day's sum).
+    Every row counts, nothing fans out and no join key is hot. Rows are in the order of
+    ``order``; its exchange by (key, time) is the one the join needs.
+
+    ``all`` is the plain join: every price row meets every measure row of its (key, time), so
+    the rows of a day are multiplied.
     """
     on = [bars.key, bars.time]
     wanted = [*on, bars.size, bars.volume]
-    if one_per_day:
-        newest = ["timestamp_ms"] if newest is None else newest
-        prices = newest_per(prices, on, newest)
-        measures = newest_per(measures.select(*dict.fromkeys([*wanted, *newest])), on, newest)
+    if days not in ("merged", "all"):
+        raise ValueError(f"unknown days {days!r}")
+    if days == "merged":
+        prices = daily_bars(prices, bars, order)
+        volume = F.sum(bars.volume) if total_volume else latest_of(bars.volume, order)
+        measures = measures.groupBy(*on).agg(latest_of(bars.size, order).alias(bars.size), volume.alias(bars.volume))
     return prices.join(measures.select(*wanted), on, "inner")
 
 

@@ -14,6 +14,19 @@ PRICE_MULTIPLE = 10.0
 MAX_ZERO_VOLUME = 0.02
 MAX_REGIME_SHARE = 0.80
 NULLS_ALLOWED = ("event_year", "event_month")
+REGIME = "market_regime"
+
+# The texts of the report.
+NULLS = "%d/%d nulls in '"
+NO_RSI = "{} column not present — skipped"
+RSI_OUTSIDE = "%d rows with RSI outside [0, 100]"
+NO_PRICES = "OHLC columns not present — skipped"
+PRICES_BROKEN = "%d rows violating low <= OHLC <= high"
+NO_MEAN = "{} not present — skipped"
+SPIKES = "%d rows where close > {}× 30d avg"
+NO_VOLUME = "volume column not present — skipped"
+VOLUME_EMPTY = "%d/%d rows with zero/null volume"
+RULED = "Regime '%s' dominates %.1f%% of days for %s — consider retuning classifier thresholds"
 
 
 def _result(name: Column, passed: Column, metric: Column, threshold: float, details: Column) -> Column:
@@ -66,38 +79,38 @@ def _null_rates(run: _Pass, limit: float) -> None:
     for name in run.df.columns:
         if name.startswith("_") or name in NULLS_ALLOWED:
             continue
-        text = "%d/%d nulls in '" + name.replace("%", "%%") + "'"
+        text = NULLS + name.replace("%", "%%") + "'"
         run.limit_share(f"null_rate_{name}", F.col(f"`{name}`").isNull(), limit, text)
 
 
 def _rsi_range(run: _Pass, rsi: str = "rsi_14") -> None:
     if rsi not in run.df.columns:
-        return run.skip("rsi_range", f"{rsi} column not present — skipped")
+        return run.skip("rsi_range", NO_RSI.format(rsi))
     outside = (F.col(rsi) < 0) | (F.col(rsi) > 100)
-    run.forbid("rsi_range_validity", outside, "%d rows with RSI outside [0, 100]")
+    run.forbid("rsi_range_validity", outside, RSI_OUTSIDE)
 
 
 def _price_order(run: _Pass, bars: Bars) -> None:
     if not set(bars.prices) <= set(run.df.columns):
-        return run.skip("ohlc_consistency", "OHLC columns not present — skipped")
+        return run.skip("ohlc_consistency", NO_PRICES)
     first, high, low, last = map(F.col, bars.prices)
     # A comparison with null is unknown and does not count, but must not hide another one.
     broken = (low > first) | (low > last) | (high < first) | (high < last)
-    run.forbid("ohlc_consistency", broken, "%d rows violating low <= OHLC <= high")
+    run.forbid("ohlc_consistency", broken, PRICES_BROKEN)
 
 
 def _price_spikes(run: _Pass, bars: Bars, multiple: float, mean: str = "avg_close_30d") -> None:
     if mean not in run.df.columns:
-        return run.skip("price_anomaly", f"{mean} not present — skipped")
+        return run.skip("price_anomaly", NO_MEAN.format(mean))
     spike = F.col(bars.close) > multiple * F.col(mean)
-    run.forbid("price_anomaly_detection", spike, f"%d rows where close > {multiple}× 30d avg")
+    run.forbid("price_anomaly_detection", spike, SPIKES.format(multiple))
 
 
 def _zero_volume(run: _Pass, bars: Bars, limit: float) -> None:
     if bars.volume not in run.df.columns:
-        return run.skip("zero_volume", "volume column not present — skipped")
+        return run.skip("zero_volume", NO_VOLUME)
     empty = F.col(bars.volume).isNull() | (F.col(bars.volume) == 0)
-    run.limit_share("zero_volume_rate", empty, limit, "%d/%d rows with zero/null volume")
+    run.limit_share("zero_volume_rate", empty, limit, VOLUME_EMPTY)
 
 
 def check_null_rates(df: DataFrame, limit: float = MAX_NULL_RATE) -> DataFrame:
@@ -130,7 +143,7 @@ def check_zero_volume(df: DataFrame, bars: Bars = Bars(), limit: float = MAX_ZER
     return run.report()
 
 
-def regime_shares(df: DataFrame, key: str = "coin_id", regime: str = "market_regime") -> DataFrame:
+def regime_shares(df: DataFrame, key: str = "coin_id", regime: str = REGIME) -> DataFrame:
     """Rows per (key, regime) and their share of the key's rows; a null key has no share."""
     per_label = df.filter(F.col(key).isNotNull()).groupBy(key, regime).agg(F.count("*").alias("count"))
     total = F.sum("count").over(Window.partitionBy(key))
@@ -138,25 +151,23 @@ def regime_shares(df: DataFrame, key: str = "coin_id", regime: str = "market_reg
 
 
 def dominant_regimes(
-    df: DataFrame, key: str = "coin_id", regime: str = "market_regime", limit: float = MAX_REGIME_SHARE
+    df: DataFrame, key: str = "coin_id", regime: str = REGIME, limit: float = MAX_REGIME_SHARE
 ) -> DataFrame:
     return regime_shares(df, key, regime).filter(F.col("regime_rate") > limit)
 
 
+def _regime_result(owner: Column, regime: Column, rate: Column, limit: float) -> Column:
+    details = F.format_string(RULED, F.coalesce(regime, F.lit("None")), F.bround(rate * 100, 1), owner)
+    return _result(F.concat(F.lit("regime_distribution_"), owner), F.lit(False), F.bround(rate, 4), limit, details)
+
+
 def check_regime_shares(
-    df: DataFrame, key: str = "coin_id", regime: str = "market_regime", limit: float = MAX_REGIME_SHARE
+    df: DataFrame, key: str = "coin_id", regime: str = REGIME, limit: float = MAX_REGIME_SHARE
 ) -> DataFrame:
     """One failed row per key ruled by a single regime; nothing otherwise."""
     if not {key, regime} <= set(df.columns):
         return df.sparkSession.createDataFrame([], QUALITY_REPORT)
-    rate, owner = F.col("regime_rate"), F.col(key).cast("string")
-    details = F.format_string(
-        "Regime '%s' dominates %.1f%% of days for %s — consider retuning classifier thresholds",
-        F.coalesce(F.col(regime), F.lit("None")),
-        F.bround(rate * 100, 1),
-        owner,
-    )
-    row = _result(F.concat(F.lit("regime_distribution_"), owner), F.lit(False), F.bround(rate, 4), limit, details)
+    row = _regime_result(F.col(key).cast("string"), F.col(regime), F.col("regime_rate"), limit)
     return dominant_regimes(df, key, regime, limit).select(F.inline(F.array(row))).to(QUALITY_REPORT)
 
 
@@ -168,14 +179,45 @@ def quality_report(
     max_zero_volume: float = MAX_ZERO_VOLUME,
     max_regime_share: float = MAX_REGIME_SHARE,
 ) -> DataFrame:
-    """All checks: one aggregate over the table, and one per (key, regime)."""
+    """All checks in one pass: counters by (key, regime), from which the totals and the shares of regimes are made."""
     run = _Pass(df)
     _null_rates(run, max_null_rate)
     _rsi_range(run)
     _price_order(run, bars)
     _price_spikes(run, bars, price_multiple)
     _zero_volume(run, bars, max_zero_volume)
-    return run.report().unionByName(check_regime_shares(df, bars.key, limit=max_regime_share))
+    if not {bars.key, REGIME} <= set(df.columns):
+        return run.report()
+    return _one_pass(run, bars.key, max_regime_share)
+
+
+def _one_pass(run: _Pass, key: str, limit: float) -> DataFrame:
+    """Each (key, regime) row of counters goes into the totals (part 0) and into its key's shares (part 1).
+
+    A row of zeros makes sure of a total where there are no rows. A key has a few regimes, so its list is short.
+    """
+    counters = list(run.counts)
+    grouped = run.df.groupBy(F.col(key).alias("_owner"), F.col(REGIME).alias("_regime")).agg(
+        *[c.alias(n) for n, c in run.counts.items()]
+    )
+    zeros = run.df.sparkSession.range(1).select(
+        F.lit(None).alias("_owner"), F.lit(None).alias("_regime"), *[F.lit(0).cast("long").alias(n) for n in counters]
+    )
+    parts = grouped.unionByName(zeros).withColumn("_part", F.explode(F.array(F.lit(0), F.lit(1))))
+    own = F.col("_part") == 1
+    summed = (
+        parts.filter(~own | F.col("_owner").isNotNull())
+        .withColumn("_owner", F.when(own, F.col("_owner")))
+        .groupBy("_part", "_owner")
+        .agg(
+            *[F.sum(n).alias(n) for n in counters],
+            F.collect_list(F.when(own, F.struct("_regime", F.col("total").alias("count")))).alias("_labels"),
+        )
+    )
+    owner, total = F.col("_owner").cast("string"), F.col("total")
+    ruling = F.filter("_labels", lambda x: x["count"] / total > limit)
+    shares = F.transform(ruling, lambda x: _regime_result(owner, x["_regime"], x["count"] / total, limit))
+    return summed.select(F.inline(F.when(own, shares).otherwise(F.array(*run.results)))).to(QUALITY_REPORT)
 
 
 def summarise(report: DataFrame) -> DataFrame:

@@ -5,12 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from barmart.operators.series import refuse_names
+
 # A group of at most this many rows may be ranked by one task.
 GROUP_ROWS = 4_000_000
 
 # Slots per unit of ln: values in one slot differ by at most 0.4 percent. The double range
-# then allows some 4 * 10^5 slots per group, whatever its size.
+# then allows some 4 * 10^5 slots per group, whatever its size. A slot with more distinct
+# values than this is divided evenly between its least and its largest value.
 SLOTS_PER_LOG = 256
+SLOT_VALUES = 10_000
 SLOT_SCALE = 1e6
 LARGEST = 1e300
 
@@ -45,26 +49,40 @@ def rank_values(
     if not fits:
         return _rank_split(df, df if values_from is None else values_from, group, value, names)
     within = Window.partitionBy(*group).orderBy(F.desc_nulls_last(value))
-    kinds = {"rank": F.rank(), "dense_rank": F.dense_rank(), "percent_rank": F.percent_rank()}
-    return df.withColumns({name: kinds[k].over(within) for k, name in names.items()})
+    kinds = {
+        "rank": F.rank().over(within).cast("long"),
+        "dense_rank": F.dense_rank().over(within).cast("long"),
+        "percent_rank": F.percent_rank().over(within),
+    }
+    return df.withColumns({name: kinds[k] for k, name in names.items()})
 
 
 def _rank_split(
     df: DataFrame, values_from: DataFrame, group: list[str], value: str, names: dict[str, str]
 ) -> DataFrame:
-    """Rank without ever bringing a group together.
+    """Rank without bringing the rows of a group together.
 
     The distinct values are counted (pre-aggregated before the exchange, so equal values
     cost one row per task), ranked inside slots of similar values, and shifted by what the
-    slots above hold. Only the slot totals of a group, a bounded number, meet in one
-    window. The rows then look their rank up by (group, value), where a value shared by
-    many rows can be split like any skewed join key.
+    slots above hold. Slots have a fixed width; one that a measurement finds to hold many
+    distinct values is divided by its least and largest value. What meets in one window are the
+    values of a part of a slot, the parts of a slot, and the slots of a group. The rows then
+    look their rank up by (group, value), where a value shared by many rows can be split
+    like any skewed join key.
     """
-    counted = (
-        values_from.groupBy(*group, value)
-        .agg(F.count("*").alias("_rows"))
-        .withColumn("_slot", value_slot(F.col(value).cast("double")))
+    refuse_names(df, ["_rows", "_slot", "_coarse", "_part", "_least", "_most", "_values"])
+    number = F.col(value).cast("double")
+    distinct = values_from.groupBy(*group, value).agg(F.count("*").alias("_rows")).withColumn("_coarse", value_slot(number))
+    measured = distinct.groupBy(*group, "_coarse").agg(
+        F.min(number).alias("_least"), F.max(number).alias("_most"), F.count("*").alias("_values")
+    )
+    parts = F.ceil(F.col("_values") / SLOT_VALUES)
+    width = F.col("_most") - F.col("_least")
+    share = F.when((parts > 1) & (width > 0) & (width < LARGEST), (number - F.col("_least")) / width * parts)
+    counted = _same(distinct, measured, [*group, "_coarse"], "inner").withColumn(
+        "_slot", F.struct("_coarse", F.coalesce(F.floor(share), F.lit(0)).cast("long").alias("_part"))
     )
+    counted = counted.drop("_coarse", "_least", "_most", "_values")
     slots = counted.groupBy(*group, "_slot").agg(F.sum("_rows").alias("_slot_rows"), F.count("*").alias("_slot_values"))
     per_group = Window.partitionBy(*group)
     above = per_group.orderBy(F.desc_nulls_last("_slot")).rowsBetween(Window.unboundedPreceding, -1)
@@ -86,8 +104,8 @@ def _rank_split(
     rank = F.col("_rows_above") + F.col("_larger") + 1
     share = F.when(F.col("_group_rows") > 1, (rank - 1) / (F.col("_group_rows") - 1)).otherwise(F.lit(0.0))
     kinds = {
-        "rank": rank.cast("int"),
-        "dense_rank": (F.col("_values_above") + F.col("_nth")).cast("int"),
+        "rank": rank.cast("long"),
+        "dense_rank": (F.col("_values_above") + F.col("_nth")).cast("long"),
         "percent_rank": share,
     }
     ranks = placed.select(*group, value, *[kinds[k].alias(name) for k, name in names.items()])

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barmart.functions.numeric import ratio
-from barmart.operators.series import BLOCK, CORE, along, calendar_bounded, cut_series
+from barmart.operators.series import BLOCK, CORE, along, calendar_bounded, cut_series, refuse_names
 from barmart.schemas import Bars
 
 SPAN_BITS = 12
@@ -42,19 +42,29 @@ def seed_columns(part: list[str], bars: Bars) -> dict[str, Column]:
     return {"_row": F.row_number().over(series) - 1, "_change": close - F.lag(close).over(series)}
 
 
-def add_rsi(df: DataFrame, bars: Bars = Bars(), name: str = "rsi_14") -> DataFrame:
+def add_rsi(df: DataFrame, bars: Bars = Bars(), name: str = "rsi_14", block_rows: int | None = None) -> DataFrame:
     def parts(rows: DataFrame, part: list[str]) -> DataFrame:
         return index_parts(rows.withColumns(seed_columns(part, bars)), part, bars)
 
-    return with_index(df, bars, parts, name)
+    return with_index(df, bars, parts, name, block_rows)
 
 
-def with_index(df: DataFrame, bars: Bars, parts: Callable[[DataFrame, list[str]], DataFrame], name: str) -> DataFrame:
-    """Run ``parts`` (which must end in ``index_parts``) per series, cut into blocks where needed."""
+def with_index(
+    df: DataFrame, bars: Bars, parts: Callable[[DataFrame, list[str]], DataFrame], name: str, block_rows: int | None = None
+) -> DataFrame:
+    """Run ``parts`` (which must end in ``index_parts``) per series, cut into blocks where needed.
+
+    What a block holds for the next ones is computed from key, order and close alone, so the
+    features of the rows are evaluated once.
+    """
+    refuse_names(df, [*_WORK, _SEEN, _HELD])
     if calendar_bounded(df, bars):
         return settle_rsi(parts(df, [bars.key]), name)
-    blocks = parts(cut_series(df, bars, SPAN), [bars.key, BLOCK])
-    return settle_rsi(join_earlier_blocks(blocks, bars), name).filter(CORE).drop(BLOCK, CORE)
+    part = [bars.key, BLOCK]
+    blocks = parts(cut_series(df, bars, SPAN, block_rows), part)
+    slim = cut_series(df.select(bars.key, *bars.order, *({bars.close} - {*bars.order})), bars, SPAN, block_rows)
+    ends = index_parts(slim.withColumns(seed_columns(part, bars)), part, bars)
+    return settle_rsi(join_earlier_blocks(blocks, ends, bars), name).filter(CORE).drop(BLOCK, CORE)
 
 
 def index_parts(df: DataFrame, part: list[str], bars: Bars) -> DataFrame:
@@ -69,7 +79,7 @@ def index_parts(df: DataFrame, part: list[str], bars: Bars) -> DataFrame:
     # From here every window sorts by (part, span, time), so one sort serves them all.
     place = F.col("_row").bitwiseAND(SPAN - 1)
     growth = F.pow(F.lit(1 / DECAY), place)
-    so_far = Window.partitionBy(*part, "_span").orderBy(bars.time).rowsBetween(Window.unboundedPreceding, 0)
+    so_far = Window.partitionBy(*part, "_span").orderBy(*bars.order).rowsBetween(Window.unboundedPreceding, 0)
     change = F.col("_change")
     summed = stepped.withColumns(
         {
@@ -77,7 +87,7 @@ def index_parts(df: DataFrame, part: list[str], bars: Bars) -> DataFrame:
             "_down": F.coalesce(F.sum(F.greatest(-change, F.lit(0.0)) * growth).over(so_far), F.lit(0.0)),
         }
     )
-    rows = Window.partitionBy(*part).orderBy("_span", bars.time)
+    rows = Window.partitionBy(*part).orderBy("_span", *bars.order)
     earlier = rows.rowsBetween(Window.unboundedPreceding, -1)
     until_now = rows.rowsBetween(Window.unboundedPreceding, 0)
     end_of_span = F.when(place == SPAN - 1, F.struct("_up", "_down"))
@@ -95,12 +105,12 @@ def index_parts(df: DataFrame, part: list[str], bars: Bars) -> DataFrame:
     ).drop(*_WORK)
 
 
-def join_earlier_blocks(parts: DataFrame, bars: Bars) -> DataFrame:
-    """Add to each block what the blocks before it have seen (one small row per block)."""
+def join_earlier_blocks(parts: DataFrame, ends: DataFrame, bars: Bars) -> DataFrame:
+    """Add to each block what the blocks before it have seen, by ``ends`` (one small row per block)."""
     per_block = (
-        parts.filter(CORE)
+        ends.filter(CORE)
         .groupBy(bars.key, BLOCK)
-        .agg(F.max(_SEEN).alias("_block_seen"), F.max_by(_HELD, F.when(F.col(_HELD).isNotNull(), F.col(bars.time))).alias("_block_held"))
+        .agg(F.max(_SEEN).alias("_block_seen"), F.max_by(_HELD, F.when(F.col(_HELD).isNotNull(), F.struct(*bars.order))).alias("_block_held"))
     )
     before = Window.partitionBy(bars.key).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     earlier = per_block.select(

@@ -12,10 +12,10 @@ Whether that is sound depends on the type of the time column:
   further gives the value it would give on the uncut series. Blocks of one key are
   separate window groups and spread over the cluster.
 
-Exact row positions, which the cut needs, come from a two-step count: rows per
-(key, hour), summed up per key over that small table, plus ``row_number`` within the
-(key, hour). Bars unique per millisecond, as bronze leaves them, put at most 3.6 million
-rows into an hour, and of the whole key only the hourly counts meet in one task.
+Exact row positions, which the cut needs, come from counts by (key, hour) and, within the hour, by
+second, summed up over these small tables, plus ``row_number`` within the (key, second): at most
+a million rows where the order is total, as time stamps have microseconds. Of the whole key
+only the hourly counts meet in one task, and of an hour its 3,600 counts.
 """
 
 from __future__ import annotations
@@ -36,7 +36,7 @@ Step = Callable[[DataFrame, list[str]], DataFrame]
 
 
 def along(part: list[str], bars: Bars) -> WindowSpec:
-    return Window.partitionBy(*part).orderBy(bars.time)
+    return Window.partitionBy(*part).orderBy(*bars.order)
 
 
 def trailing(part: list[str], bars: Bars, rows: int) -> WindowSpec:
@@ -45,14 +45,26 @@ def trailing(part: list[str], bars: Bars, rows: int) -> WindowSpec:
 
 
 def calendar_bounded(df: DataFrame, bars: Bars) -> bool:
-    return isinstance(df.schema[bars.time].dataType, T.DateType)
+    return not bars.ties and isinstance(df.schema[bars.time].dataType, T.DateType)
 
 
-def over_series(df: DataFrame, bars: Bars, history: int, step: Step) -> DataFrame:
+def refuse_names(df: DataFrame, names: list[str]) -> None:
+    """Working columns must not overwrite columns of the input."""
+    taken = sorted({c.lower() for c in df.columns} & {n.lower() for n in names})
+    if taken:
+        raise ValueError(f"columns named like working columns: {taken}")
+
+
+def repeated_places(df: DataFrame, bars: Bars) -> int:
+    """How many (key, order) places hold several rows, so that windows have no total order; one aggregate."""
+    return df.groupBy(bars.key, *bars.order).agg(F.count("*").alias("_rows")).filter("_rows > 1").count()
+
+
+def over_series(df: DataFrame, bars: Bars, history: int, step: Step, block_rows: int | None = None) -> DataFrame:
     """Apply ``step(df, partition_columns)``, which may look back ``history`` rows."""
     if calendar_bounded(df, bars):
         return step(df, [bars.key])
-    cut = cut_series(df, bars, history)
+    cut = cut_series(df, bars, history, block_rows)
     return step(cut, [bars.key, BLOCK]).filter(CORE).drop(BLOCK, CORE)
 
 
@@ -64,16 +76,22 @@ def cut_series(df: DataFrame, bars: Bars, history: int, block_rows: int | None =
     block_rows = block_rows or BLOCK_ROWS
     if not 0 < history <= block_rows:
         raise ValueError(f"history must lie in 1..{block_rows}")
-    hour = F.date_trunc("hour", bars.time)
-    per_hour = df.groupBy(bars.key, hour.alias("_hour")).agg(F.count("*").alias("_rows"))
+    refuse_names(df, [BLOCK, CORE, "_hour", "_second", "_rows", "_start", "_nth", "_pos", "_home"])
+    per_second = df.groupBy(bars.key, F.date_trunc("second", bars.time).alias("_second")).agg(F.count("*").alias("_rows"))
+    per_second = per_second.withColumn("_hour", F.date_trunc("hour", "_second"))
+    per_hour = per_second.groupBy(bars.key, "_hour").agg(F.sum("_rows").alias("_rows"))
     before = Window.partitionBy(bars.key).orderBy("_hour").rowsBetween(Window.unboundedPreceding, -1)
-    starts = per_hour.select(bars.key, "_hour", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
+    hours = per_hour.select(bars.key, "_hour", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
+    inside = Window.partitionBy(bars.key, "_hour").orderBy("_second").rowsBetween(Window.unboundedPreceding, -1)
+    starts = per_second.join(hours, [bars.key, "_hour"]).select(
+        bars.key, "_second", (F.col("_start") + F.coalesce(F.sum("_rows").over(inside), F.lit(0))).alias("_start")
+    )
 
-    within = Window.partitionBy(bars.key, "_hour").orderBy(bars.time)
+    within = Window.partitionBy(bars.key, "_second").orderBy(*bars.order)
     numbered = (
-        df.withColumn("_hour", hour)
+        df.withColumn("_second", F.date_trunc("second", bars.time))
         .withColumn("_nth", F.row_number().over(within))
-        .join(starts, [bars.key, "_hour"], "left")
+        .join(starts, [bars.key, "_second"], "left")
         .withColumn("_pos", F.coalesce("_start", F.lit(0)) + F.col("_nth") - 1)
         .withColumn("_home", F.floor(F.col("_pos") / block_rows))
     )

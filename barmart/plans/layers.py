@@ -7,12 +7,12 @@ import time
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barmart.functions.calendar import with_calendar
-from barmart.operators.cleaning import accepted_rows, lacks_key, newest_per, rejected_rows
-from barmart.operators.features import enrich
+from barmart.operators.cleaning import NULL_KEY, accepted_rows, newest_per, rejected_rows
+from barmart.operators.features import enrich, enrich_days
 from barmart.operators.joins import join_bars
 from barmart.operators.layout import partition_skew, rows_per_key
 from barmart.operators.quality import quality_report, summarise
@@ -21,7 +21,7 @@ from barmart.operators.series import calendar_bounded
 from barmart.plans import gold
 from barmart.schemas import Bars
 from barmart.sources.lookup import coin_lookup
-from barmart.sources.payloads import flatten_ohlc, zip_market
+from barmart.sources.payloads import BODY, REASON, TROUBLE, flatten_ohlc, zip_market
 from barmart.sources.raw import read_market, read_ohlc, read_payloads
 from barmart.sources.tables import append_table, held, read_table, write_table
 
@@ -56,7 +56,8 @@ class Places:
 
     Bronze and silver are partitioned by ``partition_by``: the key by default, which suits
     up to some thousands of keys; with more, use ("event_year",) or (), as every key would
-    become a directory of small files. ``payloads``: the raw files are whole response bodies.
+    become a directory of small files. Bronze names its key ``coin_id`` whatever ``Bars`` says.
+    ``payloads``: the raw files are whole response bodies. ``days``: see ``join_bars``.
     """
 
     raw: str
@@ -64,6 +65,7 @@ class Places:
     fmt: str = "parquet"
     partition_by: tuple[str, ...] = ("coin_id",)
     payloads: bool = False
+    days: str = "merged"
 
     def table(self, name: str) -> str:
         return f"{self.out}/{name}"
@@ -77,32 +79,55 @@ def clean(rows: DataFrame) -> DataFrame:
 def build_bronze(spark: SparkSession, places: Places) -> dict[str, int]:
     """Store both sources; rejected rows are appended to ``quarantine/<source>``.
 
-    The rejects are counted while the accepted rows are written, so a clean source is
-    read once; only if there are any are they read again and stored.
+    The rejects are counted in a pass of their own columns and stored before the accepted
+    rows, so they are kept whatever the accepted side holds, and an empty table is stored
+    as one. A market body whose arrays differ in length is logged.
     """
     stored = {}
     for source, read in (PAYLOAD_SOURCES if places.payloads else SOURCES).items():
         rows = with_calendar(read(spark, places.raw))
-        seen = Observation(f"bronze_{source}")
+        bad = rejected_rows(rows)
+        if REASON in rows.columns:
+            bad = bad.withColumn("_quarantine_reason", F.coalesce(REASON, F.lit(NULL_KEY))).drop(REASON)
         name = f"bronze_{source}"
-        watched = rows.observe(seen, F.count_if(lacks_key()).alias("rejected"))
-        good = clean(watched).drop("_corrupt_record")
-        stored[name] = write_table(good, places.table(name), places.partition_by, places.fmt)
-        if seen.get["rejected"]:
+        if not bad.isEmpty():
             log.warning("%s: rows without key set aside", source)
-            append_table(rejected_rows(rows), places.table(f"quarantine/{source}"))
+            append_table(bad, places.table(f"quarantine/{source}"))
+        good = clean(rows.drop(REASON, BODY)).drop("_corrupt_record")
+        stored[name] = write_table(good.drop(*TROUBLE), places.table(name), places.partition_by, places.fmt)
+        if "length_mismatch" in rows.columns:
+            stored["market_bodies_uneven"] = _uneven_bodies(rows)
     return stored
 
 
+def _uneven_bodies(rows: DataFrame) -> int:
+    """How many bodies had arrays of different length, so that elements were left over."""
+    bodies = rows.filter("length_mismatch").select("_source_file").distinct().count()
+    if bodies:
+        log.warning("market: %d bodies with arrays of different length", bodies)
+    return bodies
+
+
 def build_silver(spark: SparkSession, places: Places, bars: Bars) -> dict[str, int]:
     prices = read_table(spark, places.table("bronze_ohlc"), places.fmt)
     measures = read_table(spark, places.table("bronze_market"), places.fmt)
-    # The join keeps one bar per (key, date), so a date holds no more rows than in the measures.
-    enriched = enrich(join_bars(prices, measures, bars), bars, groups_fit(measures, [bars.time]))
+    joined = join_bars(prices, measures, bars, places.days)
+    # Merged days hold one bar per key, so a date holds no more rows than in the measures.
+    fits = places.days == "merged" and groups_fit(measures, [bars.time])
+    if places.days == "all":
+        # Rows of a day are told apart by their time stamp, and by their place among equal ones.
+        enriched = enrich_days(joined, bars)
+    else:
+        enriched = enrich(joined, bars, fits)
     # Uncut series leave each (bounded) key in one task, sorted: one file per key without another exchange.
-    clustered = calendar_bounded(enriched, bars) and places.partition_by == (bars.key,)
+    clustered = places.days == "merged" and calendar_bounded(enriched, bars) and places.partition_by == (bars.key,)
     path = places.table("silver_enriched")
-    return {"silver_enriched": write_table(enriched, path, places.partition_by, places.fmt, clustered)}
+    stored = {"silver_enriched": write_table(enriched, path, places.partition_by, places.fmt, clustered)}
+    if places.days == "merged":
+        days = prices.select(bars.key, bars.time).distinct().count()
+        stored["price_rows_merged"] = prices.count() - days
+        log.info("silver: %d price rows merged into the bar of their day", stored["price_rows_merged"])
+    return stored
 
 
 def build_gold(
@@ -159,13 +184,18 @@ def run(
     keep_silver: bool = False,
     partition_by: tuple[str, ...] = ("coin_id",),
     payloads: bool = False,
+    days: str = "merged",
 ) -> dict[str, Outcome]:
     """Run the requested layers in order; one whose parent failed is left out.
 
     ``layers`` is any subset of bronze, quality, silver, gold and layout. Quality runs
     on the bronze tables and again on silver. A layer not requested counts as done.
+
+    ``days``: "merged" makes one bar of all rows of a key and day before the join; "all"
+    joins them as they are, which multiplies the rows of a day, and runs the series windows
+    along the time stamp. Bronze and ``partition_by`` use the key name ``coin_id``.
     """
-    places = Places(raw, out, fmt, partition_by, payloads)
+    places = Places(raw, out, fmt, partition_by, payloads, days)
     both = ("bronze_ohlc", "bronze_market")
     plan: list[tuple[str, str, str, Callable[[], dict[str, int]]]] = [
         ("bronze", "bronze", "", lambda: build_bronze(spark, places)),

@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 from barmart.functions.calendar import iso_week, iso_year, with_calendar
 from barmart.functions.regime import regime_label
 from barmart.operators import cleaning, features, joins, layout, quality
-from barmart.operators.ranking import groups_fit
+from barmart.operators.ranking import groups_fit, rank_values
 from barmart.operators.rsi import add_rsi
 from barmart.plans import gold
 from barmart.plans.layers import clean
 from barmart.queries import inputs
+from barmart.schemas import Bars
 from barmart.sources.payloads import flatten_ohlc, zip_market
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,7 +44,7 @@ def _rounded(df: DataFrame, *columns: str) -> DataFrame:
 
 def _days_fit(spark: SparkSession, sf_dir: str) -> bool:
     """A day has no more supplier bars than line items shipped."""
-    return groups_fit(inputs.table(spark, sf_dir, "lineitem"), ["l_shipdate"])
+    return groups_fit(inputs.table(spark, sf_dir, "lineitem"), [F.to_date("l_shipdate")])
 
 
 def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -106,6 +107,25 @@ def rsi_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(add_rsi(inputs.gap_bars(spark, sf_dir)), *BAR_ID, "close", "rsi_14")
 
 
+@_query
+def series_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Long series, cut into small blocks: means, deviation and RSI."""
+    series, bars = inputs.flag_series(spark, sf_dir), Bars(time="event_ts", ties=("close",))
+    df = features.add_rolling(add_rsi(series, bars, block_rows=5000), bars, block_rows=1000)
+    stamp = F.col("event_ts").cast("timestamp_ntz").alias("event_ts")
+    return _rounded(df, "coin_id", "event_ts", "close", "avg_close_7d", "avg_close_30d", "stddev_close_30d", "rsi_14").withColumn(
+        "event_ts", stamp
+    )
+
+
+@_query
+def ranks_narrow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ranks among many distinct values in a narrow range, for which slots are divided."""
+    orders = inputs.table(spark, sf_dir, "orders")
+    valued = orders.select("o_orderpriority", "o_orderkey", (F.lit(1000.0) + F.col("o_orderkey") / 1_000_000).alias("value"))
+    return rank_values(valued, ["o_orderpriority"], "value", {"rank": "value_rank", "dense_rank": "value_dense_rank"})
+
+
 @_query
 def regime(spark: SparkSession, sf_dir: str) -> DataFrame:
     measured = inputs.table(spark, sf_dir, "lineitem").select(
@@ -129,7 +149,13 @@ def abs_change(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def join_inner_equi(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return joins.join_bars(inputs.order_prices(spark, sf_dir), inputs.order_measures(spark, sf_dir), newest=[])
+    return joins.join_bars(inputs.order_prices(spark, sf_dir), inputs.order_measures(spark, sf_dir), days="all")
+
+
+@_query
+def join_several_per_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The plain join, with several rows per key and day on both sides."""
+    return joins.join_bars(inputs.line_prices(spark, sf_dir), inputs.line_measures(spark, sf_dir), days="all")
 
 
 @_query
@@ -139,7 +165,7 @@ def join_broadcast_left(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def join_merge_left(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bars, lookup = inputs.supplier_bars(spark, sf_dir), inputs.supplier_lookup(spark, sf_dir)
+    bars, lookup = inputs.supplier_bars(spark, sf_dir), inputs.supplier_lookup(spark, sf_dir, in_credit=True)
     return joins.attach_lookup(bars, lookup, "coin_id", strategy="merge").select(*BAR_ID, "close", "ticker", "category")
 
 
@@ -193,6 +219,17 @@ def _payload_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Bodies that hold no rows: every 17th and every 19th.
+_BUSY = '{"status":{"error_code":429}}'
+_PAGE = "<html>busy</html>"
+
+
+def _with_damage(body, damaged=None):
+    number = F.col("number")
+    out = F.when(number % 17 == 0, F.lit(_BUSY)).when(number % 19 == 0, F.lit(_PAGE))
+    return (out if damaged is None else out.when(number % 13 == 0, damaged)).otherwise(body)
+
+
 @_query
 def payload_ohlc_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     number, price = F.col("number"), F.col("price")
@@ -204,7 +241,10 @@ def payload_ohlc_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     length = (number % 4).cast("int")
     body = F.to_json(F.slice(F.array(bar(1), bar(2), bar(3)), F.lit(1), length))
-    return flatten_ohlc(_payload_orders(spark, sf_dir).select("coin_id", body.alias("payload")), ["coin_id"])
+    text = price.cast("long").cast("string")
+    damaged = F.concat(F.lit('[["'), F.col("ms").cast("string"), F.lit('",'), text, F.lit(',null,"x",'), text, F.lit('],["soon",1,2,3,4]]'))
+    bodies = _payload_orders(spark, sf_dir).select("coin_id", _with_damage(body, damaged).alias("payload"))
+    return flatten_ohlc(bodies, ["coin_id"])
 
 
 @_query
@@ -223,7 +263,8 @@ def payload_market_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.when(number % 11 != 0, volumes).alias("total_volumes"),
         )
     )
-    return zip_market(_payload_orders(spark, sf_dir).select("coin_id", body.alias("payload")), ["coin_id"])
+    bodies = _payload_orders(spark, sf_dir).select("coin_id", _with_damage(body).alias("payload"))
+    return zip_market(bodies, ["coin_id"]).withColumn("_body", F.col("_body").isNotNull())
 
 
 # --- aggregates -------------------------------------------------------------------------
@@ -274,13 +315,23 @@ def limit_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def silver_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     prices, measures = inputs.supplier_prices(spark, sf_dir), inputs.supplier_measures(spark, sf_dir)
-    joined = joins.join_bars(prices, measures, one_per_day=False)
+    joined = joins.join_bars(prices, measures, days="all")
     return _rounded(features.enrich(joined, dates_fit=_days_fit(spark, sf_dir)))
 
 
+@_query
+def silver_several_per_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver as the layer run makes it: several rows per key and day on both sides, merged to true daily bars."""
+    joined = joins.join_bars(inputs.line_prices(spark, sf_dir), inputs.line_measures(spark, sf_dir))
+    return _rounded(features.enrich(joined, dates_fit=_days_fit(spark, sf_dir)).drop("timestamp_ms"))
+
+
 @_query
 def silver_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Silver as planned where nothing bounds a series or a date: time stamps, and split rankings."""
+    """Silver as planned where nothing bounds a series or a date: time stamps, and split rankings.
+
+    These series are shorter than a block; ``series_cut`` cuts long ones.
+    """
     bars = inputs.supplier_bars(spark, sf_dir).withColumn("event_date", F.col("event_date").cast("timestamp"))
     return _rounded(features.enrich(bars)).withColumn("event_date", F.to_date("event_date"))
 
@@ -381,7 +432,8 @@ def dq_price_anomaly(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def dq_zero_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _without_stamp(quality.check_zero_volume(inputs.gap_bars(spark, sf_dir)))
+    volume = F.when(F.dayofyear("event_date") % 5 == 0, F.lit(0.0)).otherwise(F.col("total_volume_usd"))
+    return _without_stamp(quality.check_zero_volume(inputs.gap_bars(spark, sf_dir).withColumn("total_volume_usd", volume)))
 
 
 @_query

@@ -138,14 +138,46 @@ def event_lookup(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "coin_id string, ticker string, category string, launch_year int")
 
 
-def supplier_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Supplier names as tickers, for suppliers not divisible by seven."""
-    return (
-        table(spark, sf_dir, "supplier")
-        .filter(F.col("s_suppkey") % 7 != 0)
-        .select(
-            F.col("s_suppkey").alias("coin_id"),
-            F.col("s_name").alias("ticker"),
-            F.concat(F.lit("nation "), F.col("s_nationkey").cast("string")).alias("category"),
-        )
+def supplier_lookup(spark: SparkSession, sf_dir: str, in_credit: bool = False) -> DataFrame:
+    """Supplier names as tickers; ``in_credit`` leaves suppliers without a positive balance unknown."""
+    suppliers = table(spark, sf_dir, "supplier")
+    return (suppliers.filter("s_acctbal > 0") if in_credit else suppliers).select(
+        F.col("s_suppkey").alias("coin_id"),
+        F.col("s_name").alias("ticker"),
+        F.concat(F.lit("nation "), F.col("s_nationkey").cast("string")).alias("category"),
+    )
+
+
+def line_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A price row for each line item: several for some (supplier, day)."""
+    price, spread = F.col("price"), F.col("quantity")
+    return supplier_lines(spark, sf_dir).select(
+        "coin_id",
+        "event_date",
+        F.col("seq").alias("timestamp_ms"),
+        price.alias("open"),
+        (price + spread).alias("high"),
+        (price - spread).alias("low"),
+        (price + 1).alias("close"),
+    )
+
+
+def line_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A measure row for each line item."""
+    return supplier_lines(spark, sf_dir).select(
+        "coin_id",
+        "event_date",
+        F.col("seq").alias("timestamp_ms"),
+        (F.col("price") * 2).alias("market_cap_usd"),
+        F.col("quantity").alias("total_volume_usd"),
+    )
+
+
+def flag_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items of a return flag as one long series along a time stamp; a few rows share one."""
+    place = F.col("l_orderkey") * 8 + F.col("l_linenumber")
+    return table(spark, sf_dir, "lineitem").select(
+        F.col("l_returnflag").alias("coin_id"),
+        F.timestamp_micros(F.unix_micros(F.col("l_shipdate").cast("timestamp")) + place).alias("event_ts"),
+        whole(F.col("l_extendedprice")).alias("close"),
     )

@@ -44,7 +44,25 @@ _SUPPLIER_LOOKUP = """
 lookup AS (
   SELECT s_suppkey AS coin_id, s_name AS ticker,
          'nation ' || CAST(s_nationkey AS VARCHAR) AS category
-  FROM supplier WHERE s_suppkey % 7 <> 0)"""
+  FROM supplier)"""
+
+_KNOWN_IN_CREDIT = _SUPPLIER_LOOKUP.replace("FROM supplier)", "FROM supplier WHERE s_acctbal > 0)")
+
+_LINE_ROWS = """
+lines AS (
+  SELECT l_suppkey AS coin_id, CAST(l_shipdate AS DATE) AS event_date,
+         floor(l_extendedprice) AS price, l_quantity AS quantity,
+         (l_orderkey * 10 + l_linenumber) * 200000 + CAST(floor(l_extendedprice) AS BIGINT) AS seq
+  FROM lineitem)"""
+
+_MERGED_BARS = (
+    _LINE_ROWS
+    + """,
+bars AS (
+  SELECT coin_id, event_date, arg_min(price, seq) AS open, max(price + quantity) AS high, min(price - quantity) AS low,
+         arg_max(price + 1, seq) AS close, arg_max(price * 2, seq) AS market_cap_usd, arg_max(quantity, seq) AS total_volume_usd
+  FROM lines GROUP BY coin_id, event_date)"""
+)
 
 # --- features -------------------------------------------------------------------------
 
@@ -231,6 +249,31 @@ ORACLES: dict[str, str] = {
     + f"SELECT coin_id, event_date, market_cap_usd, {_RANKS}, round(pct_rank_by_mcap, 6) AS pct_rank_by_mcap FROM silver",
     "rsi": _silver + "SELECT coin_id, event_date, close, round(rsi_14, 4) AS rsi_14 FROM silver",
     "rsi_gaps": _gap_silver + "SELECT coin_id, event_date, close, round(rsi_14, 4) AS rsi_14 FROM silver",
+    "series_cut": """
+WITH series AS (
+  SELECT l_returnflag AS coin_id, l_shipdate + to_microseconds(l_orderkey * 8 + l_linenumber) AS event_ts,
+         floor(l_extendedprice) AS close
+  FROM lineitem),
+stepped AS (
+  SELECT *, close - lag(close) OVER s AS change, row_number() OVER s AS rn, avg(close) OVER w7 AS avg_close_7d,
+         avg(close) OVER w30 AS avg_close_30d, stddev_samp(close) OVER w30 AS stddev_close_30d
+  FROM series
+  WINDOW s AS (PARTITION BY coin_id ORDER BY event_ts, close), w7 AS (PARTITION BY coin_id ORDER BY event_ts, close ROWS 6 PRECEDING),
+         w30 AS (PARTITION BY coin_id ORDER BY event_ts, close ROWS 29 PRECEDING)),
+recent AS (
+  SELECT *, list(coalesce(change, 0)) OVER (PARTITION BY coin_id ORDER BY event_ts, close ROWS 399 PRECEDING) AS moves FROM stepped),
+weighted AS (
+  SELECT * EXCLUDE (moves), list_sum(list_transform(moves, lambda x, i: greatest(x, 0) * pow(14.0 / 13, i))) AS gain,
+         list_sum(list_transform(moves, lambda x, i: greatest(-x, 0) * pow(14.0 / 13, i))) AS loss
+  FROM recent)
+SELECT coin_id, event_ts, close, round(avg_close_7d, 6) AS avg_close_7d, round(avg_close_30d, 6) AS avg_close_30d,
+       round(stddev_close_30d, 3) AS stddev_close_30d,
+       round(CASE WHEN rn > 14 AND gain + loss > 0 THEN 100 * gain / (gain + loss) ELSE 50 END, 4) AS rsi_14
+FROM weighted""",
+    "ranks_narrow": """
+SELECT o_orderpriority, o_orderkey, 1000.0::DOUBLE + o_orderkey / 1000000 AS value, rank() OVER w AS value_rank,
+       dense_rank() OVER w AS value_dense_rank
+FROM orders WINDOW w AS (PARTITION BY o_orderpriority ORDER BY o_orderkey DESC)""",
     "regime": _with(
         """
 measured AS (
@@ -263,7 +306,11 @@ measures AS (
 SELECT * FROM prices JOIN measures USING (coin_id, event_date)""",
     "join_broadcast_left": _with(_EVENT_BARS, _EVENT_LOOKUP)
     + "SELECT bars.*, ticker, category, launch_year FROM bars LEFT JOIN lookup USING (coin_id)",
-    "join_merge_left": _with(_SUPPLIER_BARS, _SUPPLIER_LOOKUP)
+    "join_several_per_day": _with(_LINE_ROWS)
+    + """SELECT p.coin_id, p.event_date, p.seq AS timestamp_ms, p.price AS open, p.price + p.quantity AS high,
+       p.price - p.quantity AS low, p.price + 1 AS close, m.price * 2 AS market_cap_usd, m.quantity AS total_volume_usd
+FROM lines p JOIN lines m USING (coin_id, event_date)""",
+    "join_merge_left": _with(_SUPPLIER_BARS, _KNOWN_IN_CREDIT)
     + "SELECT coin_id, event_date, close, ticker, category FROM bars LEFT JOIN lookup USING (coin_id)",
     "join_lookup_inner": _with(_SUPPLIER_BARS, _SUPPLIER_LOOKUP)
     + "SELECT coin_id, event_date, close, ticker, category FROM bars JOIN lookup USING (coin_id)",
@@ -287,20 +334,38 @@ SELECT * EXCLUDE (nth) FROM (
     + f"""SELECT {_RAW_COLUMNS} FROM raw_orders
 WHERE coin_id IS NOT NULL AND timestamp_ms IS NOT NULL AND _run_id = '20240102T000000'""",
     "payload_ohlc_flatten": """
-SELECT CAST(o_orderkey AS VARCHAR) AS coin_id, epoch_ms(o_orderdate) + i * 86400000 AS timestamp_ms,
-       floor(o_totalprice) + i AS open, floor(o_totalprice) + i + 2 AS high, floor(o_totalprice) + i - 2 AS low,
-       CASE WHEN o_orderkey % 5 <> 0 OR i < 3 THEN floor(o_totalprice) + i + 1 END AS close
-FROM orders, (VALUES (1), (2), (3)) AS v(i) WHERE i <= o_orderkey % 4""",
+WITH bodies AS (
+  SELECT *, CAST(o_orderkey AS VARCHAR) AS coin_id, floor(o_totalprice) AS price, CASE WHEN o_orderkey % 17 = 0 THEN 'busy'
+    WHEN o_orderkey % 19 = 0 THEN 'page' WHEN o_orderkey % 13 = 0 THEN 'damaged' ELSE 'good' END AS kind
+  FROM orders)
+SELECT coin_id, epoch_ms(o_orderdate) + i * 86400000 AS timestamp_ms, price + i AS open, price + i + 2 AS high,
+       price + i - 2 AS low, CASE WHEN o_orderkey % 5 <> 0 OR i < 3 THEN price + i + 1 END AS close,
+       NULL AS _body_reason, NULL AS _body
+FROM bodies, (VALUES (1), (2), (3)) AS v(i) WHERE kind = 'good' AND i <= o_orderkey % 4
+UNION ALL
+SELECT coin_id, epoch_ms(o_orderdate), price, NULL, NULL, price, NULL, NULL FROM bodies WHERE kind = 'damaged'
+UNION ALL
+SELECT coin_id, NULL, 1, 2, 3, 4, NULL, NULL FROM bodies WHERE kind = 'damaged'
+UNION ALL
+SELECT coin_id, NULL, NULL, NULL, NULL, NULL, 'unreadable_body',
+       CASE kind WHEN 'busy' THEN '{"status":{"error_code":429}}' ELSE '<html>busy</html>' END
+FROM bodies WHERE kind IN ('busy', 'page')""",
     "payload_market_zip": """
 WITH sized AS (
   SELECT *, o_orderkey % 4 AS n_prices, o_orderkey % 3 + 1 AS n_caps,
-         CASE WHEN o_orderkey % 11 = 0 THEN 0 ELSE 2 END AS n_volumes
+         CASE WHEN o_orderkey % 11 = 0 THEN 0 ELSE 2 END AS n_volumes,
+         CASE WHEN o_orderkey % 17 = 0 THEN 'body_without_arrays' WHEN o_orderkey % 19 = 0 THEN 'unreadable_body'
+              WHEN o_orderkey % 11 = 0 THEN 'body_without_arrays' WHEN o_orderkey % 4 = 0 THEN 'empty_array' END AS reason
   FROM orders)
 SELECT CAST(o_orderkey AS VARCHAR) AS coin_id, epoch_ms(o_orderdate) + i * 86400000 AS timestamp_ms,
        floor(o_totalprice) + i AS price_usd, floor(o_totalprice) * i AS market_cap_usd,
        CAST(o_custkey + i AS DOUBLE) AS total_volume_usd,
-       NOT (n_prices = n_caps AND n_caps = n_volumes) AS length_mismatch
-FROM sized, (VALUES (1), (2), (3)) AS v(i) WHERE i <= least(n_prices, n_caps, n_volumes)""",
+       NOT (n_prices = n_caps AND n_caps = n_volumes) AS length_mismatch, reason AS _body_reason, FALSE AS _body
+FROM sized, (VALUES (1), (2), (3)) AS v(i) WHERE reason IS NULL AND i <= least(n_prices, n_caps, n_volumes)
+UNION ALL
+SELECT CAST(o_orderkey AS VARCHAR), NULL, NULL, NULL, NULL,
+       o_orderkey % 17 <> 0 AND o_orderkey % 19 <> 0, reason, TRUE
+FROM sized WHERE reason IS NOT NULL""",
     # aggregates
     "row_counts": _with(_SUPPLIER_BARS)
     + """SELECT 'lineitem' AS name, count(*) AS rows FROM lineitem UNION ALL SELECT 'orders', count(*) FROM orders
@@ -315,6 +380,7 @@ UNION ALL SELECT 'events', count(*) FROM events UNION ALL SELECT 'bars', count(*
     + "SELECT coin_id, event_date, close, market_regime FROM silver ORDER BY coin_id, event_date LIMIT 10",
     # silver and gold
     "silver_enriched": _silver + f"SELECT {_SILVER_COLUMNS} FROM silver",
+    "silver_several_per_day": _with(_MERGED_BARS, _SILVER) + f"SELECT {_SILVER_COLUMNS} FROM silver",
     "silver_gaps": _gap_silver + f"SELECT {_SILVER_COLUMNS} FROM silver",
     "daily_summary": _with(_SUPPLIER_BARS, _SILVER, _SUPPLIER_LOOKUP)
     + f"SELECT {_SUMMARY_COLUMNS} FROM silver LEFT JOIN lookup USING (coin_id)",
@@ -361,7 +427,13 @@ averaged AS (
   SELECT *, avg(close) OVER (PARTITION BY coin_id ORDER BY event_date ROWS 29 PRECEDING) AS avg_close_30d FROM spiked)""",
     )
     + _forbidden(*_SPIKES, "averaged"),
-    "dq_zero_volume": _with(_GAP_BARS) + _zero_volume("bars"),
+    "dq_zero_volume": _with(
+        _GAP_BARS,
+        """
+emptied AS (
+  SELECT * REPLACE (CASE WHEN dayofyear(event_date) % 5 = 0 THEN 0 ELSE total_volume_usd END AS total_volume_usd) FROM bars)""",
+    )
+    + _zero_volume("emptied"),
     "dq_regime_dominance": _with(_SUPPLIER_BARS, _SILVER, _REGIME_SHARES) + _regime_rows("shares", 0.8),
     "dq_summary": _with(
         _GAP_BARS,

@@ -12,7 +12,8 @@ class Bars:
     """Which column of a bar table plays which role.
 
     ``time`` may be a DATE (one bar per key and day) or a timestamp (any number
-    of bars per key); see ``operators/series.py`` for what that changes.
+    of bars per key); see ``operators/series.py`` for what that changes. ``ties`` order the
+    rows of one key and time, where there may be several.
     """
 
     key: str = "coin_id"
@@ -23,6 +24,11 @@ class Bars:
     close: str = "close"
     volume: str = "total_volume_usd"
     size: str = "market_cap_usd"
+    ties: tuple[str, ...] = ()
+
+    @property
+    def order(self) -> tuple[str, ...]:
+        return self.time, *self.ties
 
     @property
     def prices(self) -> tuple[str, str, str, str]:
@@ -42,7 +48,7 @@ def _raw(*measures: str) -> T.StructType:
 RAW_OHLC = _raw("open", "high", "low", "close")
 RAW_MARKET = _raw("price_usd", "market_cap_usd", "total_volume_usd")
 
-OHLC_PAYLOAD = T.ArrayType(T.ArrayType(T.DoubleType()))
+OHLC_PAYLOAD = T.ArrayType(T.ArrayType(T.StringType()))
 MARKET_PAYLOAD = T.StructType(
     [T.StructField(name, OHLC_PAYLOAD) for name in ("prices", "market_caps", "total_volumes")]
 )

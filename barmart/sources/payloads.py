@@ -1,4 +1,9 @@
-"""Response bodies of a price service, reshaped to rows of the raw zone."""
+"""Response bodies of a price service, reshaped to rows of the raw zone.
+
+Bodies are parsed to text elements, each of which is then cast by itself: a damaged number costs its own
+field only. A body that holds no rows for another reason than being empty leaves one row without a key, with its text
+and the reason, which bronze sets aside.
+"""
 
 from __future__ import annotations
 
@@ -8,45 +13,69 @@ from pyspark.sql import types as T
 
 from barmart.schemas import MALFORMED, MARKET_PAYLOAD, OHLC_PAYLOAD
 
+REASON, BODY = "_body_reason", "_body"
+UNREADABLE, NO_ARRAYS = "unreadable_body", "body_without_arrays"
+TROUBLE = [REASON, BODY, "length_mismatch"]
+
 
 def _millis(value: Column) -> Column:
-    return value.try_cast("long")
+    """Whole milliseconds, also where they are written as 1.7e12 or 1700000000000.0."""
+    return F.coalesce(value.try_cast("long"), value.try_cast("double").try_cast("long"))
+
+
+def _number(value: Column) -> Column:
+    return value.try_cast("double")
+
+
+def _trouble(reason: Column, payload: str) -> list[Column]:
+    return [reason.alias(REASON), F.when(reason.isNotNull(), F.col(payload)).alias(BODY)]
 
 
 def flatten_ohlc(df: DataFrame, keep: list[str], payload: str = "payload") -> DataFrame:
-    """``[[ms, open, high, low, close], ...]`` to one row per inner array; a missing element is null.
+    """``[[ms, open, high, low, close], ...]`` to one row per inner array; a missing or damaged element is null.
 
-    An unreadable body yields one row of nulls, which the key check of bronze sets aside.
+    A body that isn't such an array yields one row without a key, with its text and the reason.
     """
-    bars = F.coalesce(F.from_json(payload, OHLC_PAYLOAD), F.array(F.lit(None).cast(OHLC_PAYLOAD.elementType)))
+    body = F.col("body")
+    parsed = df.select(*keep, payload, F.from_json(payload, OHLC_PAYLOAD).alias("body"))
+    listed = F.col(payload).rlike(r"^\s*\[")
+    reason = F.when(body.isNull() | ~F.coalesce(listed, F.lit(False)), F.lit(UNREADABLE))
+    none = F.array(F.lit(None).cast(OHLC_PAYLOAD.elementType))
+    bars = parsed.select(*keep, *_trouble(reason, payload), F.explode(F.when(reason.isNull(), body).otherwise(none)).alias("bar"))
     bar = F.col("bar")
-    prices = [F.get(bar, F.lit(i)).alias(name) for i, name in enumerate(("open", "high", "low", "close"), 1)]
-    return df.select(*keep, F.explode(bars).alias("bar")).select(
-        *keep, _millis(F.get(bar, F.lit(0))).alias("timestamp_ms"), *prices
-    )
+    prices = [_number(F.get(bar, F.lit(i))).alias(name) for i, name in enumerate(("open", "high", "low", "close"), 1)]
+    return bars.select(*keep, _millis(F.get(bar, F.lit(0))).alias("timestamp_ms"), *prices, REASON, BODY)
 
 
 def zip_market(df: DataFrame, keep: list[str], payload: str = "payload") -> DataFrame:
     """Three parallel arrays of ``[ms, value]`` to rows, up to the shortest of the three.
 
     The time comes from the prices. ``length_mismatch`` tells whether elements were left
-    over; an absent array counts as empty. An unreadable body yields one row of nulls.
+    over. A body that is unreadable, lacks an array, or whose shortest array is empty while another is not, yields
+    one row without a key, with its text and the reason.
     """
     names = MARKET_PAYLOAD.fieldNames()
     readable = T.StructType([*MARKET_PAYLOAD.fields, T.StructField(MALFORMED, T.StringType())])
     nothing = F.array().cast(MARKET_PAYLOAD[names[0]].dataType)
+    parsed = df.select(*keep, payload, F.from_json(payload, readable).alias("body"))
+    damaged = F.col("body").isNull() | F.col("body")[MALFORMED].isNotNull()
+    absent = F.lit(False)
+    for name in names:
+        absent = absent | F.col("body")[name].isNull()
+    held = parsed.select(
+        *keep, payload, damaged.alias("damaged"), absent.alias("absent"), *[F.coalesce(F.col("body")[n], nothing).alias(n) for n in names]
+    )
     sizes = [F.size(n) for n in names]
-    shortest = F.least(*sizes)
+    shortest, uneven = F.least(*sizes), F.least(*sizes) != F.greatest(*sizes)
+    reason = (
+        F.when(F.col("damaged"), F.lit(UNREADABLE))
+        .when(F.col("absent"), F.lit(NO_ARRAYS))
+        .when((shortest == 0) & uneven, F.lit("empty_array"))
+    )
     points = F.arrays_zip(*[F.slice(n, F.lit(1), shortest).alias(n) for n in names])
     no_point = F.array(F.struct(*[F.lit(None).cast(MARKET_PAYLOAD[n].dataType.elementType).alias(n) for n in names]))
-    cut = (
-        df.select(*keep, F.from_json(payload, readable).alias("body"))
-        .select(*keep, F.col("body")[MALFORMED].alias(MALFORMED), *[F.coalesce(F.col("body")[n], nothing).alias(n) for n in names])
-        .select(
-            *keep,
-            (shortest != F.greatest(*sizes)).alias("length_mismatch"),
-            F.explode(F.when(F.col(MALFORMED).isNull(), points).otherwise(no_point)).alias("point"),
-        )
+    cut = held.select(
+        *keep, *_trouble(reason, payload), uneven.alias("length_mismatch"), F.explode(F.when(reason.isNull(), points).otherwise(no_point)).alias("point")
     )
 
     def element(name: str, index: int) -> Column:
@@ -55,8 +84,10 @@ def zip_market(df: DataFrame, keep: list[str], payload: str = "payload") -> Data
     return cut.select(
         *keep,
         _millis(element("prices", 0)).alias("timestamp_ms"),
-        element("prices", 1).alias("price_usd"),
-        element("market_caps", 1).alias("market_cap_usd"),
-        element("total_volumes", 1).alias("total_volume_usd"),
+        _number(element("prices", 1)).alias("price_usd"),
+        _number(element("market_caps", 1)).alias("market_cap_usd"),
+        _number(element("total_volumes", 1)).alias("total_volume_usd"),
         "length_mismatch",
+        REASON,
+        BODY,
     )

@@ -9,9 +9,19 @@ from pyspark.sql import types as T
 from barmart.schemas import RAW_MARKET, RAW_OHLC
 
 
+def path_part(file: Column, pattern: str) -> Column:
+    """First group of ``pattern`` in a file's URI, decoded; a plus sign stays one."""
+    return F.url_decode(F.replace(F.regexp_extract(file, pattern, 1), F.lit("+"), F.lit("%2B")))
+
+
 def run_id(file: Column) -> Column:
     """Run a raw file belongs to: its name without the extension."""
-    return F.regexp_extract(file, r"([^/]+)\.json$", 1)
+    return path_part(file, r"([^/]+)\.json$")
+
+
+def key_of(file: Column) -> Column:
+    """Series a raw file belongs to: the name of its folder."""
+    return path_part(file, r"([^/]+)/[^/]+$")
 
 
 def _lineage(df: DataFrame) -> DataFrame:
@@ -37,5 +47,4 @@ def read_market(spark: SparkSession, raw: str) -> DataFrame:
 def read_payloads(spark: SparkSession, raw: str, kind: str) -> DataFrame:
     """Whole response bodies laid out like the raw zone: coin_id (directory name), payload, lineage."""
     files = _lineage(spark.read.text(f"{raw}/{kind}/*/*.json", wholetext=True))
-    key = F.regexp_extract("_source_file", r"([^/]+)/[^/]+$", 1)
-    return files.withColumnRenamed("value", "payload").withColumn("coin_id", key)
+    return files.withColumnRenamed("value", "payload").withColumn("coin_id", key_of(F.col("_source_file")))

@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import json
 from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+MARK = "__"
+SCHEMA_FILE = "_schema.json"
 
 
 def write_table(
@@ -20,17 +26,75 @@ def write_table(
     """
     if partition_by and not clustered:
         df = df.hint("rebalance", *partition_by)
-    writer = df.write.format(fmt).mode("overwrite").option("overwriteSchema", True)
+    schema = df.schema
+    writer = _marked(df, partition_by).write.format(fmt).mode("overwrite").option("overwriteSchema", True)
     writer.partitionBy(*partition_by).save(path)
+    _write_schema(df.sparkSession, path, schema, partition_by)
     return read_table(df.sparkSession, path, fmt).count()
 
 
 def append_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     df.write.format(fmt).mode("append").save(path)
+    _write_schema(df.sparkSession, path, df.schema, ())
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    return spark.read.format(fmt).load(path)
+    """A stored table with the column types it was written with.
+
+    Nothing is inferred from the names of partition folders, so a key "007" stays text; a
+    table without rows is read as one. Tables of other origin are read as they are.
+    """
+    known = _read_schema(spark, path)
+    if known is None:
+        return spark.read.format(fmt).load(path)
+    schema, partition_by = known
+    rows = spark.read.format(fmt).schema(schema).load(path)
+    plain = {
+        c: F.when(F.col(c).startswith(MARK), F.substr(F.col(c), F.lit(len(MARK) + 1))).otherwise(F.col(c))
+        for c in _texts(schema, partition_by)
+    }
+    return rows.withColumns(plain).select(*schema.names) if plain else rows.select(*schema.names)
+
+
+def _texts(schema: T.StructType, names) -> list[str]:
+    return [c for c in names if isinstance(schema[c].dataType, T.StringType)]
+
+
+def _marked(df: DataFrame, partition_by: tuple[str, ...]) -> DataFrame:
+    """Folder names keep empty text apart from null: it gets a mark in front, as does text that begins with the mark."""
+    marked = {
+        c: F.when((F.col(c) == "") | F.col(c).startswith(MARK), F.concat(F.lit(MARK), c)).otherwise(F.col(c))
+        for c in _texts(df.schema, partition_by)
+    }
+    return df.withColumns(marked) if marked else df
+
+
+def _schema_file(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    file = jvm.org.apache.hadoop.fs.Path(path, SCHEMA_FILE)
+    return file.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), file
+
+
+def _write_schema(spark: SparkSession, path: str, schema: T.StructType, partition_by: tuple[str, ...]) -> None:
+    """A small file beside the data; Spark's readers skip names that begin with an underscore."""
+    files, file = _schema_file(spark, path)
+    out = files.create(file, True)
+    try:
+        out.write(bytearray(json.dumps({"schema": schema.jsonValue(), "partition_by": partition_by}).encode()))
+    finally:
+        out.close()
+
+
+def _read_schema(spark: SparkSession, path: str) -> tuple[T.StructType, list[str]] | None:
+    files, file = _schema_file(spark, path)
+    if not files.exists(file):
+        return None
+    opened = files.open(file)
+    try:
+        known = json.loads(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(opened, "UTF-8"))
+    finally:
+        opened.close()
+    return T.StructType.fromJson(known["schema"]), known["partition_by"]
 
 
 @contextmanager

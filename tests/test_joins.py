@@ -9,28 +9,38 @@ from barmart.sources.lookup import coin_lookup
 from tests.conftest import plan_of
 
 DAY = date(2024, 1, 1)
+PRICES = "coin_id string, event_date date, timestamp_ms long, open double, high double, low double, close double"
+MEASURES = "coin_id string, event_date date, timestamp_ms long, market_cap_usd double, total_volume_usd double"
 
 
 @pytest.fixture
 def doubled(spark):
     """Two bars of one (key, day) on both sides; the later ones are 2.0 and 20.0."""
     prices = spark.createDataFrame(
-        [("a", DAY, 1, 1.0), ("a", DAY, 2, 2.0), ("b", DAY, 1, 3.0)], "coin_id string, event_date date, timestamp_ms long, close double"
-    )
-    measures = spark.createDataFrame(
-        [("a", DAY, 5, 10.0, 7.0), ("a", DAY, 6, 20.0, 8.0), ("c", DAY, 1, 1.0, 1.0)],
-        "coin_id string, event_date date, timestamp_ms long, market_cap_usd double, total_volume_usd double",
+        [("a", DAY, 1, 0.5, 9.0, 0.4, 1.0), ("a", DAY, 2, 0.7, 8.0, 0.1, 2.0), ("b", DAY, 1, 3.0, 3.0, 3.0, 3.0)], PRICES
     )
+    measures = spark.createDataFrame([("a", DAY, 5, 10.0, 7.0), ("a", DAY, 6, 20.0, 8.0), ("c", DAY, 1, 1.0, 1.0)], MEASURES)
     return prices, measures
 
 
-def test_one_bar_per_day(doubled):
+def test_rows_of_a_day_are_merged(doubled):
     rows = join_bars(*doubled).collect()
-    assert [(r.coin_id, r.close, r.market_cap_usd, r.total_volume_usd) for r in rows] == [("a", 2.0, 20.0, 8.0)]
+    measured = [(r.coin_id, r.open, r.high, r.low, r.close, r.timestamp_ms, r.market_cap_usd, r.total_volume_usd) for r in rows]
+    assert measured == [("a", 0.5, 9.0, 0.1, 2.0, 2, 20.0, 8.0)]
+    assert join_bars(*doubled, total_volume=True).first().total_volume_usd == 15.0
+
+
+def test_unknown_prices_do_not_hide_known_ones(spark):
+    prices = spark.createDataFrame([("a", DAY, 1, None, 3.0, 1.0, 2.0), ("a", DAY, 2, 5.0, None, None, None)], PRICES)
+    measures = spark.createDataFrame([("a", DAY, 1, 4.0, None), ("a", DAY, 2, None, 6.0)], MEASURES)
+    row = join_bars(prices, measures).first()
+    assert (row.open, row.high, row.low, row.close, row.market_cap_usd, row.total_volume_usd) == (5.0, 3.0, 1.0, 2.0, 4.0, 6.0)
 
 
 def test_plain_join_fans_out(doubled):
-    assert join_bars(*doubled, one_per_day=False).count() == 4
+    assert join_bars(*doubled, days="all").count() == 4
+    with pytest.raises(ValueError):
+        join_bars(*doubled, days="some")
 
 
 def test_unknown_keys_stay_in_a_left_join(spark):

@@ -6,6 +6,8 @@ import pytest
 
 import __spark_entry__ as registry
 import check
+from barmart.queries.catalog import QUERIES
+from barmart.queries.oracles import ORACLES
 
 SF = "/root/testdata/sf0.001"
 
@@ -16,10 +18,10 @@ def db():
 
 
 def test_every_query_has_sql():
-    assert set(registry.queries()) == set(registry.oracle_sql())
+    assert set(QUERIES) == set(ORACLES) <= set(registry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(registry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, db, name):
     assert check.differences(spark, db, name, SF) == ""
 

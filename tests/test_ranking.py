@@ -73,3 +73,18 @@ def test_top_rows_per_key(spark):
     df = spark.createDataFrame([("a", i, float(i % 4)) for i in range(9)] + [("b", 0, None)], "k string, i int, v double")
     rows = top_per_key(df, "k", "v", 3, ["i"]).collect()
     assert [(r.k, r.i, r.v) for r in rows] == [("a", 3, 3.0), ("a", 7, 3.0), ("a", 2, 2.0)]
+
+
+def test_crowded_slots_are_divided(spark, monkeypatch):
+    monkeypatch.setattr("barmart.operators.ranking.SLOT_VALUES", 10)
+    rows = [(k % 2, 1000.0 + k // 3 / 1e6) for k in range(900)] + [(0, None), (0, float("nan")), (1, float("inf")), (1, -1e308)]
+    df = spark.createDataFrame(rows, "g int, v double")
+    names = {"rank": "r", "dense_rank": "d", "percent_rank": "p"}
+    split, plain = (rank_values(df, ["g"], "v", names, fits).select("g", "v", "r", "d", F.round("p", 9)) for fits in (False, True))
+    assert sorted(map(str, split.collect())) == sorted(map(str, plain.collect()))
+    assert dict(split.dtypes)["r"] == "bigint"
+
+
+def test_working_names_are_refused(spark):
+    with pytest.raises(ValueError):
+        rank_values(spark.createDataFrame([(1, 1.0, 1)], "g int, v double, _slot int"), ["g"], "v", {"rank": "r"})
