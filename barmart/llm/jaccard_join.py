@@ -30,11 +30,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from barmart.llm.components import components
-from barmart.llm.shared import if_small, lists, stored
+from barmart.llm.shared import if_small, lists, slices, stored
 from barmart.llm.words import WordCodes, shingle_set
 
-#: Shingles seen in so many documents of one Arrow batch are candidates for the list of frequent ones.
-OFTEN_IN_BATCH = 4
+#: Shingles seen in OFTEN of SLICE documents in a row are candidates for the list of frequent ones.
+SLICE, OFTEN = 4096, 3
 #: Length of the list of frequent shingles that tasks hold (1 MB). It only decides the order of shingles, never the links.
 FREQUENT = 1 << 16
 #: Share of a set's shingles that is looked at beyond the least number, so that partners must meet several times.
@@ -52,10 +52,10 @@ def _frequent(texts: DataFrame, length: int) -> np.ndarray:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = WordCodes()
-        for batch in batches:
+        for batch in slices(batches, SLICE):
             sets = _sets(batch, codes, length)
             values, counts = np.unique(np.concatenate([np.empty(0, np.uint64), *sets]), return_counts=True)
-            often = counts >= OFTEN_IN_BATCH
+            often = counts >= OFTEN
             yield pa.RecordBatch.from_arrays(
                 [pa.array(values[often].view(np.int64)), pa.array(counts[often].astype(np.int64))], ["shingle", "n"]
             )
@@ -73,7 +73,7 @@ def shingle_digests(docs: DataFrame, length: int = 5, similarity: float = 0.75)
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = WordCodes()
-        for batch in batches:
+        for batch in slices(batches):
             n, k1, k2, first = [], [], [], []
             for s in _sets(batch, codes, length):
                 n.append(len(s))
@@ -213,7 +213,7 @@ def jaccard_links(docs: DataFrame, digests: DataFrame, length: int = 5, similari
 
         def to_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             codes = WordCodes()
-            for batch in batches:
+            for batch in slices(batches):
                 yield pa.RecordBatch.from_arrays([batch.column(0), lists(_sets(batch, codes, length))], ["rep", "shingles"])
 
         sets = texts.join(wanted, "rep", "left_semi").mapInArrow(to_sets, f"rep {kind}, shingles array<long>")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -54,6 +55,13 @@ def join_kept(wide: DataFrame, kept: DataFrame, on: list[str], how: str = "inner
     return met.unionByName(wide.join(keys, on, "left_anti"), allowMissingColumns=True)
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
+    """Smaller pieces of the batches, so that what is made of one fits a worker's memory many times over."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def lists(arrays: list, kind=None) -> pa.ListArray:
     """An Arrow list column from numpy arrays of 64-bit numbers."""
     import numpy as np

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barmart.llm.shared import join_kept, stored
+from barmart.llm.shared import join_kept, slices, stored
 from barmart.llm.words import STEP, STEP_2, WordCodes, mixed, window_codes
 
 GRAM = 8
@@ -107,7 +107,7 @@ def repeated_spans(docs: DataFrame, length: int = 35, gram: int = GRAM) -> DataF
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = WordCodes()
-        for batch in batches:
+        for batch in slices(batches):
             found, sizes = [], []
             for text in batch.column(2).to_pylist():
                 found.append(blocks_of(codes.of(text.split() if text else []), length, gram))
@@ -150,7 +150,7 @@ def repeated_spans(docs: DataFrame, length: int = 35, gram: int = GRAM) -> DataF
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = WordCodes()
-        for batch in batches:
+        for batch in slices(batches, 256):
             out = []
             for text, wanted in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
                 own = codes.of(text.split())
