@@ -20,7 +20,8 @@ DIMS = 1 << DIMS_BITS
 #: Bounds of the training sample: texts of each language, and languages (those with the most texts).
 PER_LANGUAGE = 384
 LANGUAGES = 64
-LANDMARKS_PER_LANGUAGE = 32
+#: Landmarks of each language, and of all (32 MB as numbers).
+LANDMARKS_PER_LANGUAGE, LANDMARKS = 32, 512
 RIDGE = 1e-2
 BATCH = 64
 
@@ -62,16 +63,21 @@ def presence(texts: list[str | None], letters: np.ndarray) -> tuple[np.ndarray,
     return rows, good
 
 
+def unpacked(bits: np.ndarray) -> np.ndarray:
+    return np.unpackbits(bits, axis=1).astype(np.float32)
+
+
 class Classifier:
-    """Languages, landmark rows and ridge weights; a few MB, bounded by the sample's parameters."""
+    """Languages, landmark rows and ridge weights; bounded by the parameters above. `bits` are packed rows of the sample."""
 
-    def __init__(self, rows: np.ndarray, langs: list[str]):
+    def __init__(self, bits: np.ndarray, langs: list[str]):
         self.langs = sorted(set(langs))
         own = np.array([self.langs.index(x) for x in langs])
-        picked = np.concatenate([np.flatnonzero(own == c)[:LANDMARKS_PER_LANGUAGE] for c in range(len(self.langs))])
-        self.landmarks = rows[picked].T.copy()
+        each = max(1, min(LANDMARKS_PER_LANGUAGE, LANDMARKS // len(self.langs)))
+        picked = np.concatenate([np.flatnonzero(own == c)[:each] for c in range(len(self.langs))])
+        self.landmarks = unpacked(bits[picked]).T.copy()
         self.norms = np.sqrt(np.maximum(self.landmarks.sum(0), 1))
-        near = self.kernels(rows).astype(np.float64)
+        near = np.concatenate([self.kernels(unpacked(bits[i : i + 512])) for i in range(0, len(bits), 512)]).astype(np.float64)
         target = (own[:, None] == np.arange(len(self.langs))) * 1.0
         among = near[picked]
         self.weights = np.linalg.solve(
@@ -115,8 +121,8 @@ def fit(labelled: DataFrame, key: str = "doc_id") -> Classifier | None:
     if not got:
         return None
     got.sort(key=lambda r: (r["lang"], str(r[key]), bytes(r["bits"])))
-    matrix = np.unpackbits(np.frombuffer(b"".join(bytes(r["bits"]) for r in got), np.uint8).reshape(len(got), -1), axis=1)
-    return Classifier(matrix.astype(np.float32), [r["lang"] for r in got])
+    matrix = np.frombuffer(b"".join(bytes(r["bits"]) for r in got), np.uint8).reshape(len(got), -1)
+    return Classifier(matrix, [r["lang"] for r in got])
 
 
 def predict(docs: DataFrame, model: Classifier | None, keep: tuple[str, ...]) -> DataFrame:

@@ -45,7 +45,7 @@ def test_kernel_counts_common_grams():
     letters = language_id.letter_table()
     rows, good = language_id.presence(["abc abd", "xyz", "123", None, "abc abd"], letters)
     assert good.tolist() == [True, True, False, False, True]
-    model = language_id.Classifier(rows[[0, 1]], ["p", "q"])
+    model = language_id.Classifier(np.packbits(rows[[0, 1]].astype(bool), axis=1), ["p", "q"])
     near = model.kernels(rows)
     assert np.isclose(near[0, 0], 1) and near[0, 1] < 0.5 and np.isclose(near[4, 0], 1) and near[2].max() == 0
 
