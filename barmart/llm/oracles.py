@@ -96,9 +96,82 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) A
 FROM docs LEFT JOIN kept USING (r)
 """
 
+_UPPER, _LOW = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_URL = "'(?s)^.*?://([^/?#]*)([^?#]*)'"
+
+
+def _order(k: int, order: int) -> str:
+    """One level of the Witten-Bell mixture: contexts of k characters."""
+    mix = ", ".join(
+        f"CASE WHEN coalesce(n{c}, 0) > 0 THEN (coalesce({c}, 0) + t{c} * p{c}) / (n{c} + t{c}) ELSE p{c} END AS p{c}" for c in "ar"
+    )
+    return f"""own{k} AS (
+    SELECT right(g, {k + 1}) AS tail, sum(a) AS a, sum(r) AS r FROM counts GROUP BY 1
+), context{k} AS (
+    SELECT left(tail, {k}) AS context, sum(a) AS na, sum(r) AS nr, count(*) FILTER (a > 0) AS ta, count(*) FILTER (r > 0) AS tr
+    FROM own{k} GROUP BY 1
+), mixed{k} AS (
+    SELECT w.g, {mix}
+    FROM {f"mixed{k - 1}" if k else "evenly"} w LEFT JOIN own{k} o ON o.tail = right(w.g, {k + 1})
+    LEFT JOIN context{k} c ON c.context = substr(w.g, {order - k + 1}, {k})
+), """
+
+
+def _grams(order: int) -> str:
+    return f"substr(repeat(chr(2), {order}) || text || chr(3), unnest(generate_series(1, length(text) + 1)), {order + 1})"
+
+
+URLS = f"""
+WITH parsed AS (
+    SELECT page_id, translate(coalesce(regexp_extract(url, {_URL}, 1), ''), '{_UPPER}', '{_LOW}') AS host,
+        coalesce(regexp_extract(url, {_URL}, 2), '') AS path
+    FROM pages
+), ruled AS (
+    SELECT *, host || path AS text, CASE
+        WHEN (host = 'example.net' OR ends_with(host, '.example.net')) AND starts_with(path, '/en/') THEN 'example.net/en/'
+        WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/de/') THEN 'example.com/de/'
+        WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/fr/') THEN 'org/fr/'
+        WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/') THEN 'net/' END AS rule
+    FROM parsed
+), known AS (
+    SELECT text, rule IN ('example.net/en/', 'org/fr/') AS accepted, count(*) AS n, substr(md5(text), 1, 1) < '3' AS held
+    FROM ruled WHERE rule IS NOT NULL GROUP BY ALL
+), texts AS (
+    SELECT text FROM ruled WHERE rule IS NULL UNION SELECT text FROM known WHERE held
+), counts AS (
+    SELECT g, count(*) FILTER (accepted) AS a, count(*) FILTER (NOT accepted) AS r
+    FROM (SELECT accepted, {_grams(4)} AS g FROM known WHERE NOT held) GROUP BY g
+), cut AS (
+    SELECT text, {_grams(4)} AS g FROM texts
+), evenly AS (
+    SELECT DISTINCT g, CAST(1.0 / 256 AS DOUBLE) AS pa, CAST(1.0 / 256 AS DOUBLE) AS pr FROM cut
+), {"".join(_order(k, 4) for k in range(5))}scores AS (
+    SELECT text, CAST(floor(CAST(sum(ratio) AS DOUBLE) / count(*)) AS BIGINT) AS score
+    FROM cut JOIN (SELECT g, CAST(round((ln(pa) - ln(pr)) * 1000000) AS BIGINT) AS ratio FROM mixed4) USING (g) GROUP BY text
+), steps AS (
+    SELECT greatest(-512, least(512, floor(score * 64 / 1000000))) AS step, accepted, n FROM known JOIN scores USING (text) WHERE held
+), tried AS (
+    SELECT t, (SELECT sum(n) FROM steps WHERE accepted) AS good, (SELECT sum(n) FROM steps WHERE NOT accepted) AS bad,
+        (SELECT coalesce(sum(n), 0) FROM steps WHERE accepted AND step < t) AS low_good,
+        (SELECT coalesce(sum(n), 0) FROM steps WHERE NOT accepted AND step < t) AS low_bad
+    FROM generate_series(-512, 512) AS s(t)
+), best AS (
+    SELECT t FROM tried
+    WHERE good > 0 AND bad > 0 QUALIFY rank() OVER (ORDER BY low_good * bad + (bad - low_bad) * good) = 1
+), chosen AS (
+    SELECT coalesce(max(floor(t * 1000000 / 64)), 0) AS threshold
+    FROM (SELECT t, row_number() OVER (ORDER BY t) - 1 AS place, count(*) OVER () AS many FROM best) WHERE place = many // 2
+)
+SELECT page_id, host, path, rule, CASE rule WHEN 'net/' THEN 'block' WHEN 'example.com/de/' THEN 'block'
+    WHEN 'example.net/en/' THEN 'allow' WHEN 'org/fr/' THEN 'allow'
+    ELSE CASE WHEN score < (SELECT threshold FROM chosen) THEN 'block' ELSE 'allow' END END AS verdict
+FROM ruled LEFT JOIN scores USING (text)
+"""
+
 ORACLES: dict[str, str] = {
     "op1_jaccard_join": JACCARD,
     "op2_topk_search": TOP_K,
     "op3_curriculum_mix": MIX,
+    "op4_url_filter": URLS,
     "op7_substring_dedup": REPEATS,
 }

@@ -3,8 +3,8 @@
 The URLs that the rules accept and reject train two smoothed variable-order Markov models of characters. The probability of
 a character after a context of `order` characters mixes in that of the shorter contexts by Witten-Bell weights, down to an
 even one over ALPHABET characters, so an unseen context falls back to the longest suffix that was seen. A URL that no rule
-fits is blocked if its log-likelihood difference, divided by its length, lies below a threshold that was calibrated on a fifth of
-the ruled URLs, which the models aren't trained on.
+fits is blocked if its log-likelihood difference, divided by its length, lies below a threshold that was calibrated on three sixteenths of
+the ruled URLs (by MD5), which the models aren't trained on.
 
 Counts and model tables are grouped and joined by n-gram; each distinct text is scored once. Log ratios are whole millionths,
 so sums don't depend on the order of rows.
@@ -126,7 +126,7 @@ def judge(pages: DataFrame, rules: dict[str, str] = RULES, order: int = ORDER) -
     rows = stored(ruled(pages.select("page_id", "url"), rules).drop("url"), "ruled")
     text = F.concat("host", "path").alias("text")
     known = rows.filter("rule IS NOT NULL").groupBy(text, (F.col("verdict") == "allow").alias("accepted")).agg(F.count("*").alias("n"))
-    known = stored(known.withColumn("held", F.pmod(F.xxhash64("text"), F.lit(5)) == 0), "known")
+    known = stored(known.withColumn("held", F.substring(F.md5("text"), 1, 1) < "3"), "known")
     open_ = rows.filter("rule IS NULL").select(text).distinct()
     texts = stored(open_.unionByName(known.filter("held").select("text")).distinct(), "texts")
     wanted = texts.select(F.explode(grams(F.col("text"), order)).alias("gram")).distinct()
