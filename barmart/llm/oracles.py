@@ -168,10 +168,105 @@ SELECT page_id, host, path, rule, CASE rule WHEN 'net/' THEN 'block' WHEN 'examp
 FROM ruled LEFT JOIN scores USING (text)
 """
 
+_DIMS = range(4)
+
+
+def _squared() -> str:
+    """Squared distance of z* from mean m* and Cholesky factor l**: forward substitution."""
+    solved: list[str] = []
+    for i in _DIMS:
+        value = f"z{i} - m{i}" + "".join(f" - l{i}{j} * ({solved[j]})" for j in range(i))
+        solved.append(f"({value}) / l{i}{i}")
+    return " + ".join(f"({y}) * ({y})" for y in solved)
+
+
+def _concentrate(step: int, floors: tuple[float, ...]) -> str:
+    """One step: the closest three quarters of each group, their moments, and the factor of their covariance."""
+    sums = ", ".join(
+        [f"sum(CAST(z{i} AS DOUBLE)) AS s{i}" for i in _DIMS]
+        + [f"sum(CAST(z{i} * z{j} AS DOUBLE)) AS p{i}{j}" for i in _DIMS for j in range(i + 1)]
+    )
+    levels, source = [], f"moments{step}"
+    for i in _DIMS:
+        for j in range(i + 1):
+            value = f"p{i}{j} / n - m{i} * m{j}" + "".join(f" - l{i}{k} * l{j}{k}" for k in range(j))
+            value = f"sqrt(greatest({value}, 0) + {(floors[i] * 1024) ** 2!r}::DOUBLE)" if i == j else f"({value}) / l{j}{j}"
+            levels.append(f"factor{step}_{i}{j} AS (SELECT *, {value} AS l{i}{j} FROM {source})")
+            source = f"factor{step}_{i}{j}"
+    return f"""binned{step} AS (
+    SELECT *, CAST(floor(ln(1 + {_squared()}) * 64) AS BIGINT) AS bin FROM placed JOIN estimate{step} USING (key)
+), edges{step} AS (
+    SELECT key, quantile_cont(bin, 0.75) AS edge FROM binned{step} GROUP BY key
+), sums{step} AS (
+    SELECT key, count(*) AS n, {sums} FROM binned{step} JOIN edges{step} USING (key) WHERE bin <= edge GROUP BY key
+), moments{step} AS (
+    SELECT *, {", ".join(f"s{i} / n AS m{i}" for i in _DIMS)} FROM sums{step}
+), {", ".join(levels)}, estimate{step + 1} AS (SELECT {_ESTIMATE} FROM {source}), """
+
+
+_ESTIMATE = ", ".join(["key", *(f"m{i}" for i in _DIMS), *(f"l{i}{j}" for i in _DIMS for j in range(i + 1))])
+_FLOORS = (0.08, 0.25, 0.15, 0.15)
+_START = ", ".join(
+    [f"quantile_cont(z{i}, 0.5) AS m{i}" for i in _DIMS]
+    + [
+        f"greatest((quantile_cont(z{i}, 0.75) - quantile_cont(z{i}, 0.25)) / 1.349::DOUBLE, {_FLOORS[i] * 1024!r}::DOUBLE) AS l{i}{j}"
+        if i == j
+        else f"CAST(0 AS DOUBLE) AS l{i}{j}"
+        for i in _DIMS
+        for j in range(i + 1)
+    ]
+)
+
+QUALITY = rf"""
+WITH docs AS (
+    SELECT row_number() OVER () AS r, doc_id, coalesce('+' || lang, '-') AS lang,
+        coalesce('+' || lang, '-') || chr(1) || coalesce('+' || source, '-') AS own, coalesce(text, '') AS text,
+        {_WORDS} AS w
+    FROM documents
+), windows AS (
+    SELECT r, i, w[i:i + 2] AS k FROM (SELECT r, w, unnest(generate_series(1, len(w) - 2)) AS i FROM docs WHERE len(w) > 2)
+), again AS (
+    SELECT r, count(DISTINCT i + j) AS n FROM (SELECT r, i FROM windows QUALIFY count(*) OVER (PARTITION BY r, k) > 1),
+        generate_series(0, 2) AS s(j) GROUP BY r
+), counted AS (
+    SELECT r, doc_id, lang, own, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+        CAST(length(text) - length(translate(text, '#*$%&|<>', '')) AS BIGINT) AS n_symbols,
+        list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^ 	-]')) AS lines,
+        CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words
+    FROM docs LEFT JOIN again USING (r)
+), statistics AS (
+    SELECT * EXCLUDE (lines), CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, len(lines) AS n_lines,
+        n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed
+    FROM counted
+), vectors AS (
+    SELECT *, CAST(round(ln(greatest(word_chars, 1) / greatest(n_words, 1)) * 1024) AS BIGINT) AS z0,
+        CAST(round(ln(1 + 100 * n_symbols / greatest(word_chars, 1)) * 1024) AS BIGINT) AS z1,
+        CAST(round(n_dup_lines / greatest(n_lines, 1) * 1024) AS BIGINT) AS z2,
+        CAST(round(n_repeat_words / greatest(n_words, 1) * 1024) AS BIGINT) AS z3
+    FROM statistics
+), sizes AS (
+    SELECT own, CASE WHEN count(*) >= 50 THEN own ELSE lang END AS key, count(*) AS n FROM vectors WHERE NOT base_failed GROUP BY own, lang
+), keys AS (
+    SELECT own, key FROM sizes QUALIFY sum(n) OVER (PARTITION BY key) >= 50
+), placed AS (
+    SELECT key, z0, z1, z2, z3 FROM vectors JOIN keys USING (own) WHERE NOT base_failed
+), estimate0 AS (
+    SELECT key, {_START} FROM placed GROUP BY key
+), {_concentrate(0, _FLOORS)}{_concentrate(1, _FLOORS)}halves AS (
+    SELECT key, greatest(1, (exp(quantile_cont(CAST(floor(ln(1 + {_squared()}) * 64) AS BIGINT), 0.5) / 64) - 1) / 3.357::DOUBLE)
+        * 28.47::DOUBLE AS cutoff
+    FROM placed JOIN estimate2 USING (key) GROUP BY key
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+    NOT base_failed AND NOT coalesce({_squared()} > cutoff, FALSE) AS kept
+FROM vectors LEFT JOIN (SELECT * FROM keys JOIN estimate2 USING (key) JOIN halves USING (key)) USING (own)
+"""
+
 ORACLES: dict[str, str] = {
     "op1_jaccard_join": JACCARD,
     "op2_topk_search": TOP_K,
     "op3_curriculum_mix": MIX,
     "op4_url_filter": URLS,
+    "op5_quality_rules": QUALITY,
     "op7_substring_dedup": REPEATS,
 }

@@ -92,7 +92,7 @@ def _vectors(rows: DataFrame) -> DataFrame:
     words, chars, lines = (F.greatest(F.col(c), F.lit(1)) for c in ("n_words", "word_chars", "n_lines"))
     values = (
         F.log(chars / words),
-        F.log1p(100 * F.col("n_symbols") / chars),
+        F.log(1 + 100 * F.col("n_symbols") / chars),
         F.col("n_dup_lines") / lines,
         F.col("n_repeat_words") / words,
     )
@@ -131,7 +131,7 @@ def _factor(moments: DataFrame) -> DataFrame:
 
 def _bin(squared: Column) -> Column:
     """Fine logarithmic steps of a distance, so that exact quantiles need a bounded number of counters."""
-    return F.floor(F.log1p(squared) * 64).cast("long")
+    return F.floor(F.log(1 + squared) * 64).cast("long")
 
 
 def fit(rows: DataFrame) -> DataFrame:
@@ -156,7 +156,7 @@ def fit(rows: DataFrame) -> DataFrame:
         estimate = stored(_factor(moments), "estimate")
     placed = rows.join(if_small(estimate, groups), "key").withColumn("bin", _bin(_squared(rows)))
     half = placed.groupBy("key").agg(F.percentile("bin", F.lit(0.5)).alias("half"))
-    scale = F.greatest(F.lit(1.0), F.expm1(F.col("half") / 64) / MIDDLE)
+    scale = F.greatest(F.lit(1.0), (F.exp(F.col("half") / 64) - 1) / MIDDLE)
     return stored(estimate.join(half.select("key", (scale * CUTOFF).alias("cutoff")), "key"), "estimate")
 
 
