@@ -26,8 +26,10 @@ WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)
 SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 NONE = 1 << 60
 LONG = 256
-MEMO = 400_000
+#: Entries of the memos of units and words, and the longest text that they keep; together some 300 MB in a worker.
+MEMO = 600_000
 MEMO_CHARS = 48
+ENDS = frozenset(".,;:!?")
 
 
 def _byte_letters() -> dict[str, int]:
@@ -57,6 +59,7 @@ class Bpe(dict):
         self.added = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.bytes_of |= {i: t.encode() for t, i in self.added.items()}
         self.words = regex.compile(WORDS)
+        self.known: dict[str, tuple[int, ...]] = {}
         self.units = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
         longest = sorted(self.added, key=len, reverse=True)
         self.special = re.compile("(" + "|".join(map(re.escape, longest)) + ")") if longest else None
@@ -98,8 +101,27 @@ class Bpe(dict):
                     heapq.heappush(heap, (again, x, parts[x], parts[y]))
         return [p for p, alive in zip(parts, live) if alive]
 
+    def cut(self, unit: str) -> list[str] | tuple[str, ...]:
+        """The words of a unit; plain letters with a space before and a mark behind them need no pattern."""
+        body = unit[1:] if unit[0] == " " else unit
+        if body.isalpha():
+            return (unit,)
+        if body[-1:] in ENDS and body[:-1].isalpha():
+            return unit[:-1], unit[-1]
+        return self.words.findall(unit)
+
+    def word(self, word: str) -> tuple[int, ...]:
+        ids = self.known.get(word)
+        if ids is None:
+            ids = tuple(self.merged(word.encode()))
+            if len(word) <= MEMO_CHARS:
+                if len(self.known) >= MEMO:
+                    self.known.clear()
+                self.known[word] = ids
+        return ids
+
     def __missing__(self, unit: str) -> tuple[int, ...]:
-        ids = tuple(chain.from_iterable(self.merged(w.encode()) for w in self.words.findall(unit)))
+        ids = tuple(chain.from_iterable(map(self.word, self.cut(unit))))
         if len(unit) <= MEMO_CHARS:
             if len(self) >= MEMO:
                 self.clear()
