@@ -13,12 +13,14 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from barmart.llm.shared import stored
+
 WEIGHTS = (5, 2, 1)
 #: Slope of each weight's schedule w(t) = 1 - slope + 2 * slope * t, from -1 (early) to 1 (late).
 SLOPES = (-0.5, 0.0, 0.5)
 MOST = 3
 #: Documents that one bucket of a source holds on average; the order within a source is found bucket by bucket.
-BUCKET = 4096
+BUCKET = 256
 
 
 def n_words(text: Column) -> Column:
@@ -96,7 +98,7 @@ def mix_digests(docs: DataFrame) -> DataFrame:
 
     Null and empty texts have size 0 and are never taken. A null source is a source. Rows that repeat a doc_id count each.
     """
-    plan = mix_plan(docs.select("doc_id", "source", n_words(F.col("text")).alias("size")))
+    plan = mix_plan(stored(docs.select("doc_id", "source", n_words(F.col("text")).alias("size")), "sizes"))
     middle = (F.col("before") + F.col("size") / 2) / F.col("target")
     at = F.when(F.col("taken") > 0, position(F.least(middle, F.lit(1.0)), F.col("slope"))).otherwise(F.lit(2.0))
     return plan.withColumn("at", at).orderBy("at", "doc_id").select("doc_id", "size", "source_size", "target", "taken")
