@@ -287,8 +287,19 @@ def jaccard_classes(docs: DataFrame, length: int = 5, similarity: float = 0.75)
 
 
 def one_of_each(docs: DataFrame, length: int = 5, similarity: float = 0.75) -> DataFrame:
-    """The rows of `docs` that stand for their class: the smallest doc_id, once. Rows without text or doc_id stay."""
-    classes = jaccard_classes(docs, length, similarity)
-    drop = classes.filter("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(drop, "doc_id", "left_anti")
-    return kept
+    """The rows of `docs` that stand for their class: the smallest doc_id, once. Rows without text or doc_id stay.
+
+    Of the rows that repeat a doc_id with text, the one with the longest text stays.
+    """
+    classes = stored(jaccard_classes(docs, length, similarity), "classes")
+    drop = stored(classes.filter("doc_id <> component_id").select("doc_id").distinct(), "drop")
+    kept = docs.join(if_small(drop, drop.count()), "doc_id", "left_anti")
+    again = classes.filter("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("times"))
+    again = stored(again.filter("times > 1").select("doc_id"), "again")
+    times = again.count()
+    if not times:
+        return kept
+    again = if_small(again, times)
+    place = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.length("text").desc_nulls_last(), "text"))
+    single = kept.join(again, "doc_id", "left_semi").select(F.struct("*").alias("_row"), place.alias("_place"))
+    return kept.join(again, "doc_id", "left_anti").unionByName(single.filter("_place = 1").select("_row.*"))

@@ -7,8 +7,6 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 
-from .conftest import SCHEMA
-
 
 def test_stages_pass_rows_on(spark, messy, tmp_path):
     docs = messy
