@@ -75,7 +75,10 @@ def zip_market(df: DataFrame, keep: list[str], payload: str = "payload") -> Data
     points = F.arrays_zip(*[F.slice(n, F.lit(1), shortest).alias(n) for n in names])
     no_point = F.array(F.struct(*[F.lit(None).cast(MARKET_PAYLOAD[n].dataType.elementType).alias(n) for n in names]))
     cut = held.select(
-        *keep, *_trouble(reason, payload), uneven.alias("length_mismatch"), F.explode(F.when(reason.isNull(), points).otherwise(no_point)).alias("point")
+        *keep,
+        *_trouble(reason, payload),
+        uneven.alias("length_mismatch"),
+        F.explode(F.when(reason.isNull(), points).otherwise(no_point)).alias("point"),
     )
 
     def element(name: str, index: int) -> Column:
