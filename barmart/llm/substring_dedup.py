@@ -184,6 +184,7 @@ def repeated_spans(docs: DataFrame, length: int = 35, gram: int = GRAM) -> DataF
         .groupBy("anchor", "block")
         .agg(F.bit_or(F.expr("shiftleft(1L, CAST(off AS INT))")).alias("mask"))
     )
+    masks = stored(masks, "masks")
     parts = known.filter("NOT alike").join(masks, ["anchor", "block"]).select("_t1", "_t2", (place + F.col("mask")).alias("span"))
     return whole.unionByName(parts).groupBy("_t1", "_t2").agg(F.collect_set("span").alias("spans"))
 
