@@ -16,12 +16,16 @@ Jaccard distance (one minus similarity) is a metric, and the join works on regio
 4. What a region leaves open (the sets beyond the radius among each other, and the window against the core) is joined
    the same way again, pivot by pivot. A small region is joined in one task. Of a large one, the distances to the pivot are
    taken row by row, and only what stays open is cut into blocks, every two of which meet in a task of their own.
+
+Steps 3 and 4 give enough links to connect every class. `jaccard_pairs` and `jaccard_counts` give or count all links: every
+two sets of a region are compared, in blocks of large regions, and a pair that shares several regions counts in the first.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -41,12 +45,22 @@ FREQUENT = 1 << 16
 EXTRA = 0.05
 #: Sets that one task holds of a region; a larger region is dealt to many tasks.
 BLOCK = 512
+#: Shingles whose columns one matrix product takes.
+WIDTH = 4096
+#: Shingles that are sorted at once when all pairs of a region are compared.
+PIECE = 1 << 20
 
 
 def _sets(batch: pa.RecordBatch, codes: WordCodes, length: int) -> list[np.ndarray]:
     return [shingle_set(t.lower().split() if t else [], codes, length) for t in batch.column(1).to_pylist()]
 
 
+def _keys(sets: list[np.ndarray]) -> list[pa.Array]:
+    """Both halves of the 128-bit key of each set."""
+    whole = [xxhash.xxh3_128_intdigest(s.tobytes(), 1) for s in sets]
+    return [pa.array([half - (1 << 63) for half in part], pa.int64()) for part in ([x & ((1 << 64) - 1) for x in whole], [x >> 64 for x in whole])]
+
+
 def _frequent(texts: DataFrame, length: int) -> np.ndarray:
     """Shingles that are frequent in the whole table, at most FREQUENT, the most frequent first."""
 
@@ -69,24 +83,21 @@ def shingle_digests(docs: DataFrame, length: int = 5, similarity: float = 0.75)
     """(doc_id, n, k1, k2, first): size, 128-bit key and the first shingles of each document's set."""
     texts = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
     frequent = _frequent(texts, length)
-    seed = 1
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = WordCodes()
         for batch in slices(batches):
-            n, k1, k2, first = [], [], [], []
-            for s in _sets(batch, codes, length):
+            sets, n, first = _sets(batch, codes, length), [], []
+            k1, k2 = _keys(sets)
+            for s in sets:
                 n.append(len(s))
-                low = xxhash.xxh3_128_intdigest(s.tobytes(), seed)
-                k1.append((low & ((1 << 64) - 1)) - (1 << 63))
-                k2.append((low >> 64) - (1 << 63))
                 keep = len(s) - math.ceil(similarity * len(s) - 1e-9) + int(EXTRA * len(s) + 1e-9) + 1 if len(s) else 0
                 if len(frequent) and len(s):
                     late = frequent[np.minimum(np.searchsorted(frequent, s), len(frequent) - 1)] == s
                     s = np.concatenate([s[~late], s[late]])
                 first.append(s[:keep])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(k1, pa.int64()), pa.array(k2, pa.int64()), lists(first)],
+                [batch.column(0), pa.array(n, pa.int64()), k1, k2, lists(first)],
                 ["doc_id", "n", "k1", "k2", "first"],
             )
 
@@ -152,6 +163,43 @@ def region_links(ids: list, sets: list[np.ndarray], pivot: int, similarity: floa
     return links if core.all() else links + join_open(ids, sets, core, far, similarity)
 
 
+def _shared(sets: list[np.ndarray]) -> np.ndarray:
+    """How many members every two of the sorted sets share; a set's own size isn't told."""
+    total = np.zeros((len(sets), len(sets)), np.int64)
+    pieces = sum(len(s) for s in sets) // PIECE + 1
+    edges = np.array([(k << 64) // pieces for k in range(1, pieces)], np.uint64)
+    cuts = [np.concatenate([[0], np.searchsorted(s, edges), [len(s)]]).astype(np.int64) for s in sets]
+    for k in range(pieces):
+        part = [s[c[k] : c[k + 1]] for s, c in zip(sets, cuts)]
+        rows = np.repeat(np.arange(len(part)), [len(s) for s in part])
+        _, codes, counts = np.unique(np.concatenate([np.empty(0, np.uint64), *part]), return_inverse=True, return_counts=True)
+        several = counts > 1
+        held = several[codes]
+        rows, codes = rows[held], (np.cumsum(several) - 1)[codes[held]]
+        order = np.argsort(codes, kind="stable")
+        rows, codes = rows[order], codes[order]
+        for low in range(0, int(several.sum()), WIDTH):
+            a, b = np.searchsorted(codes, [low, low + WIDTH])
+            block = np.zeros((len(sets), min(WIDTH, int(several.sum()) - low)), np.float32)
+            block[rows[a:b], codes[a:b] - low] = 1
+            total += (block @ block.T).astype(np.int64)
+    return total
+
+
+def region_pairs(sets: list[np.ndarray], before: list[np.ndarray], own: list[int] | None, similarity: float) -> np.ndarray:
+    """A symmetric matrix of the pairs of a region that link and share no region before this one.
+
+    `before` are the earlier regions of each set. Where two blocks of a region meet, `own` is the block of each set, and only
+    pairs between the two are told.
+    """
+    sizes = np.array([len(s) for s in sets], np.int64)
+    found = _linked(_shared(sets), sizes[:, None], sizes[None, :], similarity)
+    np.fill_diagonal(found, False)
+    if own is not None:
+        found &= np.not_equal.outer(own, own)
+    return found & (_shared(before) == 0) if found.any() else found
+
+
 def _groups(batches: Iterator[pa.RecordBatch], key: int) -> Iterator[list[tuple]]:
     """Rows of sorted batches, by runs of equal keys (the first `key` columns)."""
     now, rows = None, []
@@ -176,19 +224,42 @@ def _pairs(found: list[tuple], kind: pa.DataType) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], kind) for i in (0, 1)], ["a", "b"])
 
 
-def jaccard_links(docs: DataFrame, digests: DataFrame, length: int = 5, similarity: float = 0.75) -> tuple[DataFrame, DataFrame]:
-    """(representatives, links): (k1, k2, rep) and edges (a, b) between representatives that connect every class."""
+class Regions(NamedTuple):
+    """Distinct sets and the regions in which they meet."""
+
+    #: (k1, k2, rep, doc, n): key, number, smallest doc_id and size of each set.
+    reps: DataFrame
+    #: doc_ids of several rows.
+    again: DataFrame
+    #: (pivot, rep): the sets of each region.
+    region: DataFrame
+    #: (pivot, size, heart): regions of two sets or more, with the smallest number in them.
+    sizes: DataFrame
+    #: with_sets(rows, weight) adds the shingles of `rep`, made again from the texts of just these documents; `weight` tells how
+    #: many numbers the rows hold.
+    with_sets: Callable[[DataFrame, int], DataFrame]
+
+
+def jaccard_regions(docs: DataFrame, digests: DataFrame, length: int = 5, similarity: float = 0.75) -> Regions:
+    """The regions of all sets: every two sets that link meet in one of them or more."""
     kind = dict(docs.dtypes)["doc_id"]
     known = digests.filter("n > 0 AND doc_id IS NOT NULL")
-    reps = stored(known.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n")), "representatives")
-    chosen = if_small(reps.select("k1", "k2", F.col("rep").alias("doc_id")), reps.count())
-    postings = known.join(chosen, ["k1", "k2", "doc_id"], "left_semi").select(
-        F.explode("first").alias("shingle"), F.col("doc_id").alias("rep")
-    )
+    reps = known.groupBy("k1", "k2").agg(F.min("doc_id").alias("doc"), F.first("n").alias("n"))
+    reps = stored(reps.withColumn("rep", F.monotonically_increasing_id()), "representatives")
+    n_reps = reps.count()
+    again = stored(known.groupBy("doc_id").agg(F.count("*").alias("times")).filter("times > 1").select("doc_id"), "again")
+    n_again = again.count()
+    key = ["k1", "k2", "doc_id"]
+    chosen = if_small(reps.select("k1", "k2", F.col("doc").alias("doc_id"), "rep"), n_reps)
+    firsts = known.join(chosen, key)
+    if n_again:
+        few = if_small(again, n_again)
+        firsts = firsts.join(few, "doc_id", "left_anti").unionByName(firsts.join(few, "doc_id", "left_semi").dropDuplicates(["rep"]))
+    postings = firsts.select(F.explode("first").alias("shingle"), "rep")
     shared = stored(postings.groupBy("shingle").agg(F.count("*").alias("sets")).filter("sets > 1").select("shingle"), "shared")
     common = stored(postings.join(shared, "shingle"), "common")
     need = F.floor(similarity * EXTRA * F.col("n") - 1e-9) + 1
-    able = common.groupBy("rep").agg(F.count("*").alias("have")).join(reps.groupBy("rep").agg(F.min("n").alias("n")), "rep")
+    able = common.groupBy("rep").agg(F.count("*").alias("have")).join(reps.select("rep", "n"), "rep")
     able = stored(able.withColumn("need", need).filter("have >= need").select("rep", "n", "need"), "able")
     n_able = able.count()
     shell = F.floor(F.log("n") / F.lit(-math.log(similarity)) + 1e-9)
@@ -202,22 +273,39 @@ def jaccard_links(docs: DataFrame, digests: DataFrame, length: int = 5, similari
     region = stored(region, "region")
     sizes = region.groupBy("pivot").agg(F.count("*").alias("size"), F.min("rep").alias("heart")).filter("size > 1")
     sizes = stored(sizes, "sizes")
-    n_regions = sizes.count()
-    hot, mild = [if_small(sizes.filter(f"size {op} {BLOCK}").select("pivot", "heart"), n_regions) for op in (">", "<=")]
 
-    def with_sets(rows: DataFrame) -> DataFrame:
-        """Adds the shingles of `rep`, made again from the texts of just these documents."""
-        count = rows.count()
-        wanted = if_small(rows.select("rep").distinct(), count)
-        texts = docs.select(F.col("doc_id").alias("rep"), F.col("text").cast("binary").alias("text"))
+    def with_sets(rows: DataFrame, count: int) -> DataFrame:
+        wanted = reps.join(if_small(rows.select("rep").distinct(), count), "rep", "left_semi")
+        wanted = if_small(wanted.select("k1", "k2", F.col("doc").alias("doc_id"), "rep"), count)
+        texts = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
 
         def to_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             codes = WordCodes()
             for batch in slices(batches):
-                yield pa.RecordBatch.from_arrays([batch.column(0), lists(_sets(batch, codes, length))], ["rep", "shingles"])
+                sets = _sets(batch, codes, length)
+                k1, k2 = _keys(sets)
+                yield pa.RecordBatch.from_arrays([batch.column(0), k1, k2, lists(sets)], [*key[2:], *key[:2], "shingles"])
+
+        texts = texts.join(if_small(wanted.select("doc_id").distinct(), count), "doc_id", "left_semi")
+        sets = texts.mapInArrow(to_sets, f"doc_id {kind}, k1 long, k2 long, shingles array<long>")
+        sets = sets.filter(F.size("shingles") > 0).join(wanted, key).select("doc_id", "rep", "shingles")
+        if n_again:
+            few = if_small(again, n_again)
+            once = sets.join(few, "doc_id", "left_semi").dropDuplicates(["rep"])
+            sets = sets.join(few, "doc_id", "left_anti").unionByName(once)
+        return sets.drop("doc_id").join(if_small(rows, count), "rep")
+
+    return Regions(reps, again, region, sizes, with_sets)
+
 
-        sets = texts.join(wanted, "rep", "left_semi").mapInArrow(to_sets, f"rep {kind}, shingles array<long>")
-        return sets.filter(F.size("shingles") > 0).join(if_small(rows, count), "rep")
+def jaccard_links(docs: DataFrame, digests: DataFrame, length: int = 5, similarity: float = 0.75) -> tuple[DataFrame, DataFrame]:
+    """(representatives, links): (k1, k2, rep) and edges (a, b) between documents that connect every class, not all links.
+
+    The documents are the representatives, and those whose doc_id has several texts.
+    """
+    reps, again, region, sizes, with_sets = jaccard_regions(docs, digests, length, similarity)
+    n_regions = sizes.count()
+    hot, mild = [if_small(sizes.filter(f"size {op} {BLOCK}").select("pivot", "heart"), n_regions) for op in (">", "<=")]
 
     def join_regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found, id_kind = [], pa.int64()
@@ -228,11 +316,13 @@ def jaccard_links(docs: DataFrame, digests: DataFrame, length: int = 5, similari
                 found = []
         yield _pairs(found, id_kind)
 
-    whole = with_sets(region.join(mild, "pivot").drop("heart")).select("pivot", "rep", "shingles")
+    rows = region.join(mild, "pivot").drop("heart")
+    whole = with_sets(rows, rows.count()).select("pivot", "rep", "shingles")
     links = whole.repartition("pivot").sortWithinPartitions("pivot", "rep").mapInArrow(join_regions, "a long, b long")
 
     # Hot regions: the same steps, with the distances to the pivot and the open rest dealt to many tasks.
-    large = stored(with_sets(region.join(hot, "pivot")), "large")
+    rows = region.join(hot, "pivot")
+    large = stored(with_sets(rows, rows.count()), "large")
     heart = large.filter("rep = heart").select("pivot", F.col("shingles").alias("around"))
     both = F.size(F.array_intersect("shingles", "around")).cast("long")
     union = F.size("shingles") + F.size("around") - both
@@ -262,7 +352,97 @@ def jaccard_links(docs: DataFrame, digests: DataFrame, length: int = 5, similari
     keys = ["pivot", "i", "j"]
     more = cut.repartition(*keys).sortWithinPartitions(*keys, "rep").mapInArrow(join_blocks, "a long, b long")
     direct = placed.filter("core").select(F.col("rep").alias("a"), F.col("heart").alias("b"))
-    return reps, links.unionByName(direct).unionByName(more)
+    links = _named(links.unionByName(direct).unionByName(more), reps)
+    texts = digests.join(if_small(again, again.count()), "doc_id", "left_semi").filter("n > 0")
+    texts = texts.join(reps, ["k1", "k2"]).select(F.col("doc_id").alias("a"), F.col("doc").alias("b"))
+    return reps.select("k1", "k2", F.col("doc").alias("rep")), links.unionByName(texts)
+
+
+def _named(links: DataFrame, reps: DataFrame) -> DataFrame:
+    """Links between numbers of sets as links between their smallest doc_ids."""
+    names = stored(reps.select("rep", "doc"), "names")
+    count = names.count()
+    for end in ("a", "b"):
+        own = names.select(F.col("rep").alias(end), F.col("doc").alias("_doc"))
+        links = links.join(if_small(own, count), end).drop(end).withColumnRenamed("_doc", end)
+    return links.select("a", "b")
+
+
+def _all_links(regions: Regions, sums: bool, similarity: float) -> DataFrame:
+    """(a, b) for every two sets that link, each pair once; or (a, b) rows of a set and a number of documents that link with it,
+    which add up to all."""
+    reps, _, region, sizes, with_sets = regions
+    n_regions = sizes.count()
+    blocks = F.ceil(F.col("size") / F.lit(BLOCK)).cast("int").alias("blocks")
+    members = stored(region.join(if_small(sizes.select("pivot", blocks), n_regions), "pivot"), "members")
+    pivots = members.groupBy("rep").agg(F.collect_list("pivot").alias("pivots"))
+    own = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
+    before = F.array_sort(F.filter("pivots", lambda p: p < F.col("pivot")))
+    copies = F.col("copies") if sums else F.lit(1).cast("long").alias("copies")
+    cut = (
+        members.join(pivots, "rep")
+        .withColumns({"own": own, "before": before})
+        .withColumn("mate", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .join(reps.select("rep", copies), "rep")
+        .select("pivot", F.least("own", "mate").alias("i"), F.greatest("own", "mate").alias("j"), "rep", "own", "before", "copies")
+    )
+    cut = stored(cut, "cut")
+    weight = cut.agg(F.sum(F.size("before") + 6)).first()[0] or 0
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _groups(batches, 3):
+            ids, copies = np.array([r[3] for r in rows], np.int64), np.array([r[7] for r in rows], np.int64)
+            _, i, j = rows[0][:3]
+            own = [r[4] for r in rows] if i != j else None
+            found = region_pairs([r[5] for r in rows], [r[6] for r in rows], own, similarity)
+            if sums:
+                some = found.any(axis=1)
+                a, b = ids[some], found[some] @ copies
+            else:
+                a, b = (ids[x] for x in np.nonzero(np.triu(found)))
+            for at in range(0, len(a), 1 << 16):
+                yield pa.RecordBatch.from_arrays([pa.array(x[at : at + (1 << 16)]) for x in (a, b)], ["a", "b"])
+
+    keys = ["pivot", "i", "j"]
+    cut = with_sets(cut, weight).select(*keys, "rep", "own", "shingles", "before", "copies")
+    return cut.repartition(*keys).sortWithinPartitions(*keys, "rep").mapInArrow(compare, "a long, b long")
+
+
+def _prepared(docs: DataFrame, length: int, similarity: float) -> tuple[DataFrame, DataFrame]:
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return docs, stored(shingle_digests(docs, length, similarity), "digests")
+
+
+def jaccard_pairs(docs: DataFrame, length: int = 5, similarity: float = 0.75) -> DataFrame:
+    """(a, b): every link between distinct sets of shingles, once, by the smallest doc_id of each set, a the smaller.
+
+    A doc_id with several texts stands for each of its sets; if two of these link, a equals b. Copies (equal sets) link with
+    each other and with all that their representative links with; they aren't listed.
+    """
+    docs, digests = _prepared(docs, length, similarity)
+    regions = jaccard_regions(docs, digests, length, similarity)
+    links = _named(_all_links(regions, False, similarity), regions.reps)
+    return links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+
+def jaccard_counts(docs: DataFrame, length: int = 5, similarity: float = 0.75) -> DataFrame:
+    """(doc_id, n_shingles, n_links) for every row of `docs`: with how many other documents its text links, copies included.
+
+    Rows that repeat doc_id and set count as one document, other texts of a doc_id as documents of their own. Null and empty
+    texts and rows without doc_id link with nothing.
+    """
+    docs, digests = _prepared(docs, length, similarity)
+    regions = jaccard_regions(docs, digests, length, similarity)
+    known = digests.filter("n > 0 AND doc_id IS NOT NULL").select("k1", "k2", "doc_id").distinct()
+    copies = known.groupBy("k1", "k2").agg(F.count("*").alias("copies"))
+    reps = stored(regions.reps.join(copies, ["k1", "k2"]), "copies")
+    sums = _all_links(regions._replace(reps=reps), True, similarity)
+    sums = sums.groupBy(F.col("a").alias("rep")).agg(F.sum("b").alias("others"))
+    totals = reps.join(sums, "rep", "left").select(
+        "k1", "k2", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("total")
+    )
+    linked = F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("total")).otherwise(F.lit(0).cast("long"))
+    return digests.join(totals, ["k1", "k2"], "left").select("doc_id", F.col("n").alias("n_shingles"), linked.alias("n_links"))
 
 
 def jaccard_classes(docs: DataFrame, length: int = 5, similarity: float = 0.75) -> DataFrame:
@@ -272,8 +452,7 @@ def jaccard_classes(docs: DataFrame, length: int = 5, similarity: float = 0.75)
     doc_id link with nothing and have a null class. Rows that repeat a doc_id are returned as often as they occur; if their
     texts differ, they count as texts of one document. An empty table gives an empty table.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    digests = stored(shingle_digests(docs, length, similarity), "digests")
+    docs, digests = _prepared(docs, length, similarity)
     reps, links = jaccard_links(docs, digests, length, similarity)
     roots = components(links)
     classes = reps.join(roots.withColumnRenamed("vertex", "rep"), "rep", "left").select(

@@ -32,6 +32,14 @@ def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_classes(_table(spark, sf_dir))
 
 
+def op1_jaccard_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_pairs(_table(spark, sf_dir))
+
+
+def op1_jaccard_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_counts(_table(spark, sf_dir))
+
+
 def op2_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk_search.self_search(_table(spark, sf_dir, "embeddings"))
 
@@ -72,6 +80,8 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_jaccard_join,
+        op1_jaccard_pairs,
+        op1_jaccard_counts,
         op2_topk_search,
         op3_curriculum_mix,
         op4_url_filter,

@@ -90,5 +90,50 @@ def test_one_of_each_keeps_columns_and_null_ids(messy, messy_rows):
     assert set(got) == want and len(got) == len(want)
 
 
+def all_links(rows):
+    """Links of distinct sets by smallest doc_id, and the other documents that each text links with."""
+    documents = {(r[0], frozenset(shingles(r[1]))) for r in rows if r[0] is not None and shingles(r[1])}
+    low = {}
+    for i, s in documents:
+        low[s] = min(i, low.get(s, i))
+    linked = {(s, t) for s in low for t in low if 100 * len(s & t) >= 75 * len(s | t)}
+    pairs = sorted(tuple(sorted((low[s], low[t]))) for s, t in linked if s != t)[::2]
+    copies = {s: sum(t == s for _, t in documents) for s in low}
+    total = {s: sum(copies[t] for u, t in linked if u == s) - 1 for s in low}
+    counts = [(str(r[0]), len(shingles(r[1])), total.get(frozenset(shingles(r[1])), 0) if r[0] is not None else 0) for r in rows]
+    return pairs, sorted(counts)
+
+
+def same_links(df, rows):
+    pairs, counts = all_links(rows)
+    assert sorted((r.a, r.b) for r in jaccard_join.jaccard_pairs(df).collect()) == pairs
+    assert sorted((str(r[0]), r[1], r[2]) for r in jaccard_join.jaccard_counts(df).collect()) == counts
+
+
+def test_all_links_and_counts(messy, messy_rows):
+    pairs, _ = all_links(messy_rows)
+    assert len(pairs) > 200
+    same_links(messy, messy_rows)
+
+
+def test_all_links_of_hot_regions(messy, messy_rows, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "BLOCK", 6)
+    monkeypatch.setattr(jaccard_join, "WIDTH", 50)
+    monkeypatch.setattr(jaccard_join, "PIECE", 1000)
+    same_links(messy, messy_rows)
+
+
+def test_texts_of_one_doc_id(spark):
+    rng = random.Random(3)
+    words = [f"w{rng.randrange(5000)}" for _ in range(200)]
+    texts = [" ".join(words), " ".join(words[:-3]), " ".join(words[5:]), "alone " * 3 + "in all of this table", " ".join(words[40:80])]
+    rows = [doc_row(i, texts[k]) for i, k in [(1, 0), (2, 1), (2, 3), (2, 3), (3, 3), (4, 2), (4, 4), (4, 0), (5, 4), (6, 4)]]
+    df = spark.createDataFrame(rows, SCHEMA)
+    same_links(df, rows)
+    assert result(df) == brute(rows)
+
+
 def test_empty_table(no_docs):
+    assert jaccard_join.jaccard_pairs(no_docs).collect() == []
+    assert jaccard_join.jaccard_counts(no_docs).collect() == []
     assert jaccard_join.jaccard_classes(no_docs).collect() == []
