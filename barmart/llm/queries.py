@@ -49,6 +49,10 @@ def op3_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(_table(spark, sf_dir, "pages"), whole=False)
+
+
+def op4_whole_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(_table(spark, sf_dir, "pages"))
 
 
@@ -85,6 +89,7 @@ QUERIES: dict[str, Query] = {
         op2_topk_search,
         op3_curriculum_mix,
         op4_url_filter,
+        op4_whole_url_filter,
         op5_quality_rules,
         op6_toxicity,
         op7_substring_dedup,

@@ -6,6 +6,9 @@ even one over ALPHABET characters, so an unseen context falls back to the longes
 fits is blocked if its log-likelihood difference, divided by its length, lies below a threshold that was calibrated on three sixteenths of
 the ruled URLs (by MD5), which the models aren't trained on.
 
+The models read the whole URL, with its host in lower case, as often as it occurs; the rules read host and path only. With
+`whole=False` they read distinct texts of host and path, as the SQL of the registered query op4_url_filter does.
+
 Counts and model tables are grouped and joined by n-gram; each distinct text is scored once. Log ratios are whole millionths,
 so sums don't depend on the order of rows.
 """
@@ -35,6 +38,15 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
     return host, F.coalesce(F.regexp_extract(url, parts, 2), F.lit(""))
 
 
+def whole_url(url: Column) -> Column:
+    """The text that the models read: all of the url, A-Z of its host in lower case; empty for null."""
+    url = F.coalesce(url, F.lit(""))
+    before = F.regexp_extract(url, r"(?s)^(.*?://)[^/?#]*", 1)
+    host, _ = host_and_path(url)
+    rest = F.substring(url, F.length(before) + F.length(host) + 1, F.length(url))
+    return F.when(before == "", url).otherwise(F.concat(before, host, rest))
+
+
 def longest_rule(host: Column, path: Column, rules: dict[str, str]) -> Column:
     """The longest rule that fits, or null. A rule fits its host and subdomains, if the path starts with the rule's."""
     found = F.lit(None).cast("string")
@@ -63,11 +75,13 @@ def grams(text: Column, order: int) -> Column:
 def model_ratios(train: DataFrame, wanted: DataFrame, order: int = ORDER) -> DataFrame:
     """(gram, ratio): log probability of each wanted gram among accepted less that among rejected texts, in millionths.
 
-    `train` has (text, accepted), `wanted` has distinct (gram). Both models come from one table of counts.
+    `train` has (text, accepted) and may have n, how often the text occurs; `wanted` has distinct (gram). Both models come
+    from one table of counts.
     """
-    one = F.when(F.col("accepted"), 1).otherwise(0)
+    n = F.col("n") if "n" in train.columns else F.lit(1)
+    a, r = (F.when(kind, n).otherwise(0) for kind in (F.col("accepted"), ~F.col("accepted")))
     counts = (
-        train.select(F.explode(grams(F.col("text"), order)).alias("gram"), one.alias("a"), (1 - one).alias("r"))
+        train.select(F.explode(grams(F.col("text"), order)).alias("gram"), a.alias("a"), r.alias("r"))
         .groupBy("gram")
         .agg(F.sum("a").alias("a"), F.sum("r").alias("r"))
     )
@@ -117,22 +131,24 @@ def calibrated(scores: DataFrame) -> int:
     return best[len(best) // 2] * SCALE // STEPS
 
 
-def judge(pages: DataFrame, rules: dict[str, str] = RULES, order: int = ORDER) -> DataFrame:
+def judge(pages: DataFrame, rules: dict[str, str] = RULES, order: int = ORDER, whole: bool = True) -> DataFrame:
     """(page_id, host, path, rule, verdict) for every row of `pages` (page_id, url; other columns are ignored).
 
     A url that is null or has no `://` has an empty host and path. Where there are no accepted or no rejected ones to learn
     from, and for a score that equals the threshold, the verdict is allow. Repeated rows are returned as often as they occur.
     """
-    rows = stored(ruled(pages.select("page_id", "url"), rules).drop("url"), "ruled")
-    text = F.concat("host", "path").alias("text")
-    known = rows.filter("rule IS NOT NULL").groupBy(text, (F.col("verdict") == "allow").alias("accepted")).agg(F.count("*").alias("n"))
+    rows = ruled(pages.select("page_id", "url"), rules)
+    rows = stored(rows.withColumn("text", whole_url(F.col("url")) if whole else F.concat("host", "path")).drop("url"), "ruled")
+    accepted = (F.col("verdict") == "allow").alias("accepted")
+    known = rows.filter("rule IS NOT NULL").groupBy("text", accepted).agg(F.count("*").alias("n"))
     known = stored(known.withColumn("held", F.substring(F.md5("text"), 1, 1) < "3"), "known")
-    open_ = rows.filter("rule IS NULL").select(text).distinct()
+    open_ = rows.filter("rule IS NULL").select("text").distinct()
     texts = stored(open_.unionByName(known.filter("held").select("text")).distinct(), "texts")
     wanted = texts.select(F.explode(grams(F.col("text"), order)).alias("gram")).distinct()
-    ratios = stored(model_ratios(known.filter("NOT held"), wanted, order), "ratios")
+    train = known.filter("NOT held")
+    ratios = stored(model_ratios(train if whole else train.drop("n"), wanted, order), "ratios")
     scores = stored(text_scores(texts, if_small(ratios, ratios.count()), order), "scores")
     threshold = calibrated(known.filter("held").join(scores, "text").select("score", "accepted", "n"))
-    judged = rows.withColumn("text", text).join(scores, "text", "left")
+    judged = rows.join(scores, "text", "left")
     own = F.when(F.col("score") < threshold, "block").otherwise("allow")
     return judged.select("page_id", "host", "path", "rule", F.coalesce("verdict", own).alias("verdict"))

@@ -101,5 +101,30 @@ def test_learnt_verdicts_follow_the_hosts(spark):
     assert got[500] == "allow" and got[501] == "block"
 
 
+def test_the_model_reads_the_whole_url(spark):
+    rows = [(k, f"http://a.org/fr/?ref=school{k}#top") for k in range(200)]
+    rows += [(k, f"http://b.net/fr/?win=casino{k}#buy") for k in range(200, 400)]
+    rows += [(500, "http://c.xyz/1?ref=school7#top"), (501, "http://c.xyz/1?win=casino7#buy"), (502, "ref=school9#top"), (503, "win=casino9#buy")]
+    got = {r.page_id: r.verdict for r in url_filter.judge(frame(spark, rows)).collect()}
+    assert [got[k] for k in (500, 501, 502, 503)] == ["allow", "block", "allow", "block"]
+
+
+def test_text_of_the_model(spark):
+    df = spark.createDataFrame([(u,) for u in ODD], "url string")
+    got = [r[0] for r in df.select(url_filter.whole_url(df.url)).collect()]
+    low = {"https://Example.NET/en/a?b#c": "https://example.net/en/a?b#c", "x://EXAMPLE.com/de/#": "x://example.com/de/#", "http://ÄB.org/FR/": "http://Äb.org/FR/"}
+    assert got == [low.get(u, u) or "" for u in ODD]
+
+
+def test_repeated_urls_weigh_as_often_as_they_occur(spark):
+    once = [("ab", True, 1), ("ab", True, 1), ("ac", True, 1), ("ad", False, 1)]
+    wanted = spark.createDataFrame([("ab",), ("ac",), ("ad",)], "gram string")
+    got = [
+        {r.gram: r.ratio for r in url_filter.model_ratios(spark.createDataFrame(rows, "text string, accepted boolean, n int"), wanted, 1).collect()}
+        for rows in (once, [("ab", True, 2), *once[2:]])
+    ]
+    assert got[0] == got[1] and got[0]["ab"] > got[0]["ac"]
+
+
 def test_empty_table(spark):
     assert url_filter.judge(frame(spark, [])).collect() == []
