@@ -298,12 +298,10 @@ def jaccard_regions(docs: DataFrame, digests: DataFrame, length: int = 5, simila
     return Regions(reps, again, region, sizes, with_sets)
 
 
-def jaccard_links(docs: DataFrame, digests: DataFrame, length: int = 5, similarity: float = 0.75) -> tuple[DataFrame, DataFrame]:
-    """(representatives, links): (k1, k2, rep) and edges (a, b) between documents that connect every class, not all links.
-
-    The documents are the representatives, and those whose doc_id has several texts.
-    """
-    reps, again, region, sizes, with_sets = jaccard_regions(docs, digests, length, similarity)
+def jaccard_links(docs: DataFrame, digests: DataFrame, length: int = 5, similarity: float = 0.75) -> tuple[Regions, DataFrame]:
+    """The regions, and edges (a, b) between numbers of sets that connect every class, not all links."""
+    regions = jaccard_regions(docs, digests, length, similarity)
+    _, _, region, sizes, with_sets = regions
     n_regions = sizes.count()
     hot, mild = [if_small(sizes.filter(f"size {op} {BLOCK}").select("pivot", "heart"), n_regions) for op in (">", "<=")]
 
@@ -352,10 +350,7 @@ def jaccard_links(docs: DataFrame, digests: DataFrame, length: int = 5, similari
     keys = ["pivot", "i", "j"]
     more = cut.repartition(*keys).sortWithinPartitions(*keys, "rep").mapInArrow(join_blocks, "a long, b long")
     direct = placed.filter("core").select(F.col("rep").alias("a"), F.col("heart").alias("b"))
-    links = _named(links.unionByName(direct).unionByName(more), reps)
-    texts = digests.join(if_small(again, again.count()), "doc_id", "left_semi").filter("n > 0")
-    texts = texts.join(reps, ["k1", "k2"]).select(F.col("doc_id").alias("a"), F.col("doc").alias("b"))
-    return reps.select("k1", "k2", F.col("doc").alias("rep")), links.unionByName(texts)
+    return regions, links.unionByName(direct).unionByName(more)
 
 
 def _named(links: DataFrame, reps: DataFrame) -> DataFrame:
@@ -453,9 +448,12 @@ def jaccard_classes(docs: DataFrame, length: int = 5, similarity: float = 0.75)
     texts differ, they count as texts of one document. An empty table gives an empty table.
     """
     docs, digests = _prepared(docs, length, similarity)
-    reps, links = jaccard_links(docs, digests, length, similarity)
-    roots = components(links)
-    classes = reps.join(roots.withColumnRenamed("vertex", "rep"), "rep", "left").select(
+    regions, links = jaccard_links(docs, digests, length, similarity)
+    reps, again = regions.reps, regions.again
+    texts = digests.join(if_small(again, again.count()), "doc_id", "left_semi").filter("n > 0")
+    texts = texts.join(reps, ["k1", "k2"]).select(F.col("doc_id").alias("a"), F.col("doc").alias("b"))
+    roots = components(_named(links, reps).unionByName(texts))
+    classes = reps.select("k1", "k2", F.col("doc").alias("rep")).join(roots.withColumnRenamed("vertex", "rep"), "rep", "left").select(
         "k1", "k2", F.coalesce("root", "rep").alias("root")
     )
     return digests.join(classes, ["k1", "k2"], "left").select(
@@ -468,17 +466,30 @@ def jaccard_classes(docs: DataFrame, length: int = 5, similarity: float = 0.75)
 def one_of_each(docs: DataFrame, length: int = 5, similarity: float = 0.75) -> DataFrame:
     """The rows of `docs` that stand for their class: the smallest doc_id, once. Rows without text or doc_id stay.
 
-    Of the rows that repeat a doc_id with text, the one with the longest text stays.
+    Here each text of a repeated doc_id is judged by its own set. Of the rows that repeat doc_id and set, and of the sets of one
+    doc_id in one class, one row stays; of rows with equal sets, the one with the longest text.
     """
-    classes = stored(jaccard_classes(docs, length, similarity), "classes")
-    drop = stored(classes.filter("doc_id <> component_id").select("doc_id").distinct(), "drop")
-    kept = docs.join(if_small(drop, drop.count()), "doc_id", "left_anti")
-    again = classes.filter("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("times"))
-    again = stored(again.filter("times > 1").select("doc_id"), "again")
+    own, digests = _prepared(docs, length, similarity)
+    regions, links = jaccard_links(own, digests, length, similarity)
+    reps, again = regions.reps, regions.again
+    classes = reps.join(components(links).withColumnRenamed("vertex", "rep"), "rep", "left")
+    classes = stored(classes.withColumn("root", F.coalesce("root", "rep")), "classes")
+    first = classes.groupBy("root").agg(F.min(F.struct("doc", "rep")).alias("first"))
+    sets = classes.join(first, "root").select(
+        "k1", "k2", F.when(F.col("rep") == F.col("first.rep"), F.col("doc")).alias("stays")
+    )
+    judged = digests.filter("n > 0 AND doc_id IS NOT NULL").join(sets, ["k1", "k2"])
     times = again.count()
+    few = if_small(again, times)
+    drop = judged.filter("stays IS NULL OR stays <> doc_id").select("doc_id").distinct()
+    drop = stored(drop.join(few, "doc_id", "left_anti"), "drop")
+    kept = docs.join(if_small(drop, drop.count()), "doc_id", "left_anti")
     if not times:
         return kept
-    again = if_small(again, times)
-    place = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.length("text").desc_nulls_last(), "text"))
-    single = kept.join(again, "doc_id", "left_semi").select(F.struct("*").alias("_row"), place.alias("_place"))
-    return kept.join(again, "doc_id", "left_anti").unionByName(single.filter("_place = 1").select("_row.*"))
+    several = kept.join(few, "doc_id", "left_semi").select(F.struct("*").alias("_row"), "doc_id", "text")
+    several = several.withColumn("_code", F.sha2(F.coalesce("text", F.lit("")), 256))
+    codes = shingle_digests(several.select(F.col("_code").alias("doc_id"), "text").dropDuplicates(["doc_id"]), length, similarity)
+    several = several.join(codes.select(F.col("doc_id").alias("_code"), "k1", "k2", "n"), "_code").join(sets, ["k1", "k2"], "left")
+    place = F.row_number().over(Window.partitionBy("doc_id", "k1", "k2").orderBy(F.length("text").desc_nulls_last(), "text"))
+    single = several.withColumn("_place", place).filter("n = 0 OR (_place = 1 AND stays = doc_id)").select("_row.*")
+    return kept.join(few, "doc_id", "left_anti").unionByName(single)

@@ -133,6 +133,16 @@ def test_texts_of_one_doc_id(spark):
     assert result(df) == brute(rows)
 
 
+def test_one_of_each_judges_each_text_of_a_doc_id(spark):
+    rng = random.Random(4)
+    a, b, c = (" ".join(f"w{rng.randrange(5000)}" for _ in range(80)) for _ in range(3))
+    rows = [doc_row(i, t) for i, t in [(1, a), (5, a + " x"), (5, b), (5, b), (5, " " + b), (5, ""), (5, None), (6, b), (7, c), (7, c + " y"), (None, a)]]
+    kept = jaccard_join.one_of_each(spark.createDataFrame(rows, SCHEMA)).collect()
+    got = sorted((str(r.doc_id), r.text or "") for r in kept)
+    assert got[:5] == sorted([("1", a), ("5", " " + b), ("5", ""), ("5", ""), *[g for g in got if g[0] == "7"]]) and len(got) == 6
+    assert got[5] == ("None", a) and got[4][1] in (c, c + " y")
+
+
 def test_empty_table(no_docs):
     assert jaccard_join.jaccard_pairs(no_docs).collect() == []
     assert jaccard_join.jaccard_counts(no_docs).collect() == []
