@@ -231,7 +231,8 @@ WITH docs AS (
 ), counted AS (
     SELECT r, doc_id, lang, own, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
         CAST(length(text) - length(translate(text, '#*$%&|<>', '')) AS BIGINT) AS n_symbols,
-        list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^ 	-]')) AS lines,
+        list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^ 	-
+]')) AS lines,
         CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words
     FROM docs LEFT JOIN again USING (r)
 ), statistics AS (
@@ -262,6 +263,53 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM vectors LEFT JOIN (SELECT * FROM keys JOIN estimate2 USING (key) JOIN halves USING (key)) USING (own)
 """
 
+#: CRC-32 (polynomial 3988292384, reflected) of a text of characters below U+0800, byte by byte.
+_CRC = """crc AS (
+    SELECT list_transform(range(256), lambda i: list_reduce(range(8),
+        lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)) AS steps
+)"""
+
+
+def _crc32(text: str) -> str:
+    letters = f"list_transform(string_split({text}, ''), lambda c: CASE WHEN unicode(c) < 128 THEN [unicode(c)::BIGINT] ELSE [192 + (unicode(c)::BIGINT >> 6), 128 + (unicode(c)::BIGINT & 63)] END)"
+    turned = f"list_reduce(flatten({letters}), lambda a, b: xor(a >> 8, steps[1 + (xor(a, b) & 255)]), 4294967295)"
+    return f"xor({turned}, 4294967295)"
+
+
+SPELLING = rf"""
+WITH RECURSIVE {_CRC}, runs AS (
+    SELECT doc_id, run, count(*) AS n FROM (
+        SELECT doc_id, unnest(regexp_extract_all({_LOWER}, '[a-z\x{{C0}}-\x{{FF}}]+')) AS run FROM documents
+    ) GROUP BY doc_id, run
+), checked AS (
+    SELECT run, n, {_crc32("coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run")} AS h FROM runs, crc
+), words AS (
+    SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word,
+        CAST(sum(n) AS BIGINT) AS n
+    FROM checked GROUP BY word HAVING length(word) >= 5 AND sum(n) >= 3
+), cut AS (
+    SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+    FROM (SELECT word, unnest(generate_series(1, length(word))) AS i FROM words)
+), near AS (
+    SELECT a.word, b.word AS other FROM cut a JOIN cut b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+    UNION SELECT a.word, b.word FROM cut a JOIN words b ON a.rest = b.word
+    UNION SELECT b.word, a.word FROM cut a JOIN words b ON a.rest = b.word
+), best AS (
+    SELECT near.word, count(*) OVER (PARTITION BY near.word) AS n_near, other, o.n AS other_n
+    FROM near JOIN words o ON o.word = other
+    QUALIFY row_number() OVER (PARTITION BY near.word ORDER BY o.n DESC, other) = 1
+), judged AS (
+    SELECT word, n, coalesce(n_near, 0) AS n_near,
+        CASE WHEN other_n >= 2 * n THEN other END AS form, CASE WHEN other_n >= 2 * n THEN other_n END AS form_n
+    FROM words LEFT JOIN best USING (word)
+), walk AS (
+    SELECT word, word AS seen FROM words
+    UNION ALL SELECT walk.word, form FROM walk JOIN judged ON judged.word = seen WHERE form IS NOT NULL
+)
+SELECT j.word, j.n, j.n_near, j.form, j.form_n, seen AS root
+FROM judged j JOIN walk ON walk.word = j.word JOIN judged last ON last.word = seen AND last.form IS NULL
+"""
+
 ORACLES: dict[str, str] = {
     "op1_jaccard_join": JACCARD,
     "op2_topk_search": TOP_K,
@@ -269,4 +317,5 @@ ORACLES: dict[str, str] = {
     "op4_url_filter": URLS,
     "op5_quality_rules": QUALITY,
     "op7_substring_dedup": REPEATS,
+    "op11_spelling_variants": SPELLING,
 }

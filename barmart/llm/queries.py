@@ -13,6 +13,7 @@ from barmart.llm import (
     jaccard_join,
     language_id,
     quality_rules,
+    spelling_variants,
     substring_dedup,
     token_counts,
     topk_search,
@@ -80,6 +81,10 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_digests(_table(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.spelling_variants(_table(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -96,5 +101,6 @@ QUERIES: dict[str, Query] = {
         op8_token_counts,
         op9_language_id,
         op10_bpe,
+        op11_spelling_variants,
     )
 }
