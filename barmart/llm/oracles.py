@@ -310,6 +310,42 @@ SELECT j.word, j.n, j.n_near, j.form, j.form_n, seen AS root
 FROM judged j JOIN walk ON walk.word = j.word JOIN judged last ON last.word = seen AND last.form IS NULL
 """
 
+TRIE = rf"""
+WITH {_CRC}, turns AS (
+    SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (PARTITION BY conv_id
+        ORDER BY turn NULLS FIRST, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS place
+    FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+    SELECT conv_id, conv_id - conv_id % 20 AS base, {_crc32("CAST(conv_id AS VARCHAR)")} % 4 AS h
+    FROM (SELECT DISTINCT conv_id FROM turns), crc
+), based AS (
+    SELECT c.*, least(h, (SELECT count(*) FROM turns WHERE turns.conv_id = c.base)) AS taken FROM convs c
+), rebuilt AS (
+    SELECT c.conv_id, place AS pos, role, text FROM based c JOIN turns t ON t.conv_id = c.base AND place <= taken
+    UNION ALL SELECT c.conv_id, place - h + taken, role, text FROM based c JOIN turns t ON t.conv_id = c.conv_id AND place > h
+), sequences AS (
+    SELECT c.conv_id, coalesce(list({{'role': role, 'text': text}} ORDER BY pos) FILTER (pos IS NOT NULL), []) AS turns
+    FROM based c LEFT JOIN rebuilt r ON r.conv_id = c.conv_id GROUP BY c.conv_id
+), members AS (
+    SELECT conv_id, len(turns) AS total, d AS depth, turns[1:d] AS path FROM sequences, unnest(range(0, len(turns) + 1)) AS u(d)
+), nodes AS (
+    SELECT path, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+        sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (total = depth), '')) AS ends_sha256
+    FROM members GROUP BY path, depth
+), children AS (
+    SELECT path[1:depth - 1] AS path, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY ALL
+), valued AS (
+    SELECT nodes.*, coalesce(n, 0) AS n_children, CASE WHEN depth = 0 THEN 0
+        ELSE (n_convs - 1) * len(regexp_extract_all(path[depth].text, '[^\x20\x09-\x0D]+')) END AS own
+    FROM nodes LEFT JOIN children USING (path)
+), subtrees AS (
+    SELECT path[1:d] AS path, count(*) FILTER (n_children = 0) AS n_leaves, CAST(sum(own) AS BIGINT) AS saved_tokens
+    FROM valued, unnest(range(0, depth + 1)) AS u(d) GROUP BY ALL
+)
+SELECT v.conv_id, v.depth, p.conv_id AS parent_conv_id, v.n_convs, v.n_children, n_leaves, saved_tokens, v.ends_sha256
+FROM valued v JOIN subtrees USING (path) LEFT JOIN nodes p ON v.depth > 0 AND p.path = v.path[1:v.depth - 1]
+"""
+
 ORACLES: dict[str, str] = {
     "op1_jaccard_join": JACCARD,
     "op2_topk_search": TOP_K,
@@ -318,4 +354,5 @@ ORACLES: dict[str, str] = {
     "op5_quality_rules": QUALITY,
     "op7_substring_dedup": REPEATS,
     "op11_spelling_variants": SPELLING,
+    "op13_prefix_trie": TRIE,
 }

@@ -12,6 +12,7 @@ from barmart.llm import (
     curriculum_mix,
     jaccard_join,
     language_id,
+    prefix_trie,
     quality_rules,
     spelling_variants,
     substring_dedup,
@@ -85,6 +86,10 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants.spelling_variants(_table(spark, sf_dir))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(_table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -102,5 +107,6 @@ QUERIES: dict[str, Query] = {
         op9_language_id,
         op10_bpe,
         op11_spelling_variants,
+        op13_prefix_trie,
     )
 }
