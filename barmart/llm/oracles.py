@@ -346,6 +346,22 @@ SELECT v.conv_id, v.depth, p.conv_id AS parent_conv_id, v.n_convs, v.n_children,
 FROM valued v JOIN subtrees USING (path) LEFT JOIN nodes p ON v.depth > 0 AND p.path = v.path[1:v.depth - 1]
 """
 
+#: The one layout of the given pages: the text is in the article element, its blocks are h1 and p.
+EXTRACTED = r"""
+WITH articles AS (
+    SELECT page_id, url, regexp_extract(coalesce(html, ''), '<article>(.*?)</article>', 1, 's') AS article FROM pages
+), blocks AS (
+    SELECT page_id, url, list_transform(string_split_regex(article, '</?(?:p|h1)>'),
+        lambda b: replace(replace(replace(replace(replace(regexp_replace(b, '<[^>]*>', ' ', 'g'),
+            '&lt;', '<'), '&gt;', '>'), '&quot;', chr(34)), '&#x27;', chr(39)), '&amp;', '&')) AS blocks
+    FROM articles
+), texts AS (
+    SELECT page_id, url, array_to_string(list_filter(list_transform(blocks, lambda b: trim(regexp_replace(b, '\s+', ' ', 'g'))),
+        lambda b: b <> ''), chr(10)) AS text FROM blocks
+)
+SELECT page_id, url, text, length(text) AS n_chars FROM texts
+"""
+
 ORACLES: dict[str, str] = {
     "op1_jaccard_join": JACCARD,
     "op2_topk_search": TOP_K,
@@ -354,5 +370,6 @@ ORACLES: dict[str, str] = {
     "op5_quality_rules": QUALITY,
     "op7_substring_dedup": REPEATS,
     "op11_spelling_variants": SPELLING,
+    "op12_html_extraction": EXTRACTED,
     "op13_prefix_trie": TRIE,
 }

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from barmart.llm import (
     bpe,
     curriculum_mix,
+    html_extraction,
     jaccard_join,
     language_id,
     prefix_trie,
@@ -86,6 +87,10 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants.spelling_variants(_table(spark, sf_dir))
 
 
+def op12_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extraction.extract(_table(spark, sf_dir, "pages"))
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(_table(spark, sf_dir, "conversations"))
 
@@ -107,6 +112,7 @@ QUERIES: dict[str, Query] = {
         op9_language_id,
         op10_bpe,
         op11_spelling_variants,
+        op12_html_extraction,
         op13_prefix_trie,
     )
 }
