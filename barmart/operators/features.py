@@ -8,7 +8,6 @@ mix of them can share one window node, one sort and one exchange.
 from __future__ import annotations
 
 import math
-from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,7 +16,7 @@ from barmart.functions.numeric import percent_move, percent_spread, ratio
 from barmart.functions.regime import regime_label
 from barmart.operators.ranking import rank_values
 from barmart.operators.rsi import index_parts, seed_columns, with_index
-from barmart.operators.series import along, calendar_bounded, over_series, trailing
+from barmart.operators.series import along, calendar_bounded, over_series, tied, total_order, trailing
 from barmart.schemas import Bars
 
 MEAN_ROWS = (7, 14, 30)
@@ -67,7 +66,9 @@ def band_columns(part: list[str], bars: Bars) -> Columns:
 
 
 def _adder(*builders):
-    def add(df: DataFrame, bars: Bars = Bars(), block_rows: int | None = None) -> DataFrame:
+    def add(df: DataFrame, bars: Bars = Bars(), block_rows: int | None = None, unique: bool | None = None) -> DataFrame:
+        bars = total_order(df, bars, unique)
+
         def step(rows: DataFrame, part: list[str]) -> DataFrame:
             return rows.withColumns({k: c for build in builders for k, c in build(part, bars).items()})
 
@@ -83,12 +84,12 @@ add_vwap = _adder(vwap_columns)
 add_momentum = _adder(momentum_columns)
 
 
-def add_bands(df: DataFrame, bars: Bars = Bars()) -> DataFrame:
+def add_bands(df: DataFrame, bars: Bars = Bars(), unique: bool | None = None) -> DataFrame:
     """Volatility and Bollinger columns; expects ``pct_change_1d``. A flat series has null %B."""
     shift = BAND_WIDTH * F.col("bb_stddev_20")
     upper, lower = F.col("bb_upper"), F.col("bb_lower")
     return (
-        _adder(band_columns)(df, bars)
+        _adder(band_columns)(df, bars, unique=unique)
         .withColumns({"bb_upper": F.col("bb_sma_20") + shift, "bb_lower": F.col("bb_sma_20") - shift})
         .withColumns(
             {
@@ -113,20 +114,26 @@ def add_regime(df: DataFrame, name: str = "market_regime") -> DataFrame:
 def enrich_days(df: DataFrame, bars: Bars = Bars(), stamp: str = "event_ts") -> DataFrame:
     """All features where a key and day may have several rows: series run along the time stamp, ranks are those of the day.
 
-    Rows of one time stamp, which the plain join makes of several measures a day, are put in order by all their measures.
+    Rows of one time stamp, which the plain join makes of several measures a day, are put in order by all their columns.
     """
-    ties = tuple(c for c in (bars.size, bars.volume, *bars.prices) if c in df.columns)
-    return enrich(df, replace(bars, time=stamp, ties=ties), date=bars.time)
+    return enrich(df, tied(df, bars, stamp), date=bars.time, unique=True)
 
 
 def enrich(
-    df: DataFrame, bars: Bars = Bars(), dates_fit: bool = False, block_rows: int | None = None, date: str | None = None
+    df: DataFrame,
+    bars: Bars = Bars(),
+    dates_fit: bool = False,
+    block_rows: int | None = None,
+    date: str | None = None,
+    unique: bool | None = None,
 ) -> DataFrame:
     """All features of a bar table: one exchange by key for the series, and the ranking by date.
 
     ``dates_fit``: every date is known to hold few enough bars for one task (``groups_fit``). ``block_rows``: rows of
-    a block where series are cut. ``date``: the column that rankings go by, if not the time.
+    a block where series are cut. ``date``: the column that rankings go by, if not the time. ``unique``: no two rows share a
+    place of a series; by default that is measured, and if some do, all columns of the rows put them in order.
     """
+    bars = total_order(df, bars, unique)
     builders = (rolling_columns, deviation_columns, vwap_columns, momentum_columns, seed_columns)
 
     def parts(rows: DataFrame, part: list[str]) -> DataFrame:

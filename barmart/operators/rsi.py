@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barmart.functions.numeric import ratio
-from barmart.operators.series import BLOCK, CORE, along, calendar_bounded, cut_series, refuse_names
+from barmart.operators.series import BLOCK, CORE, along, calendar_bounded, cut_series, refuse_names, total_order
 from barmart.schemas import Bars
 
 SPAN_BITS = 12
@@ -42,7 +42,12 @@ def seed_columns(part: list[str], bars: Bars) -> dict[str, Column]:
     return {"_row": F.row_number().over(series) - 1, "_change": close - F.lag(close).over(series)}
 
 
-def add_rsi(df: DataFrame, bars: Bars = Bars(), name: str = "rsi_14", block_rows: int | None = None) -> DataFrame:
+def add_rsi(
+    df: DataFrame, bars: Bars = Bars(), name: str = "rsi_14", block_rows: int | None = None, unique: bool | None = None
+) -> DataFrame:
+    """``unique``: see ``total_order``; by default it is measured whether rows share a place of their series."""
+    bars = total_order(df, bars, unique)
+
     def parts(rows: DataFrame, part: list[str]) -> DataFrame:
         return index_parts(rows.withColumns(seed_columns(part, bars)), part, bars)
 

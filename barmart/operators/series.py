@@ -6,6 +6,8 @@ Whether that is sound depends on the type of the time column:
 * DATE with one bar per key and day (what ``newest_per`` leaves): a series cannot be
   longer than the calendar, some 10^4 rows, however large the table is. The plain
   window is bounded and costs one exchange.
+* DATE with several rows for some (key, day): ``total_order`` finds that out and adds tie
+  columns, without which the windows would follow the layout; then as a timestamp.
 * timestamp: nothing bounds a series, one key may hold a third of the table. The
   series is cut into blocks of ``BLOCK_ROWS`` consecutive rows; each block also
   receives the last ``history`` rows before it, so every ROWS frame that looks back no
@@ -21,6 +23,7 @@ only the hourly counts meet in one task, and of an hour its 3,600 counts.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -57,7 +60,31 @@ def refuse_names(df: DataFrame, names: list[str]) -> None:
 
 def repeated_places(df: DataFrame, bars: Bars) -> int:
     """How many (key, order) places hold several rows, so that windows have no total order; one aggregate."""
-    return df.groupBy(bars.key, *bars.order).agg(F.count("*").alias("_rows")).filter("_rows > 1").count()
+    return _repeated(df, bars).count()
+
+
+def _repeated(df: DataFrame, bars: Bars) -> DataFrame:
+    return df.groupBy(bars.key, *bars.order).agg(F.count("*").alias("_rows")).filter("_rows > 1")
+
+
+def tied(df: DataFrame, bars: Bars, stamp: str | None = None) -> Bars:
+    """Roles under which every row of a series has its place: along ``stamp`` if the table has it (else the time), then by
+    size, volume and prices, then by all other columns that can be ordered. Rows that still tie are equal."""
+    time = stamp if stamp in df.columns else bars.time
+    first = [c for c in (bars.size, bars.volume, *bars.prices) if c in df.columns]
+    rest = [c for c, kind in df.dtypes if c not in first and not ("map<" in kind or "variant" in kind)]
+    wanted = [c for c in (*bars.ties, *first, *rest) if c not in (bars.key, time)]
+    return replace(bars, time=time, ties=tuple(dict.fromkeys(wanted)))
+
+
+def total_order(df: DataFrame, bars: Bars, unique: bool | None = None, stamp: str | None = None) -> Bars:
+    """The roles to run windows by: ``bars`` if every (key, order) place holds one row, otherwise ``tied`` ones.
+
+    That is measured (one aggregate over key and order columns) unless ``unique`` says it is known.
+    """
+    if unique is None:
+        unique = _repeated(df, bars).isEmpty()
+    return bars if unique else tied(df, bars, stamp)
 
 
 def over_series(df: DataFrame, bars: Bars, history: int, step: Step, block_rows: int | None = None) -> DataFrame:

@@ -11,27 +11,41 @@ from barmart.functions.regime import UNKNOWN
 from barmart.operators.features import add_bands
 from barmart.operators.joins import attach_lookup
 from barmart.operators.ranking import groups_fit, rank_values, top_per_key
-from barmart.operators.series import calendar_bounded
+from barmart.operators.series import calendar_bounded, total_order
 from barmart.schemas import Bars
 
 
-def daily_summary(silver: DataFrame, lookup: DataFrame, bars: Bars = Bars(), strategy: str = "measured") -> DataFrame:
-    """One row per bar with its features, ticker and category; bars without a lookup entry stay."""
+def daily_summary(
+    silver: DataFrame, lookup: DataFrame, bars: Bars = Bars(), strategy: str = "measured", series: Bars | None = None
+) -> DataFrame:
+    """One row per bar with its features, ticker and category; bars without a lookup entry stay.
+
+    ``series``, here and below: the roles that the series run by, where a key and date may have several rows (``series_of``).
+    """
     labelled = attach_lookup(silver, lookup.select(bars.key, "ticker", "category"), bars.key, "left", strategy)
     measures = [*bars.prices, bars.volume, bars.size]
     features = [
         "avg_close_7d", "avg_close_14d", "avg_close_30d", "vwap_7d", "pct_change_1d", "pct_change_7d",
         "high_low_spread_pct", "rsi_14", "market_regime", "rank_by_mcap", "dense_rank_by_mcap",
     ]
-    return labelled.select(bars.key, "ticker", "category", bars.time, *measures, *features).orderBy(bars.key, bars.time)
+    labelled = labelled.orderBy(bars.key, *(series or bars).order)
+    return labelled.select(bars.key, "ticker", "category", bars.time, *measures, *features)
+
+
+def series_of(silver: DataFrame, bars: Bars = Bars(), unique: bool | None = None, stamp: str = "event_ts") -> Bars:
+    """The roles that the series of a silver table run by: ``bars`` if a key and date have one row (measured, unless
+    ``unique`` says it is known), otherwise the time stamp and all other columns."""
+    return total_order(silver, bars, unique, stamp)
 
 
-def weekly_bars(silver: DataFrame, bars: Bars = Bars()) -> DataFrame:
+def weekly_bars(silver: DataFrame, bars: Bars = Bars(), series: Bars | None = None) -> DataFrame:
     """One row per key and ISO week: earliest known open, latest known close, extremes, return."""
     day = F.col(bars.time)
+    order = (series or bars).order
+    place = F.struct(*order) if len(order) > 1 else F.col(order[0])
 
     def when_known(name: str):
-        return F.when(F.col(name).isNotNull(), day)
+        return F.when(F.col(name).isNotNull(), place)
 
     weekly = silver.groupBy(bars.key, iso_year(day).alias("iso_year"), iso_week(day).alias("iso_week")).agg(
         F.min_by(bars.open, when_known(bars.open)).alias("week_open"),
@@ -50,31 +64,33 @@ def weeks_fit(silver: DataFrame, bars: Bars = Bars()) -> bool:
     return groups_fit(silver, [iso_year(day), iso_week(day)])
 
 
-def weekly_rankings(silver: DataFrame, bars: Bars = Bars(), fits: bool = False) -> DataFrame:
+def weekly_rankings(silver: DataFrame, bars: Bars = Bars(), fits: bool = False, series: Bars | None = None) -> DataFrame:
     """Weekly bars ranked by return within their week; ``fits`` as measured by ``weeks_fit``."""
     week = ["iso_year", "iso_week"]
-    ranked = rank_values(weekly_bars(silver, bars), week, "weekly_return_pct", {"rank": "weekly_rank"}, fits)
+    ranked = rank_values(weekly_bars(silver, bars, series), week, "weekly_return_pct", {"rank": "weekly_rank"}, fits)
     return ranked.orderBy(*week, "weekly_rank", bars.key)
 
 
-def volatility(silver: DataFrame, bars: Bars = Bars()) -> DataFrame:
+def volatility(silver: DataFrame, bars: Bars = Bars(), series: Bars | None = None) -> DataFrame:
     """Annualised volatility and Bollinger bands of each bar."""
-    used = [bars.key, bars.time, bars.close, "pct_change_1d", "rsi_14", "market_regime"]
-    return add_bands(silver.select(*used), bars).select(
+    series = series or bars
+    used = [bars.key, bars.time, bars.close, "pct_change_1d", "rsi_14", "market_regime", *series.order]
+    return add_bands(silver.select(*dict.fromkeys(used)), series, unique=True).select(
         bars.key, bars.time, bars.close, "annualized_vol_pct", "bb_sma_20", "bb_upper", "bb_lower",
-        "bb_pct_b", "bb_bandwidth", "rsi_14", "market_regime",
+        "bb_pct_b", "bb_bandwidth", "rsi_14", "market_regime", *(c for c in series.order[:1] if c != bars.time),
     )
 
 
-def volatility_report(silver: DataFrame, bars: Bars = Bars()) -> DataFrame:
-    """All bars with volatility and bands, sorted.
+def volatility_report(silver: DataFrame, bars: Bars = Bars(), series: Bars | None = None) -> DataFrame:
+    """All bars with volatility and bands, sorted; where series run along a time stamp, that is a column too.
 
     Ranges of keys serve both the windows and the final order, so one exchange does, and
     the sampling it needs reads the stored rows, not the windows.
     """
-    if calendar_bounded(silver, bars):
+    series = series or bars
+    if calendar_bounded(silver, series):
         silver = silver.repartitionByRange(bars.key)
-    return volatility(silver, bars).orderBy(bars.key, bars.time)
+    return volatility(silver, bars, series).orderBy(bars.key, series.time)
 
 
 def regime_summary(silver: DataFrame, bars: Bars = Bars()) -> DataFrame:

@@ -35,10 +35,12 @@ PAYLOAD_SOURCES = {
     "market": lambda spark, raw: zip_market(read_payloads(spark, raw, "market"), ORIGIN),
 }
 GOLD_TABLES = {
-    "gold_daily_summary": lambda silver, lookup, bars: gold.daily_summary(silver, lookup, bars),
-    "gold_weekly_rankings": lambda silver, lookup, bars: gold.weekly_rankings(silver, bars, gold.weeks_fit(silver, bars)),
-    "gold_volatility_report": lambda silver, lookup, bars: gold.volatility_report(silver, bars),
-    "gold_regime_summary": lambda silver, lookup, bars: gold.regime_summary(silver, bars),
+    "gold_daily_summary": lambda silver, lookup, bars, series: gold.daily_summary(silver, lookup, bars, series=series),
+    "gold_weekly_rankings": lambda silver, lookup, bars, series: gold.weekly_rankings(
+        silver, bars, gold.weeks_fit(silver, bars), series
+    ),
+    "gold_volatility_report": lambda silver, lookup, bars, series: gold.volatility_report(silver, bars, series),
+    "gold_regime_summary": lambda silver, lookup, bars, series: gold.regime_summary(silver, bars),
 }
 
 
@@ -118,7 +120,7 @@ def build_silver(spark: SparkSession, places: Places, bars: Bars) -> dict[str, i
         # Rows of a day are told apart by their time stamp, and by their place among equal ones.
         enriched = enrich_days(joined, bars)
     else:
-        enriched = enrich(joined, bars, fits)
+        enriched = enrich(joined, bars, fits, unique=True)  # one bar for each key and day, by the merge
     # Uncut series leave each (bounded) key in one task, sorted: one file per key without another exchange.
     clustered = places.days == "merged" and calendar_bounded(enriched, bars) and places.partition_by == (bars.key,)
     path = places.table("silver_enriched")
@@ -136,13 +138,17 @@ def build_gold(
     """Store the four summary tables.
 
     By default each reads its few columns from the stored silver table. ``keep_silver``
-    holds the whole table persistent meanwhile, which pays off only where it fits.
+    holds the whole table persistent meanwhile, which pays off only where it fits. Whether a
+    key and date has several rows is measured on the stored table, whatever run wrote it.
     """
     lookup = coin_lookup(spark) if lookup is None else lookup
 
     def store(silver: DataFrame) -> dict[str, int]:
+        series = gold.series_of(silver, bars)
+        if series != bars:
+            log.info("gold: several rows for a key and date; series run by %s", series.order)
         return {
-            name: write_table(build(silver, lookup, bars), places.table(name)) for name, build in GOLD_TABLES.items()
+            name: write_table(build(silver, lookup, bars, series), places.table(name)) for name, build in GOLD_TABLES.items()
         }
 
     silver = read_table(spark, places.table("silver_enriched"), places.fmt)

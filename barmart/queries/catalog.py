@@ -30,6 +30,7 @@ DIGITS = {
     "regime_pct_of_history": 6, "avg_close": 6, "abs_change": 6, "regime_rate": 6,
 }
 BAR_ID = ["coin_id", "event_date"]
+# ``unique=True`` below: the input was grouped by (coin_id, event_date), so places of a series needn't be counted.
 
 
 def _query(build: Query) -> Query:
@@ -48,7 +49,7 @@ def _days_fit(spark: SparkSession, sf_dir: str) -> bool:
 
 
 def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return features.enrich(inputs.supplier_bars(spark, sf_dir), dates_fit=_days_fit(spark, sf_dir))
+    return features.enrich(inputs.supplier_bars(spark, sf_dir), dates_fit=_days_fit(spark, sf_dir), unique=True)
 
 
 # --- features ---------------------------------------------------------------------------
@@ -56,25 +57,25 @@ def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def rolling_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = features.add_rolling_means(inputs.supplier_bars(spark, sf_dir))
+    df = features.add_rolling_means(inputs.supplier_bars(spark, sf_dir), unique=True)
     return _rounded(df, *BAR_ID, "close", "avg_close_7d", "avg_close_14d", "avg_close_30d")
 
 
 @_query
 def rolling_stddev(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = features.add_rolling_deviation(inputs.supplier_bars(spark, sf_dir))
+    df = features.add_rolling_deviation(inputs.supplier_bars(spark, sf_dir), unique=True)
     return _rounded(df, *BAR_ID, "close", "stddev_close_30d")
 
 
 @_query
 def vwap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = features.add_vwap(inputs.gap_bars(spark, sf_dir))
+    df = features.add_vwap(inputs.gap_bars(spark, sf_dir), unique=True)
     return _rounded(df, *BAR_ID, "close", "total_volume_usd", "vwap_7d")
 
 
 @_query
 def momentum(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = features.add_momentum(inputs.gap_bars(spark, sf_dir))
+    df = features.add_momentum(inputs.gap_bars(spark, sf_dir), unique=True)
     return _rounded(df, *BAR_ID, "close", "pct_change_1d", "pct_change_7d", "high_low_spread_pct")
 
 
@@ -99,19 +100,19 @@ def daily_rankings_tied(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def rsi(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(add_rsi(inputs.supplier_bars(spark, sf_dir)), *BAR_ID, "close", "rsi_14")
+    return _rounded(add_rsi(inputs.supplier_bars(spark, sf_dir), unique=True), *BAR_ID, "close", "rsi_14")
 
 
 @_query
 def rsi_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(add_rsi(inputs.gap_bars(spark, sf_dir)), *BAR_ID, "close", "rsi_14")
+    return _rounded(add_rsi(inputs.gap_bars(spark, sf_dir), unique=True), *BAR_ID, "close", "rsi_14")
 
 
 @_query
 def series_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Long series, cut into small blocks: means, deviation and RSI."""
     series, bars = inputs.flag_series(spark, sf_dir), Bars(time="event_ts", ties=("close",))
-    df = features.add_rolling(add_rsi(series, bars, block_rows=5000), bars, block_rows=1000)
+    df = features.add_rolling(add_rsi(series, bars, block_rows=5000, unique=True), bars, block_rows=1000, unique=True)
     stamp = F.col("event_ts").cast("timestamp_ntz").alias("event_ts")
     return _rounded(df, "coin_id", "event_ts", "close", "avg_close_7d", "avg_close_30d", "stddev_close_30d", "rsi_14").withColumn(
         "event_ts", stamp
@@ -140,7 +141,7 @@ def regime(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def abs_change(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = features.add_momentum(inputs.supplier_bars(spark, sf_dir))
+    df = features.add_momentum(inputs.supplier_bars(spark, sf_dir), unique=True)
     return _rounded(df.select(*BAR_ID, F.abs("pct_change_1d").alias("abs_change")))
 
 
@@ -316,14 +317,21 @@ def limit_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
 def silver_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     prices, measures = inputs.supplier_prices(spark, sf_dir), inputs.supplier_measures(spark, sf_dir)
     joined = joins.join_bars(prices, measures, days="all")
-    return _rounded(features.enrich(joined, dates_fit=_days_fit(spark, sf_dir)))
+    return _rounded(features.enrich(joined, dates_fit=_days_fit(spark, sf_dir), unique=True))
 
 
 @_query
 def silver_several_per_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver as the layer run makes it: several rows per key and day on both sides, merged to true daily bars."""
     joined = joins.join_bars(inputs.line_prices(spark, sf_dir), inputs.line_measures(spark, sf_dir))
-    return _rounded(features.enrich(joined, dates_fit=_days_fit(spark, sf_dir)).drop("timestamp_ms"))
+    return _rounded(features.enrich(joined, dates_fit=_days_fit(spark, sf_dir), unique=True).drop("timestamp_ms"))
+
+
+@_query
+def silver_repeated_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dates with several rows of a key, which nobody told the library of: it finds out and orders them by their columns."""
+    bars = inputs.line_bars(spark, sf_dir).drop("event_ts")
+    return _rounded(features.enrich(bars, dates_fit=_days_fit(spark, sf_dir)))
 
 
 @_query
@@ -333,12 +341,12 @@ def silver_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     These series are shorter than a block; ``series_cut`` cuts long ones.
     """
     bars = inputs.supplier_bars(spark, sf_dir).withColumn("event_date", F.col("event_date").cast("timestamp"))
-    return _rounded(features.enrich(bars)).withColumn("event_date", F.to_date("event_date"))
+    return _rounded(features.enrich(bars, unique=True)).withColumn("event_date", F.to_date("event_date"))
 
 
 @_query
 def silver_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(features.enrich(inputs.gap_bars(spark, sf_dir)))
+    return _rounded(features.enrich(inputs.gap_bars(spark, sf_dir), unique=True))
 
 
 @_query
@@ -348,7 +356,7 @@ def daily_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def daily_summary_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    silver = features.enrich(inputs.event_bars(spark, sf_dir))
+    silver = features.enrich(inputs.event_bars(spark, sf_dir), unique=True)
     return _rounded(gold.daily_summary(silver, inputs.event_lookup(spark)))
 
 
@@ -369,6 +377,25 @@ def volatility_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(gold.volatility_report(_silver(spark, sf_dir)))
 
 
+def _several_per_day(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Bars]:
+    """Silver with several rows per key and day, and the roles its series turn out to run by."""
+    bars = inputs.line_bars(spark, sf_dir)
+    return features.enrich_days(bars), gold.series_of(bars)
+
+
+@_query
+def volatility_several_per_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    silver, series = _several_per_day(spark, sf_dir)
+    report = gold.volatility_report(silver, series=series)
+    return _rounded(report).withColumn("event_ts", F.col("event_ts").cast("timestamp_ntz"))
+
+
+@_query
+def weekly_several_per_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bars = inputs.line_bars(spark, sf_dir)
+    return _rounded(gold.weekly_rankings(bars, fits=gold.weeks_fit(bars), series=gold.series_of(bars)))
+
+
 @_query
 def topk_volatility(spark: SparkSession, sf_dir: str) -> DataFrame:
     top = gold.most_volatile(gold.volatility(_silver(spark, sf_dir)))
@@ -427,7 +454,7 @@ def dq_price_anomaly(spark: SparkSession, sf_dir: str) -> DataFrame:
     spiked = inputs.supplier_bars(spark, sf_dir).withColumn(
         "close", F.when(F.dayofyear("event_date") == 200, close * 100).otherwise(close)
     )
-    return _without_stamp(quality.check_price_spikes(features.add_rolling_means(spiked)))
+    return _without_stamp(quality.check_price_spikes(features.add_rolling_means(spiked, unique=True)))
 
 
 @_query
@@ -443,5 +470,5 @@ def dq_regime_dominance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def dq_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    silver = features.enrich(inputs.gap_bars(spark, sf_dir), dates_fit=_days_fit(spark, sf_dir))
+    silver = features.enrich(inputs.gap_bars(spark, sf_dir), dates_fit=_days_fit(spark, sf_dir), unique=True)
     return quality.summarise(quality.quality_report(silver))

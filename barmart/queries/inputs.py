@@ -173,6 +173,23 @@ def line_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def line_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A bar for each line item: several for some (supplier, day), a few of which share their time stamp too."""
+    price, spread = F.col("price"), F.col("quantity")
+    hour = F.floor(F.col("seq") / 200_000) % 3
+    return supplier_lines(spark, sf_dir).select(
+        "coin_id",
+        "event_date",
+        F.timestamp_micros(F.unix_micros(F.col("event_date").cast("timestamp")) + hour * 3_600_000_000).alias("event_ts"),
+        price.alias("open"),
+        (price + spread).alias("high"),
+        (price - spread).alias("low"),
+        (price + 1).alias("close"),
+        (price * 2).alias("market_cap_usd"),
+        spread.alias("total_volume_usd"),
+    )
+
+
 def flag_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items of a return flag as one long series along a time stamp; a few rows share one."""
     place = F.col("l_orderkey") * 8 + F.col("l_linenumber")

@@ -64,6 +64,23 @@ bars AS (
   FROM lines GROUP BY coin_id, event_date)"""
 )
 
+_TIES = "market_cap_usd, total_volume_usd, open, high, low, close"
+_LINE_BARS = (
+    _LINE_ROWS
+    + """,
+bars AS (
+  SELECT coin_id, event_date, CAST(event_date AS TIMESTAMP) + to_hours(CAST(seq // 200000 % 3 AS INTEGER)) AS event_ts,
+         price AS open, price + quantity AS high, price - quantity AS low, price + 1 AS close,
+         price * 2 AS market_cap_usd, quantity AS total_volume_usd
+  FROM lines)"""
+)
+
+
+def _ordered(sql: str, time: str) -> str:
+    """Series that run by ``time`` and then by the measures."""
+    return sql.replace("PARTITION BY coin_id ORDER BY event_date", f"PARTITION BY coin_id ORDER BY {time}, {_TIES}")
+
+
 # --- features -------------------------------------------------------------------------
 
 _SILVER = """
@@ -381,6 +398,7 @@ UNION ALL SELECT 'events', count(*) FROM events UNION ALL SELECT 'bars', count(*
     # silver and gold
     "silver_enriched": _silver + f"SELECT {_SILVER_COLUMNS} FROM silver",
     "silver_several_per_day": _with(_MERGED_BARS, _SILVER) + f"SELECT {_SILVER_COLUMNS} FROM silver",
+    "silver_repeated_days": _with(_LINE_BARS, _ordered(_SILVER, "event_date")) + f"SELECT {_SILVER_COLUMNS} FROM silver",
     "silver_gaps": _gap_silver + f"SELECT {_SILVER_COLUMNS} FROM silver",
     "daily_summary": _with(_SUPPLIER_BARS, _SILVER, _SUPPLIER_LOOKUP)
     + f"SELECT {_SUMMARY_COLUMNS} FROM silver LEFT JOIN lookup USING (coin_id)",
@@ -389,6 +407,19 @@ UNION ALL SELECT 'events', count(*) FROM events UNION ALL SELECT 'bars', count(*
     "weekly_rankings": _with(_SUPPLIER_BARS, _WEEKLY) + _WEEKLY_RANKED,
     "weekly_rankings_gaps": _with(_GAP_BARS, _WEEKLY) + _WEEKLY_RANKED,
     "volatility_report": _with(_SUPPLIER_BARS, _SILVER, _VOLATILITY) + "SELECT * EXCLUDE (vol) FROM volatility",
+    "volatility_several_per_day": _with(
+        _LINE_BARS,
+        _ordered(_SILVER, "event_ts"),
+        _ordered(_VOLATILITY, "event_ts").replace("SELECT coin_id, event_date, close, round", "SELECT coin_id, event_date, event_ts, close, round"),
+    )
+    + "SELECT * EXCLUDE (vol) FROM volatility",
+    "weekly_several_per_day": _with(
+        _LINE_BARS,
+        _WEEKLY.replace("arg_min(open, event_date)", f"arg_min(open, row(event_ts, {_TIES}))").replace(
+            "arg_max(close, event_date)", f"arg_max(close, row(event_ts, {_TIES}))"
+        ),
+    )
+    + _WEEKLY_RANKED,
     "topk_volatility": _with(_SUPPLIER_BARS, _SILVER, _VOLATILITY)
     + """SELECT coin_id, event_date, close, annualized_vol_pct, rsi_14, market_regime FROM (
   SELECT *, row_number() OVER (PARTITION BY coin_id ORDER BY vol DESC, event_date) AS nth
