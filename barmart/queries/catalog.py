@@ -289,6 +289,21 @@ def skew_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layout.rows_per_key(inputs.table(spark, sf_dir, "events"), "event_type")
 
 
+def _dealt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders in sixteen partitions by customer, three of which stay empty."""
+    return inputs.table(spark, sf_dir, "orders").repartitionById(16, (F.col("o_custkey") % 13).cast("int"))
+
+
+@_query
+def rows_per_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return layout.partition_rows(_dealt(spark, sf_dir))
+
+
+@_query
+def skew_by_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return layout.partition_skew(_dealt(spark, sf_dir))
+
+
 @_query
 def avg_close_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(inputs.supplier_bars(spark, sf_dir).groupBy("coin_id").agg(F.avg("close").alias("avg_close")))

@@ -240,6 +240,11 @@ def _regime_rows(source: str, limit: float) -> str:
 FROM {source} WHERE regime_rate > {limit}"""
 
 
+_PARTITIONS = """
+WITH spread AS (
+  SELECT CAST(p AS INTEGER) AS partition, count(o_custkey) AS rows
+  FROM range(16) AS r(p) LEFT JOIN orders ON o_custkey % 13 = p GROUP BY p)
+"""
 _RSI_RANGE = ("rsi_range_validity", "rsi_14 < 0 OR rsi_14 > 100", "rows with RSI outside [0, 100]")
 _PRICE_ORDER = (
     "ohlc_consistency",
@@ -389,6 +394,11 @@ FROM sized WHERE reason IS NOT NULL""",
 UNION ALL SELECT 'events', count(*) FROM events UNION ALL SELECT 'bars', count(*) FROM bars""",
     "rows_per_key": _with(_SUPPLIER_BARS) + "SELECT coin_id, count(*) AS count FROM bars GROUP BY 1",
     "skew_by_key": "SELECT event_type, count(*) AS count FROM events GROUP BY 1",
+    "rows_per_partition": _PARTITIONS + "SELECT * FROM spread",
+    "skew_by_partition": _PARTITIONS
+    + """SELECT count(*) AS partitions, max(rows) AS max_rows, min(rows) AS min_rows,
+       CASE WHEN min(rows) > 0 THEN max(rows) / min(rows) ELSE 'inf'::DOUBLE END AS ratio, min(rows) * 5 < max(rows) AS skewed
+FROM spread""",
     "avg_close_per_key": _with(_SUPPLIER_BARS) + "SELECT coin_id, round(avg(close), 6) AS avg_close FROM bars GROUP BY 1",
     "distinct_regimes": _silver + "SELECT DISTINCT market_regime FROM silver",
     "filter_partition_key": _event_silver
