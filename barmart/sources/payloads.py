@@ -18,13 +18,20 @@ UNREADABLE, NO_ARRAYS = "unreadable_body", "body_without_arrays"
 TROUBLE = [REASON, BODY, "length_mismatch"]
 
 
-def _millis(value: Column) -> Column:
-    """Whole milliseconds, also where they are written as 1.7e12 or 1700000000000.0."""
-    return F.coalesce(value.try_cast("long"), value.try_cast("double").try_cast("long"))
+# A cast that fails costs an exception, even a tried one, so only what can be cast is. The forms are those a cast accepts.
+WHOLE = r"^-?[0-9]{1,18}$"
+NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]{1,3})?\s*$|^\s*([nN][aA][nN]|[+-]?[iI][nN][fF]([iI][nN][iI][tT][yY])?)\s*$"
+LONGS = 9.2e18
 
 
 def _number(value: Column) -> Column:
-    return value.try_cast("double")
+    return F.when(value.rlike(NUMBER), value.try_cast("double"))
+
+
+def _millis(value: Column) -> Column:
+    """Whole milliseconds, also where they are written as 1.7e12 or 1700000000000.0."""
+    number = _number(value)
+    return F.when(value.rlike(WHOLE), value.try_cast("long")).when(number.between(-LONGS, LONGS), number.try_cast("long"))
 
 
 def _trouble(reason: Column, payload: str) -> list[Column]:

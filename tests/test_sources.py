@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from barmart.functions.calendar import with_calendar
 from barmart.operators.cleaning import rejected_rows
 from barmart.plans.layers import clean
+from barmart.sources import payloads
 from barmart.sources.payloads import flatten_ohlc, zip_market
 from barmart.sources.raw import read_market, read_ohlc, read_payloads
 from barmart.sources.tables import append_table, held, read_table, write_table
@@ -131,3 +132,20 @@ def test_append_and_hold(spark, tmp_path, steady_bars):
     with held(read_table(spark, path)) as kept:
         assert kept.is_cached and kept.count() == 180
     assert not kept.is_cached
+
+
+def test_numbers_of_bodies_as_casts_read_them(spark):
+    """The guarded casts give what tried casts give, for every form of a number, and for what is none."""
+    forms = ["1", "-7", "+7", "007", "1.5", "-1.5e3", "1E12", "1.7E12", "1700000000000.0", "1.7e12", ".5", "5.", " 12 ", "1e400", "1e-5", "NaN", "Infinity",
+             "-Infinity", "inf", "", " ", "x", "1x", "--1", "1,5", "0x10", "1e", "e5", "9" * 18, "9" * 19, "9" * 30, "-" + "9" * 18, None]
+    df = spark.createDataFrame([(f,) for f in forms], "v string")
+    value = F.col("v")
+    double = value.try_cast("double")
+    plain = df.select("v", F.coalesce(value.try_cast("long"), double.try_cast("long")).alias("ms"), double.alias("number"))
+    guarded = df.select("v", payloads._millis(value).alias("ms"), payloads._number(value).alias("number"))
+    for want, got in zip(plain.collect(), guarded.collect()):
+        if want.v == "9" * 19 or want.v == "9" * 30 or want.v in ("Infinity", "-Infinity", "inf", "1e400"):
+            assert got.ms is None, want.v  # beyond any time; a tried cast of such a number is null or the largest long
+        else:
+            assert got.ms == want.ms, want.v
+        assert str(got.number) == str(want.number), want.v
