@@ -23,7 +23,7 @@ from barmart.schemas import Bars
 from barmart.sources.lookup import coin_lookup
 from barmart.sources.payloads import BODY, REASON, TROUBLE, flatten_ohlc, zip_market
 from barmart.sources.raw import read_market, read_ohlc, read_payloads
-from barmart.sources.tables import append_table, held, read_table, write_table
+from barmart.sources.tables import append_new, append_table, held, merge_newest, read_table, table_exists, write_table
 
 log = logging.getLogger(__name__)
 
@@ -31,9 +31,10 @@ LAYERS = ("bronze", "quality", "silver", "gold")
 SOURCES = {"ohlc": read_ohlc, "market": read_market}
 ORIGIN = ["coin_id", "_source_file", "_run_id", "_ingested_at"]
 PAYLOAD_SOURCES = {
-    "ohlc": lambda spark, raw: flatten_ohlc(read_payloads(spark, raw, "ohlc"), ORIGIN),
-    "market": lambda spark, raw: zip_market(read_payloads(spark, raw, "market"), ORIGIN),
+    "ohlc": lambda spark, raw, stream=False: flatten_ohlc(read_payloads(spark, raw, "ohlc", stream), ORIGIN),
+    "market": lambda spark, raw, stream=False: zip_market(read_payloads(spark, raw, "market", stream), ORIGIN),
 }
+BAR_KEY, NEWEST = ["coin_id", "timestamp_ms"], ["_run_id"]
 GOLD_TABLES = {
     "gold_daily_summary": lambda silver, lookup, bars, series: gold.daily_summary(silver, lookup, bars, series=series),
     "gold_weekly_rankings": lambda silver, lookup, bars, series: gold.weekly_rankings(
@@ -60,6 +61,9 @@ class Places:
     up to some thousands of keys; with more, use ("event_year",) or (), as every key would
     become a directory of small files. Bronze names its key ``coin_id`` whatever ``Bars`` says.
     ``payloads``: the raw files are whole response bodies. ``days``: see ``join_bars``.
+    ``incremental``: bronze reads only raw files that no run has read, and merges them into the
+    partitions they touch; that needs partitions that new rows meet few of, such as
+    ("event_year", "event_month").
     """
 
     raw: str
@@ -68,6 +72,7 @@ class Places:
     partition_by: tuple[str, ...] = ("coin_id",)
     payloads: bool = False
     days: str = "merged"
+    incremental: bool = False
 
     def table(self, name: str) -> str:
         return f"{self.out}/{name}"
@@ -75,11 +80,25 @@ class Places:
 
 def clean(rows: DataFrame) -> DataFrame:
     """Accepted rows of a raw source, the newest run's copy of each (key, time stamp)."""
-    return newest_per(accepted_rows(rows), ["coin_id", "timestamp_ms"], ["_run_id"])
+    return newest_per(accepted_rows(rows), BAR_KEY, NEWEST)
+
+
+def set_aside(rows: DataFrame, source: str, places: Places) -> None:
+    """Store rejected rows, unless an earlier run has: a row is known by its source file and its text."""
+    bad = rejected_rows(rows)
+    if REASON in rows.columns:
+        bad = bad.withColumn("_quarantine_reason", F.coalesce(REASON, F.lit(NULL_KEY))).drop(REASON)
+    known_by = [c for c in bad.columns if c != "_ingested_at"]
+    if append_new(bad, places.table(f"quarantine/{source}"), known_by):
+        log.warning("%s: rows without key set aside", source)
+
+
+def accepted_bars(rows: DataFrame) -> DataFrame:
+    return clean(rows.drop(REASON, BODY)).drop("_corrupt_record", *TROUBLE)
 
 
 def build_bronze(spark: SparkSession, places: Places) -> dict[str, int]:
-    """Store both sources; rejected rows are appended to ``quarantine/<source>``.
+    """Store both sources; rejected rows that aren't stored yet are appended to ``quarantine/<source>``.
 
     The rejects are counted in a pass of their own columns and stored before the accepted
     rows, so they are kept whatever the accepted side holds, and an empty table is stored
@@ -88,20 +107,41 @@ def build_bronze(spark: SparkSession, places: Places) -> dict[str, int]:
     stored = {}
     for source, read in (PAYLOAD_SOURCES if places.payloads else SOURCES).items():
         rows = with_calendar(read(spark, places.raw))
-        bad = rejected_rows(rows)
-        if REASON in rows.columns:
-            bad = bad.withColumn("_quarantine_reason", F.coalesce(REASON, F.lit(NULL_KEY))).drop(REASON)
         name = f"bronze_{source}"
-        if not bad.isEmpty():
-            log.warning("%s: rows without key set aside", source)
-            append_table(bad, places.table(f"quarantine/{source}"))
-        good = clean(rows.drop(REASON, BODY)).drop("_corrupt_record")
-        stored[name] = write_table(good.drop(*TROUBLE), places.table(name), places.partition_by, places.fmt)
+        set_aside(rows, source, places)
+        stored[name] = write_table(accepted_bars(rows), places.table(name), places.partition_by, places.fmt)
         if "length_mismatch" in rows.columns:
             stored["market_bodies_uneven"] = _uneven_bodies(rows)
     return stored
 
 
+def update_bronze(spark: SparkSession, places: Places) -> dict[str, int]:
+    """Bring raw files that no run has read into both bronze tables, and end; returns their rows and the files read.
+
+    A file stream remembers in ``_progress/<source>`` what it has read. Its batches may be repeated after a failure: merging
+    the newest rows of a key and setting rejects aside give the same tables then.
+    """
+    stored = {}
+    for source, read in (PAYLOAD_SOURCES if places.payloads else SOURCES).items():
+        name, new_files = f"bronze_{source}", []
+
+        def merge(batch: DataFrame, _: int, source: str = source, name: str = name, new_files: list[int] = new_files) -> None:
+            with held(batch) as rows:
+                set_aside(rows, source, places)
+                merge_newest(accepted_bars(rows), places.table(name), places.partition_by, BAR_KEY, NEWEST, places.fmt)
+                new_files.append(rows.agg(F.count_distinct("_source_file")).first()[0])
+                if "length_mismatch" in rows.columns:
+                    stored["market_bodies_uneven"] = stored.get("market_bodies_uneven", 0) + _uneven_bodies(rows)
+
+        stream = with_calendar(read(spark, places.raw, stream=True)).writeStream.foreachBatch(merge)
+        stream = stream.option("checkpointLocation", places.table(f"_progress/{source}")).trigger(availableNow=True)
+        stream.start().awaitTermination()
+        stored[f"{source}_files_read"] = sum(new_files)
+        known = table_exists(spark, places.table(name))
+        stored[name] = read_table(spark, places.table(name), places.fmt).count() if known else 0
+    return stored
+
+
 def _uneven_bodies(rows: DataFrame) -> int:
     """How many bodies had arrays of different length, so that elements were left over."""
     bodies = rows.filter("length_mismatch").select("_source_file").distinct().count()
@@ -191,6 +231,7 @@ def run(
     partition_by: tuple[str, ...] = ("coin_id",),
     payloads: bool = False,
     days: str = "merged",
+    incremental: bool = False,
 ) -> dict[str, Outcome]:
     """Run the requested layers in order; one whose parent failed is left out.
 
@@ -200,11 +241,16 @@ def run(
     ``days``: "merged" makes one bar of all rows of a key and day before the join; "all"
     joins them as they are, which multiplies the rows of a day, and runs the series windows
     along the time stamp. Bronze and ``partition_by`` use the key name ``coin_id``.
+
+    ``incremental``: bronze reads new raw files only (``Places``); needs ``partition_by``.
     """
-    places = Places(raw, out, fmt, partition_by, payloads, days)
+    if incremental and not partition_by:
+        raise ValueError("incremental runs need partition_by")
+    places = Places(raw, out, fmt, partition_by, payloads, days, incremental)
+    bronze = update_bronze if incremental else build_bronze
     both = ("bronze_ohlc", "bronze_market")
     plan: list[tuple[str, str, str, Callable[[], dict[str, int]]]] = [
-        ("bronze", "bronze", "", lambda: build_bronze(spark, places)),
+        ("bronze", "bronze", "", lambda: bronze(spark, places)),
         ("quality", "quality_bronze", "bronze", lambda: check_tables(spark, places, bars, both)),
         ("silver", "silver", "bronze", lambda: build_silver(spark, places, bars)),
         ("quality", "quality_silver", "silver", lambda: check_tables(spark, places, bars, ("silver_enriched",))),

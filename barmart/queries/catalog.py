@@ -13,10 +13,12 @@ from barmart.operators import cleaning, features, joins, layout, quality
 from barmart.operators.ranking import groups_fit, rank_values
 from barmart.operators.rsi import add_rsi
 from barmart.plans import gold
-from barmart.plans.layers import clean
+from barmart.plans.layers import Outcome, clean, run
 from barmart.queries import inputs
 from barmart.schemas import Bars
 from barmart.sources.payloads import flatten_ohlc, zip_market
+from barmart.sources.tables import read_table, write_table
+from barmart.sources.workspace import shared_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -29,6 +31,11 @@ DIGITS = {
     "week_avg_mcap": 6, "weekly_return_pct": 6, "avg_daily_return_pct": 4, "avg_rsi": 4, "avg_spread_pct": 4,
     "regime_pct_of_history": 6, "avg_close": 6, "abs_change": 6, "regime_rate": 6,
 }
+_SILVER_COLUMNS = [
+    "coin_id", "event_date", "open", "high", "low", "close", "market_cap_usd", "total_volume_usd", "avg_close_7d", "avg_close_14d",
+    "avg_close_30d", "stddev_close_30d", "vwap_7d", "pct_change_1d", "pct_change_7d", "high_low_spread_pct", "rank_by_mcap",
+    "dense_rank_by_mcap", "pct_rank_by_mcap", "rsi_14", "market_regime",
+]
 BAR_ID = ["coin_id", "event_date"]
 # ``unique=True`` below: the input was grouped by (coin_id, event_date), so places of a series needn't be counted.
 
@@ -433,6 +440,57 @@ def regime_dominance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(quality.dominant_regimes(_silver(spark, sf_dir), limit=0.2))
 
 
+# --- stored tables ----------------------------------------------------------------------
+
+
+def _stored_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as a table partitioned by priority, written and read back."""
+    path = shared_path(spark, "orders")
+    write_table(inputs.table(spark, sf_dir, "orders"), path, ("o_orderpriority",))
+    return read_table(spark, path)
+
+
+@_query
+def filter_stored_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stored_orders(spark, sf_dir).filter(F.col("o_orderpriority") == "1-URGENT")
+
+
+@_query
+def pruned_by_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Only partitions of the priorities that the lookup names are read: which they are is found while the query runs."""
+    stored = _stored_orders(spark, sf_dir)
+    lookup = stored.groupBy("o_orderpriority").agg(F.sum(F.floor("o_totalprice")).alias("turnover"))
+    lookup = lookup.withColumn("level", F.substring("o_orderpriority", 1, 1).cast("int")).filter("level <= 2")
+    return joins.attach_lookup(stored, lookup, "o_orderpriority", "inner")
+
+
+@_query
+def stored_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw runs to bronze in two incremental steps, then silver, all through stored tables."""
+    raw, out = shared_path(spark, "raw"), shared_path(spark, "tables")
+    for step in (1, 2):
+        inputs.raw_order_runs(spark, sf_dir, raw, step)
+        layers = ("bronze",) if step == 1 else ("bronze", "silver")
+        _done(run(spark, raw, out, layers, incremental=True, partition_by=("event_year",)))
+    return _rounded(read_table(spark, f"{out}/silver_enriched").select(*_SILVER_COLUMNS))
+
+
+@_query
+def stored_weekly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All layers in one full run, read from the gold table."""
+    raw, out = shared_path(spark, "raw"), shared_path(spark, "tables")
+    for step in (1, 2):
+        inputs.raw_order_runs(spark, sf_dir, raw, step)
+    _done(run(spark, raw, out, ("bronze", "silver", "gold")))
+    return _rounded(read_table(spark, f"{out}/gold_weekly_rankings"))
+
+
+def _done(outcomes: dict[str, Outcome]) -> None:
+    for step, outcome in outcomes.items():
+        if not outcome.ok:
+            raise RuntimeError(f"{step}: {outcome.error}")
+
+
 # --- quality ----------------------------------------------------------------------------
 
 

@@ -190,6 +190,33 @@ def line_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def write_runs(rows: DataFrame, raw: str, kind: str, run: str) -> None:
+    """Rows of bars as a source leaves them: one JSON array for each key (``coin_id``), at ``raw/kind/key/run.json``."""
+    spark, written = rows.sparkSession, f"{raw}/_{kind}-{run}"
+    bodies = rows.groupBy("coin_id").agg(F.to_json(F.collect_list(F.struct(*rows.columns))).alias("value"))
+    bodies.withColumnRenamed("coin_id", "key").write.partitionBy("key").text(written)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    files = path(written).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for status in files.globStatus(path(f"{written}/key=*/part-*")):
+        target = path(f"{raw}/{kind}/{status.getPath().getParent().getName().removeprefix('key=')}")
+        files.mkdirs(target)
+        files.rename(status.getPath(), path(target, f"{run}.json"))
+
+
+def raw_order_runs(spark: SparkSession, sf_dir: str, raw: str, run: int) -> None:
+    """Price and measure files of the orders: run 1 lacks every third day and has other prices, run 2 is right and whole."""
+    ms = (F.unix_seconds(F.col("event_date").cast("timestamp")) * 1000).alias("timestamp_ms")
+    prices, measures = order_prices(spark, sf_dir), order_measures(spark, sf_dir)
+    if run == 1:
+        early = F.dayofyear("event_date") % 3 != 0
+        prices = prices.filter(early).withColumn("close", F.col("close") + 1)
+        measures = measures.filter(early).withColumn("total_volume_usd", F.lit(1.0))
+    name = f"2024010{run}T000000"
+    write_runs(prices.select("coin_id", ms, "open", "high", "low", "close"), raw, "ohlc", name)
+    price = F.lit(1.0).alias("price_usd")
+    write_runs(measures.select("coin_id", ms, price, "market_cap_usd", "total_volume_usd"), raw, "market", name)
+
+
 def flag_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items of a return flag as one long series along a time stamp; a few rows share one."""
     place = F.col("l_orderkey") * 8 + F.col("l_linenumber")

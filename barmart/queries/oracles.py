@@ -64,6 +64,18 @@ bars AS (
   FROM lines GROUP BY coin_id, event_date)"""
 )
 
+_ORDER_BARS = """
+prices AS (
+  SELECT o_orderpriority AS coin_id, CAST(o_orderdate AS DATE) AS event_date,
+         arg_min(floor(o_totalprice), o_orderkey) AS open, max(floor(o_totalprice)) AS high,
+         min(floor(o_totalprice)) AS low, arg_max(floor(o_totalprice), o_orderkey) AS close
+  FROM orders GROUP BY 1, 2),
+measures AS (
+  SELECT o_orderpriority AS coin_id, CAST(o_orderdate AS DATE) AS event_date,
+         sum(floor(l_extendedprice)) AS market_cap_usd, sum(l_quantity) AS total_volume_usd
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2),
+bars AS (SELECT * FROM prices JOIN measures USING (coin_id, event_date))"""
+
 _TIES = "market_cap_usd, total_volume_usd, open, high, low, close"
 _LINE_BARS = (
     _LINE_ROWS
@@ -315,17 +327,7 @@ labelled AS (
     + "SELECT * FROM labelled",
     "abs_change": _silver + "SELECT coin_id, event_date, round(abs(pct_change_1d), 6) AS abs_change FROM silver",
     # joins
-    "join_inner_equi": """
-WITH prices AS (
-  SELECT o_orderpriority AS coin_id, CAST(o_orderdate AS DATE) AS event_date,
-         arg_min(floor(o_totalprice), o_orderkey) AS open, max(floor(o_totalprice)) AS high,
-         min(floor(o_totalprice)) AS low, arg_max(floor(o_totalprice), o_orderkey) AS close
-  FROM orders GROUP BY 1, 2),
-measures AS (
-  SELECT o_orderpriority AS coin_id, CAST(o_orderdate AS DATE) AS event_date,
-         sum(floor(l_extendedprice)) AS market_cap_usd, sum(l_quantity) AS total_volume_usd
-  FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2)
-SELECT * FROM prices JOIN measures USING (coin_id, event_date)""",
+    "join_inner_equi": _with(_ORDER_BARS) + "SELECT * FROM bars",
     "join_broadcast_left": _with(_EVENT_BARS, _EVENT_LOOKUP)
     + "SELECT bars.*, ticker, category, launch_year FROM bars LEFT JOIN lookup USING (coin_id)",
     "join_several_per_day": _with(_LINE_ROWS)
@@ -448,6 +450,14 @@ FROM silver WHERE market_regime <> 'unknown' GROUP BY 1, 2""",
     "regime_dominance": _with(_SUPPLIER_BARS, _SILVER, _REGIME_SHARES)
     + """SELECT coin_id, market_regime, count, total, round(regime_rate, 6) AS regime_rate
 FROM shares WHERE regime_rate > 0.2""",
+    # stored tables
+    "filter_stored_key": "SELECT * FROM orders WHERE o_orderpriority = '1-URGENT'",
+    "pruned_by_lookup": """
+SELECT *, sum(CAST(floor(o_totalprice) AS BIGINT)) OVER (PARTITION BY o_orderpriority)::BIGINT AS turnover,
+       CAST(left(o_orderpriority, 1) AS INTEGER) AS level
+FROM orders WHERE left(o_orderpriority, 1) <= '2'""",
+    "stored_silver": _with(_ORDER_BARS, _SILVER) + f"SELECT {_SILVER_COLUMNS} FROM silver",
+    "stored_weekly": _with(_ORDER_BARS, _WEEKLY) + _WEEKLY_RANKED,
     # quality
     "dq_null_rates": _with(_GAP_BARS) + _UNION.join(_null_rate(c, "bars") for c in _NULL_CHECKED),
     "dq_rsi_range": _with("\nmarked AS (SELECT l_quantity * 3 AS rsi_14 FROM lineitem)") + _forbidden(*_RSI_RANGE, "marked"),

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import DataStreamReader
 
 from barmart.schemas import RAW_MARKET, RAW_OHLC
 
@@ -31,20 +32,25 @@ def _lineage(df: DataFrame) -> DataFrame:
     )
 
 
-def _read_runs(spark: SparkSession, raw: str, kind: str, schema: T.StructType) -> DataFrame:
+def _reader(spark: SparkSession, stream: bool) -> DataFrameReader | DataStreamReader:
+    """Of all files, or of a stream of those not read yet, however old they are."""
+    return spark.readStream.option("maxFileAge", "36500d") if stream else spark.read
+
+
+def _read_runs(spark: SparkSession, raw: str, kind: str, schema: T.StructType, stream: bool) -> DataFrame:
     """Rows of every run of every series; an unreadable file yields one row with null fields."""
-    return _lineage(spark.read.schema(schema).option("multiLine", True).json(f"{raw}/{kind}/*/*.json"))
+    return _lineage(_reader(spark, stream).schema(schema).option("multiLine", True).json(f"{raw}/{kind}/*/*.json"))
 
 
-def read_ohlc(spark: SparkSession, raw: str) -> DataFrame:
-    return _read_runs(spark, raw, "ohlc", RAW_OHLC)
+def read_ohlc(spark: SparkSession, raw: str, stream: bool = False) -> DataFrame:
+    return _read_runs(spark, raw, "ohlc", RAW_OHLC, stream)
 
 
-def read_market(spark: SparkSession, raw: str) -> DataFrame:
-    return _read_runs(spark, raw, "market", RAW_MARKET)
+def read_market(spark: SparkSession, raw: str, stream: bool = False) -> DataFrame:
+    return _read_runs(spark, raw, "market", RAW_MARKET, stream)
 
 
-def read_payloads(spark: SparkSession, raw: str, kind: str) -> DataFrame:
+def read_payloads(spark: SparkSession, raw: str, kind: str, stream: bool = False) -> DataFrame:
     """Whole response bodies laid out like the raw zone: coin_id (directory name), payload, lineage."""
-    files = _lineage(spark.read.text(f"{raw}/{kind}/*/*.json", wholetext=True))
+    files = _lineage(_reader(spark, stream).text(f"{raw}/{kind}/*/*.json", wholetext=True))
     return files.withColumnRenamed("value", "payload").withColumn("coin_id", key_of(F.col("_source_file")))

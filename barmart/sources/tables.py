@@ -10,6 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from barmart.operators.cleaning import newest_per
+from barmart.operators.joins import fits_broadcast
+
 MARK = "__"
 SCHEMA_FILE = "_schema.json"
 
@@ -33,6 +36,52 @@ def write_table(
     return read_table(df.sparkSession, path, fmt).count()
 
 
+def update_table(df: DataFrame, path: str, partition_by: tuple[str, ...], fmt: str = "parquet") -> None:
+    """Overwrite the partitions that ``df`` has rows for, and no other.
+
+    Their files are staged and moved in when every task has ended, so a failed write leaves the
+    whole table as it was. ``df`` may read the table itself.
+    """
+    writer = _marked(df.hint("rebalance", *partition_by), partition_by).write.format(fmt).mode("overwrite")
+    writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).save(path)
+    _write_schema(df.sparkSession, path, df.schema, partition_by)
+
+
+def merge_newest(
+    rows: DataFrame, path: str, partition_by: tuple[str, ...], keys: list[str], newest: list[str], fmt: str = "parquet"
+) -> None:
+    """Bring new rows into a stored table that keeps the newest row of each key; only partitions that they touch are read and
+    written. Merging rows twice, or in parts, gives the table that all of them at once would give."""
+    if table_exists(rows.sparkSession, path):
+        touched = rows.select(*partition_by).distinct()
+        touched = F.broadcast(touched) if fits_broadcast(touched) else touched  # broadcast, they prune the scan
+        stored = read_table(rows.sparkSession, path, fmt).join(touched, list(partition_by), "left_semi")
+        rows = stored.unionByName(rows, allowMissingColumns=True)
+    update_table(newest_per(rows, keys, newest), path, partition_by, fmt)
+
+
+def append_new(df: DataFrame, path: str, same: list[str], fmt: str = "parquet") -> bool:
+    """Append the rows that the stored table doesn't hold yet, compared by the columns ``same``; whether there were any.
+
+    Repeated rows of one call all stay, a second call with them adds none.
+    """
+    if table_exists(df.sparkSession, path):
+        place = F.md5(F.to_json(F.struct(*sorted(same))))
+        stored = read_table(df.sparkSession, path, fmt)
+        known = stored.select(*[F.col(c) if c in stored.columns else F.lit(None).alias(c) for c in same])
+        df = df.withColumn("_place", place).join(known.select(place.alias("_place")).distinct(), "_place", "left_anti").drop("_place")
+    if df.isEmpty():
+        return False
+    append_table(df, path, fmt)
+    return True
+
+
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether one of the functions here has stored a table at ``path``."""
+    files, file = _schema_file(spark, path)
+    return files.exists(file)
+
+
 def append_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     df.write.format(fmt).mode("append").save(path)
     _write_schema(df.sparkSession, path, df.schema, ())

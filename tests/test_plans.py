@@ -80,3 +80,11 @@ def test_preview_is_a_bounded_sort(spark):
 def test_aggregates_combine_before_the_exchange(spark):
     plan = plan_of(QUERIES["avg_close_per_key"](spark, SF))
     assert plan.count("partial_") >= 2 and "SortAggregate" not in plan
+
+
+def test_stored_tables_are_pruned(spark):
+    """By a key known beforehand, and by the keys that a lookup turns out to hold."""
+    plan = plan_of(QUERIES["filter_stored_key"](spark, SF))
+    assert re.search(r"PartitionFilters: \[.*1-URGENT", plan)
+    plan = plan_of(QUERIES["pruned_by_lookup"](spark, SF))
+    assert re.search(r"PartitionFilters: \[.*dynamicpruning", plan) and "Subquery" in plan
