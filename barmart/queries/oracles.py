@@ -453,9 +453,8 @@ FROM shares WHERE regime_rate > 0.2""",
     # stored tables
     "filter_stored_key": "SELECT * FROM orders WHERE o_orderpriority = '1-URGENT'",
     "pruned_by_lookup": """
-SELECT *, sum(CAST(floor(o_totalprice) AS BIGINT)) OVER (PARTITION BY o_orderpriority)::BIGINT AS turnover,
-       CAST(left(o_orderpriority, 1) AS INTEGER) AS level
-FROM orders WHERE left(o_orderpriority, 1) <= '2'""",
+SELECT *, sum(CAST(floor(o_totalprice) AS BIGINT)) OVER (PARTITION BY o_orderpriority)::BIGINT AS turnover
+FROM orders QUALIFY turnover % 2 = 0""",
     "stored_silver": _with(_ORDER_BARS, _SILVER) + f"SELECT {_SILVER_COLUMNS} FROM silver",
     "stored_weekly": _with(_ORDER_BARS, _WEEKLY) + _WEEKLY_RANKED,
     # quality

@@ -85,6 +85,6 @@ def test_aggregates_combine_before_the_exchange(spark):
 def test_stored_tables_are_pruned(spark):
     """By a key known beforehand, and by the keys that a lookup turns out to hold."""
     plan = plan_of(QUERIES["filter_stored_key"](spark, SF))
-    assert re.search(r"PartitionFilters: \[.*1-URGENT", plan)
+    assert "PartitionFilters: [(CASE WHEN StartsWith(o_orderpriority" in plan
     plan = plan_of(QUERIES["pruned_by_lookup"](spark, SF))
-    assert re.search(r"PartitionFilters: \[.*dynamicpruning", plan) and "Subquery" in plan
+    assert "SubqueryAdaptiveBroadcast dynamicpruning" in plan
