@@ -30,7 +30,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barmart.llm.components import components
@@ -39,12 +39,16 @@ from barmart.llm.words import WordCodes, shingle_set
 
 #: Shingles seen in OFTEN of SLICE documents in a row are candidates for the list of frequent ones.
 SLICE, OFTEN = 4096, 3
+#: Bytes of texts whose sets are held at once, and words whose codes a task remembers (some 20 MB).
+SLICE_BYTES, MEMO = 1 << 22, 100_000
 #: Length of the list of frequent shingles that tasks hold (1 MB). It only decides the order of shingles, never the links.
 FREQUENT = 1 << 16
 #: Share of a set's shingles that is looked at beyond the least number, so that partners must meet several times.
 EXTRA = 0.05
 #: Sets that one task holds of a region; a larger region is dealt to many tasks.
 BLOCK = 512
+#: Shingles of these sets together; a region with more is dealt to many tasks as well, so that long texts don't fill one.
+BLOCK_SHINGLES = 1 << 20
 #: Shingles whose columns one matrix product takes.
 WIDTH = 4096
 #: Shingles that are sorted at once when all pairs of a region are compared.
@@ -65,8 +69,8 @@ def _frequent(texts: DataFrame, length: int) -> np.ndarray:
     """Shingles that are frequent in the whole table, at most FREQUENT, the most frequent first."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes = WordCodes()
-        for batch in slices(batches, SLICE):
+        codes = WordCodes(MEMO)
+        for batch in slices(batches, SLICE, 1, SLICE_BYTES):
             sets = _sets(batch, codes, length)
             values, counts = np.unique(np.concatenate([np.empty(0, np.uint64), *sets]), return_counts=True)
             often = counts >= OFTEN
@@ -85,8 +89,8 @@ def shingle_digests(docs: DataFrame, length: int = 5, similarity: float = 0.75)
     frequent = _frequent(texts, length)
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes = WordCodes()
-        for batch in slices(batches):
+        codes = WordCodes(MEMO)
+        for batch in slices(batches, column=1):
             sets, n, first = _sets(batch, codes, length), [], []
             k1, k2 = _keys(sets)
             for s in sets:
@@ -231,15 +235,20 @@ class Regions(NamedTuple):
     reps: DataFrame
     #: doc_ids of several rows.
     again: DataFrame
-    #: (pivot, rep): the sets of each region.
+    #: (pivot, rep, n): the sets of each region.
     region: DataFrame
-    #: (pivot, size, heart): regions of two sets or more, with the smallest number in them.
+    #: (pivot, size, shingles_held, heart, blocks): regions of two sets or more, with the smallest number in them.
     sizes: DataFrame
     #: with_sets(rows, weight) adds the shingles of `rep`, made again from the texts of just these documents; `weight` tells how
     #: many numbers the rows hold.
     with_sets: Callable[[DataFrame, int], DataFrame]
 
 
+def _blocks(sets: str, shingles: str) -> Column:
+    """Blocks that a region is cut into, by its sets and by their shingles."""
+    return F.ceil(F.greatest(F.col(sets) / BLOCK, F.col(shingles) / BLOCK_SHINGLES)).cast("int")
+
+
 def jaccard_regions(docs: DataFrame, digests: DataFrame, length: int = 5, similarity: float = 0.75) -> Regions:
     """The regions of all sets: every two sets that link meet in one of them or more."""
     kind = dict(docs.dtypes)["doc_id"]
@@ -269,9 +278,10 @@ def jaccard_regions(docs: DataFrame, digests: DataFrame, length: int = 5, simila
     own = Window.partitionBy("rep", "shell")
     times = times.withColumns({"pivots": F.count("*").over(own), "total": F.sum("times").over(own)})
     times = times.join(if_small(able, n_able), "rep").filter("total >= need AND times * pivots >= need")
-    region = times.select("pivot", "rep").distinct()
+    region = times.select("pivot", "rep", "n").distinct()
     region = stored(region, "region")
-    sizes = region.groupBy("pivot").agg(F.count("*").alias("size"), F.min("rep").alias("heart")).filter("size > 1")
+    sizes = region.groupBy("pivot").agg(F.count("*").alias("size"), F.sum("n").alias("shingles_held"), F.min("rep").alias("heart"))
+    sizes = sizes.filter("size > 1").withColumn("blocks", _blocks("size", "shingles_held"))
     sizes = stored(sizes, "sizes")
 
     def with_sets(rows: DataFrame, count: int) -> DataFrame:
@@ -280,8 +290,8 @@ def jaccard_regions(docs: DataFrame, digests: DataFrame, length: int = 5, simila
         texts = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
 
         def to_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            codes = WordCodes()
-            for batch in slices(batches):
+            codes = WordCodes(MEMO)
+            for batch in slices(batches, column=1):
                 sets = _sets(batch, codes, length)
                 k1, k2 = _keys(sets)
                 yield pa.RecordBatch.from_arrays([batch.column(0), k1, k2, lists(sets)], [*key[2:], *key[:2], "shingles"])
@@ -303,7 +313,7 @@ def jaccard_links(docs: DataFrame, digests: DataFrame, length: int = 5, similari
     regions = jaccard_regions(docs, digests, length, similarity)
     _, _, region, sizes, with_sets = regions
     n_regions = sizes.count()
-    hot, mild = [if_small(sizes.filter(f"size {op} {BLOCK}").select("pivot", "heart"), n_regions) for op in (">", "<=")]
+    hot, mild = [if_small(sizes.filter(f"blocks {op} 1").select("pivot", "heart"), n_regions) for op in (">", "<=")]
 
     def join_regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found, id_kind = [], pa.int64()
@@ -314,6 +324,7 @@ def jaccard_links(docs: DataFrame, digests: DataFrame, length: int = 5, similari
                 found = []
         yield _pairs(found, id_kind)
 
+    region = region.drop("n")
     rows = region.join(mild, "pivot").drop("heart")
     whole = with_sets(rows, rows.count()).select("pivot", "rep", "shingles")
     links = whole.repartition("pivot").sortWithinPartitions("pivot", "rep").mapInArrow(join_regions, "a long, b long")
@@ -325,12 +336,13 @@ def jaccard_links(docs: DataFrame, digests: DataFrame, length: int = 5, similari
     both = F.size(F.array_intersect("shingles", "around")).cast("long")
     union = F.size("shingles") + F.size("around") - both
     star = large.filter("rep <> heart").join(heart, "pivot")
-    star = stored(star.select("pivot", "heart", "rep", both.alias("both"), union.alias("union")), "star")
+    star = stored(star.select("pivot", "heart", "rep", F.size("shingles").alias("n"), both.alias("both"), union.alias("union")), "star")
     close = 100 * F.col("both") >= round(100 * similarity) * F.col("union")
-    placed = star.select("pivot", "heart", "rep", close.alias("core"), (1 - F.col("both") / F.col("union")).alias("far"))
+    placed = star.select("pivot", "heart", "rep", "n", close.alias("core"), (1 - F.col("both") / F.col("union")).alias("far"))
     edge = placed.filter("NOT core").groupBy("pivot").agg(F.min("far").alias("least"))
     left = placed.join(edge, "pivot").filter(f"NOT core OR far >= least - {1 - similarity} - 1e-9").drop("least", "heart")
-    count = left.groupBy("pivot").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("blocks"))
+    count = left.groupBy("pivot").agg(F.count("*").alias("size"), F.sum("n").alias("shingles_held"))
+    count = count.select("pivot", _blocks("size", "shingles_held").alias("blocks"))
     own = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
     cut = (
         left.join(count, "pivot")
@@ -368,8 +380,7 @@ def _all_links(regions: Regions, sums: bool, similarity: float) -> DataFrame:
     which add up to all."""
     reps, _, region, sizes, with_sets = regions
     n_regions = sizes.count()
-    blocks = F.ceil(F.col("size") / F.lit(BLOCK)).cast("int").alias("blocks")
-    members = stored(region.join(if_small(sizes.select("pivot", blocks), n_regions), "pivot"), "members")
+    members = stored(region.drop("n").join(if_small(sizes.select("pivot", "blocks"), n_regions), "pivot"), "members")
     pivots = members.groupBy("rep").agg(F.collect_list("pivot").alias("pivots"))
     own = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
     before = F.array_sort(F.filter("pivots", lambda p: p < F.col("pivot")))

@@ -124,10 +124,11 @@ def _grams(order: int) -> str:
 URLS = f"""
 WITH parsed AS (
     SELECT page_id, translate(coalesce(regexp_extract(url, {_URL}, 1), ''), '{_UPPER}', '{_LOW}') AS host,
-        coalesce(regexp_extract(url, {_URL}, 2), '') AS path
+        coalesce(regexp_extract(url, {_URL}, 2), '') AS path, coalesce(url, '') AS url,
+        coalesce(regexp_extract(url, '(?s)^(.*?://)', 1), '') AS scheme
     FROM pages
 ), ruled AS (
-    SELECT *, host || path AS text, CASE
+    SELECT *, CASE WHEN scheme = '' THEN url ELSE scheme || host || substr(url, length(scheme) + length(host) + 1) END AS text, CASE
         WHEN (host = 'example.net' OR ends_with(host, '.example.net')) AND starts_with(path, '/en/') THEN 'example.net/en/'
         WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/de/') THEN 'example.com/de/'
         WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/fr/') THEN 'org/fr/'
@@ -139,8 +140,8 @@ WITH parsed AS (
 ), texts AS (
     SELECT text FROM ruled WHERE rule IS NULL UNION SELECT text FROM known WHERE held
 ), counts AS (
-    SELECT g, count(*) FILTER (accepted) AS a, count(*) FILTER (NOT accepted) AS r
-    FROM (SELECT accepted, {_grams(4)} AS g FROM known WHERE NOT held) GROUP BY g
+    SELECT g, coalesce(sum(n) FILTER (accepted), 0) AS a, coalesce(sum(n) FILTER (NOT accepted), 0) AS r
+    FROM (SELECT accepted, n, {_grams(4)} AS g FROM known WHERE NOT held) GROUP BY g
 ), cut AS (
     SELECT text, {_grams(4)} AS g FROM texts
 ), evenly AS (

@@ -35,11 +35,11 @@ def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_classes(_table(spark, sf_dir))
 
 
-def op1_jaccard_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+def links_of_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_pairs(_table(spark, sf_dir))
 
 
-def op1_jaccard_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def link_counts_of_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_counts(_table(spark, sf_dir))
 
 
@@ -52,10 +52,6 @@ def op3_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return url_filter.judge(_table(spark, sf_dir, "pages"), whole=False)
-
-
-def op4_whole_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(_table(spark, sf_dir, "pages"))
 
 
@@ -99,12 +95,11 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_jaccard_join,
-        op1_jaccard_pairs,
-        op1_jaccard_counts,
+        links_of_jaccard_join,
+        link_counts_of_jaccard_join,
         op2_topk_search,
         op3_curriculum_mix,
         op4_url_filter,
-        op4_whole_url_filter,
         op5_quality_rules,
         op6_toxicity,
         op7_substring_dedup,

@@ -55,11 +55,27 @@ def join_kept(wide: DataFrame, kept: DataFrame, on: list[str], how: str = "inner
     return met.unionByName(wide.join(keys, on, "left_anti"), allowMissingColumns=True)
 
 
-def slices(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
-    """Smaller pieces of the batches, so that what is made of one fits a worker's memory many times over."""
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 1024, column: int | None = None, most_bytes: int = 1 << 21) -> Iterator[pa.RecordBatch]:
+    """Smaller pieces of the batches, so that what is made of one fits a worker's memory many times over.
+
+    With `column`, a column of bytes, a piece also ends before it holds more than `most_bytes` of it; a larger row is alone.
+    """
+    import numpy as np
+    import pyarrow.compute as pc
+
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
-            yield batch.slice(at, rows)
+            piece = batch.slice(at, rows)
+            if column is None:
+                yield piece
+                continue
+            sizes = pc.binary_length(piece.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
+            ends, first = np.cumsum(sizes, dtype=np.int64), 0
+            while first < piece.num_rows:
+                before = int(ends[first - 1]) if first else 0
+                last = max(first + 1, int(np.searchsorted(ends, before + most_bytes, side="right")))
+                yield piece.slice(first, last - first)
+                first = last
 
 
 def lists(arrays: list, kind=None) -> pa.ListArray:

@@ -6,8 +6,7 @@ even one over ALPHABET characters, so an unseen context falls back to the longes
 fits is blocked if its log-likelihood difference, divided by its length, lies below a threshold that was calibrated on three sixteenths of
 the ruled URLs (by MD5), which the models aren't trained on.
 
-The models read the whole URL, with its host in lower case, as often as it occurs; the rules read host and path only. With
-`whole=False` they read distinct texts of host and path, as the SQL of the registered query op4_url_filter does.
+The models read the whole URL, with its host in lower case, as often as it occurs; the rules read host and path only.
 
 Counts and model tables are grouped and joined by n-gram; each distinct text is scored once. Log ratios are whole millionths,
 so sums don't depend on the order of rows.
@@ -131,14 +130,14 @@ def calibrated(scores: DataFrame) -> int:
     return best[len(best) // 2] * SCALE // STEPS
 
 
-def judge(pages: DataFrame, rules: dict[str, str] = RULES, order: int = ORDER, whole: bool = True) -> DataFrame:
+def judge(pages: DataFrame, rules: dict[str, str] = RULES, order: int = ORDER) -> DataFrame:
     """(page_id, host, path, rule, verdict) for every row of `pages` (page_id, url; other columns are ignored).
 
     A url that is null or has no `://` has an empty host and path. Where there are no accepted or no rejected ones to learn
     from, and for a score that equals the threshold, the verdict is allow. Repeated rows are returned as often as they occur.
     """
     rows = ruled(pages.select("page_id", "url"), rules)
-    rows = stored(rows.withColumn("text", whole_url(F.col("url")) if whole else F.concat("host", "path")).drop("url"), "ruled")
+    rows = stored(rows.withColumn("text", whole_url(F.col("url"))).drop("url"), "ruled")
     accepted = (F.col("verdict") == "allow").alias("accepted")
     known = rows.filter("rule IS NOT NULL").groupBy("text", accepted).agg(F.count("*").alias("n"))
     known = stored(known.withColumn("held", F.substring(F.md5("text"), 1, 1) < "3"), "known")
@@ -146,7 +145,7 @@ def judge(pages: DataFrame, rules: dict[str, str] = RULES, order: int = ORDER, w
     texts = stored(open_.unionByName(known.filter("held").select("text")).distinct(), "texts")
     wanted = texts.select(F.explode(grams(F.col("text"), order)).alias("gram")).distinct()
     train = known.filter("NOT held")
-    ratios = stored(model_ratios(train if whole else train.drop("n"), wanted, order), "ratios")
+    ratios = stored(model_ratios(train, wanted, order), "ratios")
     scores = stored(text_scores(texts, if_small(ratios, ratios.count()), order), "scores")
     threshold = calibrated(known.filter("held").join(scores, "text").select("score", "accepted", "n"))
     judged = rows.join(scores, "text", "left")

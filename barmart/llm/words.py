@@ -28,12 +28,16 @@ def lower_words_of(text: str | None) -> list[bytes]:
 
 
 class WordCodes(dict):
-    """64-bit code of a word. Holds at most MEMO_WORDS short words, so its memory is bounded."""
+    """64-bit code of a word. Holds at most `most` short words, so its memory is bounded."""
+
+    def __init__(self, most: int = MEMO_WORDS) -> None:
+        super().__init__()
+        self.most = most
 
     def __missing__(self, word: bytes) -> int:
         code = xxhash.xxh3_64_intdigest(word)
         if len(word) <= MEMO_BYTES:
-            if len(self) >= MEMO_WORDS:
+            if len(self) >= self.most:
                 self.clear()
             self[word] = code
         return code

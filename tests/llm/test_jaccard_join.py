@@ -147,3 +147,21 @@ def test_empty_table(no_docs):
     assert jaccard_join.jaccard_pairs(no_docs).collect() == []
     assert jaccard_join.jaccard_counts(no_docs).collect() == []
     assert jaccard_join.jaccard_classes(no_docs).collect() == []
+
+
+def test_regions_of_long_texts_are_cut_by_their_shingles(spark, monkeypatch):
+    """Texts of many shingles that share a region: few sets, but more shingles than one task should hold."""
+    import random
+
+    from barmart.llm import jaccard_join, shared
+
+    monkeypatch.setattr(jaccard_join, "BLOCK_SHINGLES", 3000)
+    rng = random.Random(8)
+    passage = " ".join(f"p{rng.randrange(10**6)}" for _ in range(900))
+    texts = [f"{passage} " + " ".join(f"o{k}_{j}" for j in range(100 + k)) for k in range(12)]
+    texts += [" ".join(f"u{k}_{j}" for j in range(900)) for k in range(4)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r.component_id for r in jaccard_join.jaccard_classes(docs).collect()}
+    assert found == {k: 0 if k < 12 else k for k in range(16)}
+    pieces = list(shared.slices(docs.selectExpr("doc_id", "CAST(text AS BINARY)").toArrow().to_batches(), 5, 1, 9000))
+    assert sum(p.num_rows for p in pieces) == 16 and all(p.num_rows == 1 or sum(len(x.as_py()) for x in p.column(1)) <= 9000 for p in pieces)
