@@ -23,6 +23,7 @@ def regime_label(move_7: Column, spread: Column, rsi: Column) -> Column:
     them cover their whole range, so they never come out; a fall of more than 10 %
     with an RSI above 65 counts as bullish. Both follow from the rule order.
     """
+    # The labels, the RSI limits and the order of the rules.
     size = F.abs(move_7)
     wide = spread > WIDE_SPREAD
     rules = [

@@ -33,6 +33,7 @@ def spark():
 @pytest.fixture(scope="session")
 def steady_bars(spark) -> DataFrame:
     """Three series of 30 days, each rising by one percent of its base a day."""
+    # Keys, bases and factors of the expected results in FIXTURES.md (F1).
     rows = []
     for coin, base in {"bitcoin": 40000.0, "ethereum": 2000.0, "solana": 100.0}.items():
         for day in range(30):
