@@ -10,13 +10,10 @@ from barmart.operators.series import refuse_names
 # A group of at most this many rows may be ranked by one task.
 GROUP_ROWS = 4_000_000
 
-# Slots per unit of ln: values in one slot differ by at most 0.4 percent. The double range
-# then allows some 4 * 10^5 slots per group, whatever its size. A slot with more distinct
-# values than this is divided evenly between its least and its largest value.
-SLOTS_PER_LOG = 256
+# A group with more distinct values than this is ranked in slots of about equally many values each, up to
+# ``SLOTS`` of them. Their limits come from a quantile sketch, so how the values lie doesn't matter.
 SLOT_VALUES = 10_000
-SLOT_SCALE = 1e6
-LARGEST = 1e300
+SLOTS = 1024
 
 
 def groups_fit(df: DataFrame, group: list[str | Column], limit: int = GROUP_ROWS) -> bool:
@@ -25,11 +22,37 @@ def groups_fit(df: DataFrame, group: list[str | Column], limit: int = GROUP_ROWS
     return (sizes.agg(F.max("rows")).first()[0] or 0) <= limit
 
 
-def value_slot(value: Column) -> Column:
-    """A coarse bucket that never decreases as ``value`` grows; NaN ranks above all numbers, null has none."""
-    size = F.log1p(F.least(F.abs(value), F.lit(LARGEST)) * SLOT_SCALE) * SLOTS_PER_LOG
-    slot = F.floor(size).cast("int")
-    return F.when(F.isnan(value), F.lit(2**30)).when(value < 0, -slot).when(value >= 0, slot)
+def slot_limits(distinct: DataFrame, group: list[str], value: Column) -> DataFrame:
+    """(group, _limits): ascending limits between the slots of each group that needs several.
+
+    One mergeable quantile sketch by group, over distinct values and their ``_rows``. Groups that fit one slot have no row, so the table has at
+    most a row for every ``SLOT_VALUES`` distinct values.
+    """
+    # Every distinct value has rows; reading them keeps the exchange of the distinct values one and the same.
+    finite = F.when((F.abs(value) < float("inf")) & (F.col("_rows") > 0), value)
+    shares = [k / SLOTS for k in range(1, SLOTS)]
+    sketch = distinct.groupBy(*group).agg(
+        F.least(F.lit(SLOTS), F.ceil(F.count(value) / SLOT_VALUES)).alias("_slots"),
+        F.percentile_approx(finite, shares).alias("_limits"),
+    )
+    taken = F.filter(
+        "_limits", lambda _, i: F.floor((i + 1) * F.col("_slots") / SLOTS) > F.floor(i * F.col("_slots") / SLOTS)
+    )
+    return sketch.filter("_slots > 1 AND _limits IS NOT NULL").select(
+        *group, F.array_sort(F.array_distinct(taken)).alias("_limits")
+    )
+
+
+def slot_of(value: Column, limits: Column) -> Column:
+    """How many limits lie below ``value``, by halving steps; NaN lies above all numbers, null has no slot."""
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(SLOTS.bit_length()))])
+
+    def go(at: Column, step: Column) -> Column:
+        below = (at + step <= F.size(limits)) & (F.get(limits, at + step - 1) < value)
+        return F.when(below, at + step).otherwise(at)
+
+    found = F.when(limits.isNull(), F.lit(0)).otherwise(F.aggregate(steps, F.lit(0), go))
+    return F.when(value.isNotNull(), found)
 
 
 def rank_values(
@@ -64,26 +87,27 @@ def _rank_split(
 
     The distinct values are counted (pre-aggregated before the exchange, so equal values
     cost one row per task), ranked inside slots of similar values, and shifted by what the
-    slots above hold. Slots have a fixed width; one that a measurement finds to hold many
-    distinct values is divided by its least and largest value. What meets in one window are the
-    values of a part of a slot, the parts of a slot, and the slots of a group. The rows then
+    slots above hold. Slots hold about equally many distinct values (``slot_limits``). What meets
+    in one window are the values of a slot, and the slots of a group. The rows then
     look their rank up by (group, value), where a value shared by many rows can be split
     like any skewed join key.
     """
-    refuse_names(df, ["_rows", "_slot", "_coarse", "_part", "_least", "_most", "_values"])
+    refuse_names(df, ["_rows", "_slot", "_slots", "_limits"])
     number = F.col(value).cast("double")
-    distinct = values_from.groupBy(*group, value).agg(F.count("*").alias("_rows")).withColumn("_coarse", value_slot(number))
-    measured = distinct.groupBy(*group, "_coarse").agg(
-        F.min(number).alias("_least"), F.max(number).alias("_most"), F.count("*").alias("_values")
+    distinct = values_from.groupBy(*group, value).agg(F.count("*").alias("_rows"))
+    limited = _same(distinct, slot_limits(distinct, group, number), group, "left")
+    counted = limited.withColumn("_slot", slot_of(number, F.col("_limits"))).drop("_limits")
+    inside = Window.partitionBy(*group, "_slot").orderBy(F.desc_nulls_last(value))
+    local = counted.withColumns(
+        {
+            "_larger": F.coalesce(F.sum("_rows").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
+            "_nth": F.row_number().over(inside),
+        }
     )
-    parts = F.ceil(F.col("_values") / SLOT_VALUES)
-    width = F.col("_most") - F.col("_least")
-    share = F.when((parts > 1) & (width > 0) & (width < LARGEST), (number - F.col("_least")) / width * parts)
-    counted = _same(distinct, measured, [*group, "_coarse"], "inner").withColumn(
-        "_slot", F.struct("_coarse", F.coalesce(F.floor(share), F.lit(0)).cast("long").alias("_part"))
+    # Totals of the slots come from rows that are together already.
+    slots = local.groupBy(*group, "_slot").agg(
+        F.max(F.col("_larger") + F.col("_rows")).alias("_slot_rows"), F.max("_nth").alias("_slot_values")
     )
-    counted = counted.drop("_coarse", "_least", "_most", "_values")
-    slots = counted.groupBy(*group, "_slot").agg(F.sum("_rows").alias("_slot_rows"), F.count("*").alias("_slot_values"))
     per_group = Window.partitionBy(*group)
     above = per_group.orderBy(F.desc_nulls_last("_slot")).rowsBetween(Window.unboundedPreceding, -1)
     shifts = slots.select(
@@ -93,13 +117,6 @@ def _rank_split(
         F.coalesce(F.sum("_slot_values").over(above), F.lit(0)).alias("_values_above"),
         F.sum("_slot_rows").over(per_group).alias("_group_rows"),
     )
-    inside = Window.partitionBy(*group, "_slot").orderBy(F.desc_nulls_last(value))
-    local = counted.withColumns(
-        {
-            "_larger": F.coalesce(F.sum("_rows").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
-            "_nth": F.row_number().over(inside),
-        }
-    )
     placed = _same(local, shifts, [*group, "_slot"], "inner")
     rank = F.col("_rows_above") + F.col("_larger") + 1
     share = F.when(F.col("_group_rows") > 1, (rank - 1) / (F.col("_group_rows") - 1)).otherwise(F.lit(0.0))

@@ -1,12 +1,13 @@
 from __future__ import annotations
 
 import random
+import re
 
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from barmart.operators.ranking import groups_fit, rank_values, top_per_key, value_slot
+from barmart.operators.ranking import groups_fit, rank_values, slot_limits, slot_of, top_per_key
 
 NAMES = {"rank": "r", "dense_rank": "d", "percent_rank": "p"}
 
@@ -56,11 +57,22 @@ def test_other_types_and_nan(spark):
     assert got == {"nan": 1, "inf": 2, "1.0": 3, "-inf": 4}
 
 
-def test_slots_never_fall_as_values_grow(spark):
-    values = sorted(v for v in mixed_values(5, 3000) if v is not None)
-    df = spark.createDataFrame([(v,) for v in values], "v double").withColumn("s", value_slot(F.col("v")))
-    pdf = df.toPandas().sort_values("v")
-    assert pd.Series(pdf.s).is_monotonic_increasing
+@pytest.mark.parametrize("make", [lambda k: float(k), lambda k: 1.0 + k * 1e-12, lambda k: 2.0 ** (k / 40 - 500), lambda k: -1.0 / (k + 1)])
+def test_slots_are_even_whatever_the_distribution(spark, monkeypatch, make):
+    monkeypatch.setattr("barmart.operators.ranking.SLOT_VALUES", 50)
+    df = spark.createDataFrame([(k % 2, make(k)) for k in range(4000)] + [(2, float(k)) for k in range(50)], "g int, v double").withColumn("_rows", F.lit(1))
+    placed = df.join(slot_limits(df, ["g"], F.col("v")), "g", "left").withColumn("s", slot_of(F.col("v"), F.col("_limits")))
+    pdf = placed.toPandas().sort_values(["g", "v"])
+    assert pdf.groupby("g").s.is_monotonic_increasing.all()
+    sizes = pdf.groupby(["g", "s"]).size()
+    assert len(sizes[0]) == len(sizes[1]) == 40 and sizes[[0, 1]].max() <= 60 and list(sizes[2]) == [50]
+
+
+def test_slots_of_odd_values(spark):
+    rows = [(v,) for v in (None, float("-inf"), 0.0, 1.0, 1.5, 3.0, float("inf"), float("nan"))]
+    df = spark.createDataFrame(rows, "v double")
+    got = df.select(slot_of(F.col("v"), F.array(F.lit(1.0), F.lit(2.0), F.lit(3.0))).alias("s")).collect()
+    assert [r.s for r in got] == [None, 0, 0, 0, 1, 2, 3, 3]
 
 
 def test_groups_fit_measures_the_largest(spark):
@@ -88,3 +100,11 @@ def test_crowded_slots_are_divided(spark, monkeypatch):
 def test_working_names_are_refused(spark):
     with pytest.raises(ValueError):
         rank_values(spark.createDataFrame([(1, 1.0, 1)], "g int, v double, _slot int"), ["g"], "v", {"rank": "r"})
+
+
+def test_split_ranks_take_six_exchanges(spark, tmp_path):
+    spark.range(5000).select(F.col("id") % 3, F.col("id") / 7).toDF("g", "v").write.parquet(str(tmp_path / "t"))
+    ranked = rank_values(spark.read.parquet(str(tmp_path / "t")), ["g"], "v", NAMES)
+    ranked.collect()
+    final = ranked._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert len(re.findall(r"[- ]Exchange ", final)) <= 6 and "ReusedExchange" in final
