@@ -8,22 +8,26 @@ matrix products for each batch of texts.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from barmart.llm.shared import if_small
+
 DIMS_BITS = 14
 DIMS = 1 << DIMS_BITS
-#: Bounds of the training sample: texts of each language, and languages (those with the most texts).
-PER_LANGUAGE = 384
-LANGUAGES = 64
-#: Landmarks of each language, and of all (32 MB as numbers).
+#: Bounds of the training sample: texts of each language, and of all (48 MB of packed rows). With more than SAMPLE / PER_LANGUAGE
+#: languages each has fewer texts, but at least one: every language is learnt.
+PER_LANGUAGE, SAMPLE = 384, 24_576
+#: Landmarks of each language, and of all (32 MB as numbers); with more languages than that, some have none of their own.
 LANDMARKS_PER_LANGUAGE, LANDMARKS = 32, 512
 RIDGE = 1e-2
 BATCH = 64
+LETTER = r"\p{L}"
 
 
 def letter_table() -> np.ndarray:
@@ -74,7 +78,7 @@ class Classifier:
         self.langs = sorted(set(langs))
         own = np.array([self.langs.index(x) for x in langs])
         each = max(1, min(LANDMARKS_PER_LANGUAGE, LANDMARKS // len(self.langs)))
-        picked = np.concatenate([np.flatnonzero(own == c)[:each] for c in range(len(self.langs))])
+        picked = np.concatenate([np.flatnonzero(own == c)[:each] for c in range(len(self.langs))])[:LANDMARKS]
         self.landmarks = unpacked(bits[picked]).T.copy()
         self.norms = np.sqrt(np.maximum(self.landmarks.sum(0), 1))
         near = np.concatenate([self.kernels(unpacked(bits[i : i + 512])) for i in range(0, len(bits), 512)]).astype(np.float64)
@@ -94,35 +98,46 @@ class Classifier:
         return best, np.clip(values[np.arange(len(best)), best], 0, 1)
 
 
-def fit(labelled: DataFrame, key: str = "doc_id") -> Classifier | None:
-    """Learns from (key, text, lang) rows with a language. The sample holds about PER_LANGUAGE texts of each language at most,
-    chosen by a hash of the key; its n-gram rows (2 KB each) are made by tasks and gathered. None without such rows."""
-    known = labelled.filter("lang IS NOT NULL AND text IS NOT NULL")
-    sizes = known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
-    if not sizes:
-        return None
-    share = F.create_map(*[F.lit(x) for r in sizes for x in (r["lang"], r["n"])])[F.col("lang")]
-    sample = known.filter(F.pmod(F.xxhash64(key), share) < PER_LANGUAGE).select(key, "text", "lang")
+def training_sample(labelled: DataFrame, per_language: int = PER_LANGUAGE, most: int = SAMPLE) -> DataFrame:
+    """(text, lang): at most `per_language` different texts of each language, at most `most` of all (but one of each language).
+
+    Texts are chosen by a hash of the text, so copies, repeated and null keys don't matter. Of the different hashes, tasks pass on
+    at most `per_language` of a language to its window, and then one row of each chosen text.
+    """
+    known = labelled.filter("lang IS NOT NULL AND text IS NOT NULL").filter(F.col("text").rlike(LETTER))
+    languages = labelled.filter("lang IS NOT NULL").select("lang").distinct().count()
+    each = max(1, min(per_language, most // max(1, languages)))
+    # Copies are counted as one before the window, else the copies of one text could be all that it sees.
+    codes = known.select("lang", F.xxhash64("text").alias("code")).distinct()
+    nth = F.row_number().over(Window.partitionBy("lang").orderBy("code"))
+    chosen = codes.withColumn("nth", nth).filter(F.col("nth") <= each).select("lang", "code")
+    rows = known.select("text", "lang", F.xxhash64("text").alias("code"))
+    # At most `most` narrow rows, or one of each language.
+    return rows.join(if_small(chosen, max(most, languages)), ["lang", "code"]).dropDuplicates(["lang", "code"]).select("text", "lang")
+
+
+def fit(labelled: DataFrame) -> Classifier | None:
+    """Learns from (text, lang) rows with a language, from `training_sample`; its n-gram rows (2 KB each) are made by tasks and
+    gathered. None without such rows."""
+    sample = training_sample(labelled)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         letters = letter_table()
         for batch in batches:
             for at in range(0, batch.num_rows, BATCH):
                 part = batch.slice(at, BATCH)
-                found, good = presence(part.column(1).to_pylist(), letters)
+                found, good = presence(part.column(0).to_pylist(), letters)
                 bits = np.packbits(found.astype(bool), axis=1)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(2), pa.array([b.tobytes() for b in bits], pa.binary()), pa.array(good)],
-                    [key, "lang", "bits", "good"],
-                )
+                packed = pa.array([b.tobytes() for b in bits], pa.binary())
+                yield pa.RecordBatch.from_arrays([part.column(1), packed, pa.array(good)], ["lang", "bits", "good"])
 
-    kind = dict(labelled.dtypes)[key]
-    got = sample.mapInArrow(rows, f"{key} {kind}, lang string, bits binary, good boolean").filter("good").collect()
+    got = sample.mapInArrow(rows, "lang string, bits binary, good boolean").filter("good").collect()
     if not got:
         return None
-    got.sort(key=lambda r: (r["lang"], str(r[key]), bytes(r["bits"])))
-    matrix = np.frombuffer(b"".join(bytes(r["bits"]) for r in got), np.uint8).reshape(len(got), -1)
-    return Classifier(matrix, [r["lang"] for r in got])
+    # By language, then by a digest of the row, so that landmarks don't favour the texts that share the first n-grams.
+    got = sorted((r["lang"], hashlib.md5(bytes(r["bits"])).digest(), bytes(r["bits"])) for r in got)
+    matrix = np.frombuffer(b"".join(r[2] for r in got), np.uint8).reshape(len(got), -1)
+    return Classifier(matrix, [r[0] for r in got])
 
 
 def predict(docs: DataFrame, model: Classifier | None, keep: tuple[str, ...]) -> DataFrame:
@@ -149,7 +164,7 @@ def predict(docs: DataFrame, model: Classifier | None, keep: tuple[str, ...]) ->
 def identify(docs: DataFrame) -> DataFrame:
     """(doc_id, held_out, lang_pred, score) for every row of `docs` (doc_id, text, lang; other columns are ignored).
 
-    Learns from rows whose crc32(doc_id) mod 5 is not 0 and that have a language; a null doc_id is neither learnt from nor
+    Learns from rows whose crc32(doc_id) mod 5 is not 0 and that have a language and a letter; a null doc_id is neither learnt from nor
     held out. Repeated rows are returned as often as they occur; an empty table gives an empty table.
     """
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5
