@@ -197,18 +197,20 @@ def _concentrate(step: int, floors: tuple[float, ...]) -> str:
     return f"""binned{step} AS (
     SELECT *, CAST(floor(ln(1 + {_squared()}) * 64) AS BIGINT) AS bin FROM placed JOIN estimate{step} USING (key)
 ), edges{step} AS (
-    SELECT key, quantile_cont(bin, 0.75) AS edge FROM binned{step} GROUP BY key
+    SELECT key, start, quantile_cont(bin, 0.75) AS edge FROM binned{step} GROUP BY key, start
 ), sums{step} AS (
-    SELECT key, count(*) AS n, {sums} FROM binned{step} JOIN edges{step} USING (key) WHERE bin <= edge GROUP BY key
+    SELECT key, start, count(*) AS n, {sums} FROM binned{step} JOIN edges{step} USING (key, start) WHERE bin <= edge
+    GROUP BY key, start
 ), moments{step} AS (
     SELECT *, {", ".join(f"s{i} / n AS m{i}" for i in _DIMS)} FROM sums{step}
-), {", ".join(levels)}, estimate{step + 1} AS (SELECT {_ESTIMATE} FROM {source}), """
+), {", ".join(levels)}, estimate{step + 1} AS MATERIALIZED (SELECT {_ESTIMATE} FROM {source}), """
 
 
-_ESTIMATE = ", ".join(["key", *(f"m{i}" for i in _DIMS), *(f"l{i}{j}" for i in _DIMS for j in range(i + 1))])
+_STEPS = 6
+_ESTIMATE = ", ".join(["key", "start", *(f"m{i}" for i in _DIMS), *(f"l{i}{j}" for i in _DIMS for j in range(i + 1))])
 _FLOORS = (0.08, 0.25, 0.15, 0.15)
 _START = ", ".join(
-    [f"quantile_cont(z{i}, 0.5) AS m{i}" for i in _DIMS]
+    [f"quantile_cont(z{i}, [0.25, 0.5, 0.75])[start + 1] AS m{i}" for i in _DIMS]
     + [
         f"greatest((quantile_cont(z{i}, 0.75) - quantile_cont(z{i}, 0.25)) / 1.349::DOUBLE, {_FLOORS[i] * 1024!r}::DOUBLE) AS l{i}{j}"
         if i == j
@@ -249,19 +251,21 @@ WITH docs AS (
 ), sizes AS (
     SELECT own, CASE WHEN count(*) >= 50 THEN own ELSE lang END AS key, count(*) AS n FROM vectors WHERE NOT base_failed GROUP BY own, lang
 ), keys AS (
-    SELECT own, key FROM sizes QUALIFY sum(n) OVER (PARTITION BY key) >= 50
-), placed AS (
+    SELECT own, CASE WHEN sum(n) OVER (PARTITION BY key) >= 50 THEN key ELSE '*' END AS key FROM sizes
+), placed AS MATERIALIZED (
     SELECT key, z0, z1, z2, z3 FROM vectors JOIN keys USING (own) WHERE NOT base_failed
 ), estimate0 AS (
-    SELECT key, {_START} FROM placed GROUP BY key
-), {_concentrate(0, _FLOORS)}{_concentrate(1, _FLOORS)}halves AS (
+    SELECT key, start, {_START} FROM placed, (SELECT unnest([0, 1, 2]) AS start) GROUP BY key, start
+), {"".join(_concentrate(k, _FLOORS) for k in range(_STEPS))}best AS (
+    SELECT * FROM estimate{_STEPS} QUALIFY row_number() OVER (PARTITION BY key ORDER BY l00 * l11 * l22 * l33, start) = 1
+), halves AS (
     SELECT key, greatest(1, (exp(quantile_cont(CAST(floor(ln(1 + {_squared()}) * 64) AS BIGINT), 0.5) / 64) - 1) / 3.357::DOUBLE)
         * 28.47::DOUBLE AS cutoff
-    FROM placed JOIN estimate2 USING (key) GROUP BY key
+    FROM placed JOIN best USING (key) GROUP BY key
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
     NOT base_failed AND NOT coalesce({_squared()} > cutoff, FALSE) AS kept
-FROM vectors LEFT JOIN (SELECT * FROM keys JOIN estimate2 USING (key) JOIN halves USING (key)) USING (own)
+FROM vectors LEFT JOIN (SELECT * FROM keys JOIN best USING (key) JOIN halves USING (key)) USING (own)
 """
 
 #: CRC-32 (polynomial 3988292384, reflected) of a text of characters below U+0800, byte by byte.

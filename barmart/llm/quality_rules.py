@@ -1,17 +1,18 @@
 """Quality rules: fixed limits, then robust multivariate outliers; DataFrame functions only.
 
 The texts that pass the limits are described by four transformed statistics. For each language and source (sources with few
-such texts together for their language) the minimum-covariance-determinant estimate of their mean and covariance is
-sought by concentration steps: starting from medians and quartiles, keep the CORE share of texts with the smallest
-Mahalanobis distances, estimate anew from these, and again. Texts whose distance to the last estimate lies beyond CUTOFF are
-rejected. Each step is a grouped aggregate over narrow rows; what it yields is one row for each group.
+such texts together for their language, and languages with few together) the minimum-covariance-determinant estimate of
+their mean and covariance is sought by concentration steps: keep the CORE share of texts with the smallest Mahalanobis
+distances, estimate anew from these, and again until nothing changes, STEPS times at most. That is done from three starts, the
+lower quartiles, medians and upper quartiles; the estimate with the least determinant wins. Texts whose distance to it lies
+beyond CUTOFF are rejected. Each step is a grouped aggregate over narrow rows; what it yields is three rows for each group.
 
 Statistics are rounded to whole 1/UNIT, so that sums don't depend on the order of rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barmart.llm.shared import if_small, stored
@@ -24,11 +25,12 @@ UNIT = 1024
 #: symbols in a hundred characters, share of repeated lines, share of words in repeated 3-word windows.
 FLOORS = (0.08, 0.25, 0.15, 0.15)
 CORE = 0.75
-STEPS = 2
+STARTS, STEPS = 3, 6
 #: Squared distance that one in 100,000 normal vectors of four statistics exceeds, and its median.
 CUTOFF, MIDDLE = 28.47, 3.357
 FEW = 50
 _DIMS = range(len(FLOORS))
+_ESTIMATE = [*(f"m{i}" for i in _DIMS), *(f"l{i}{j}" for i in _DIMS for j in range(i + 1))]
 
 
 def let(value: Column, body) -> Column:
@@ -126,7 +128,7 @@ def _factor(moments: DataFrame) -> DataFrame:
             else:
                 value = value / F.col(f"l{j}{j}")
             rows = rows.withColumn(f"l{i}{j}", value)
-    return rows.select("key", *(f"m{i}" for i in _DIMS), *(f"l{i}{j}" for i in _DIMS for j in range(i + 1)))
+    return rows.select("key", "start", *_ESTIMATE)
 
 
 def _bin(squared: Column) -> Column:
@@ -134,30 +136,51 @@ def _bin(squared: Column) -> Column:
     return F.floor(F.log(1 + squared) * 64).cast("long")
 
 
-def fit(rows: DataFrame) -> DataFrame:
-    """(key, m*, l**, cutoff): the estimate of each group of (key, z*) rows and the squared distance that it allows."""
-    quarter = rows.groupBy("key").agg(
-        F.count("*").alias("n"), *(F.percentile(f"z{i}", F.array(*map(F.lit, (0.25, 0.5, 0.75)))).alias(f"q{i}") for i in _DIMS)
-    )
-    start = {f"m{i}": F.col(f"q{i}")[1] for i in _DIMS}
+def starts(rows: DataFrame) -> DataFrame:
+    """(key, start, m*, l**): for each group of (key, z*) rows its quartiles as centres, with the spread between them."""
+    shares = F.array(*map(F.lit, (0.25, 0.5, 0.75)))
+    quarter = rows.groupBy("key").agg(*(F.percentile(f"z{i}", shares).alias(f"q{i}") for i in _DIMS))
+    quarter = quarter.withColumn("start", F.explode(F.array(*map(F.lit, range(STARTS)))))
+    columns = {f"m{i}": F.get(f"q{i}", "start") for i in _DIMS}
     for i in _DIMS:
         spread = F.greatest((F.col(f"q{i}")[2] - F.col(f"q{i}")[0]) / 1.349, F.lit(FLOORS[i] * UNIT))
-        start |= {f"l{i}{j}": spread if i == j else F.lit(0.0) for j in range(i + 1)}
-    names = ["key", *start]
-    estimate = stored(quarter.withColumns(start).select(*names), "estimate")
-    groups = estimate.count()
+        columns |= {f"l{i}{j}": spread if i == j else F.lit(0.0) for j in range(i + 1)}
+    return quarter.withColumns(columns).select("key", "start", *_ESTIMATE)
+
+
+def concentrated(rows: DataFrame, estimate: DataFrame, size: int) -> DataFrame:
+    """One step: the estimates (`size` rows) from the CORE share of texts that lie closest to the given ones."""
+    placed = rows.join(if_small(estimate, size), "key").withColumn("bin", _bin(_squared(rows)))
+    edge = placed.groupBy("key", "start").agg(F.percentile("bin", F.lit(CORE)).alias("edge"))
+    core = placed.join(if_small(edge, size), ["key", "start"]).filter("bin <= edge")
+    sums = {f"s{i}": F.col(f"z{i}") for i in _DIMS}
+    sums |= {f"p{i}{j}": F.col(f"z{i}") * F.col(f"z{j}") for i in _DIMS for j in range(i + 1)}
+    moments = core.groupBy("key", "start").agg(
+        F.count("*").alias("n"), *(F.sum(v.cast("double")).alias(k) for k, v in sums.items())
+    )
+    return _factor(moments)
+
+
+def least_determinant(estimate: DataFrame) -> DataFrame:
+    """(key, m*, l**): of each group's estimates the one with the least determinant of the covariance."""
+    root = F.col("l00") * F.col("l11") * F.col("l22") * F.col("l33")
+    nth = F.row_number().over(Window.partitionBy("key").orderBy(root, "start"))
+    return estimate.withColumn("_nth", nth).filter("_nth = 1").select("key", *_ESTIMATE)
+
+
+def fit(rows: DataFrame) -> DataFrame:
+    """(key, m*, l**, cutoff): the estimate of each group of (key, z*) rows and the squared distance that it allows."""
+    estimate = stored(starts(rows), "estimate")
+    size = estimate.count()
     for _ in range(STEPS):
-        placed = rows.join(if_small(estimate, groups), "key").withColumn("bin", _bin(_squared(rows)))
-        edge = placed.groupBy("key").agg(F.percentile("bin", F.lit(CORE)).alias("edge"))
-        core = placed.join(if_small(edge, groups), "key").filter("bin <= edge")
-        sums = {f"s{i}": F.col(f"z{i}") for i in _DIMS}
-        sums |= {f"p{i}{j}": F.col(f"z{i}") * F.col(f"z{j}") for i in _DIMS for j in range(i + 1)}
-        moments = core.groupBy("key").agg(F.count("*").alias("n"), *(F.sum(v.cast("double")).alias(k) for k, v in sums.items()))
-        estimate = stored(_factor(moments), "estimate")
-    placed = rows.join(if_small(estimate, groups), "key").withColumn("bin", _bin(_squared(rows)))
+        before, estimate = estimate, stored(concentrated(rows, estimate, size), "estimate")
+        if before.exceptAll(estimate).isEmpty():
+            break
+    best = stored(least_determinant(estimate), "estimate")
+    placed = rows.join(if_small(best, size), "key").withColumn("bin", _bin(_squared(rows)))
     half = placed.groupBy("key").agg(F.percentile("bin", F.lit(0.5)).alias("half"))
     scale = F.greatest(F.lit(1.0), (F.exp(F.col("half") / 64) - 1) / MIDDLE)
-    return stored(estimate.join(half.select("key", (scale * CUTOFF).alias("cutoff")), "key"), "estimate")
+    return stored(best.join(half.select("key", (scale * CUTOFF).alias("cutoff")), "key"), "estimate")
 
 
 def judge(docs: DataFrame, keep: dict[str, Column]) -> DataFrame:
@@ -165,7 +188,8 @@ def judge(docs: DataFrame, keep: dict[str, Column]) -> DataFrame:
 
     A text fails the limits with fewer than 50 words or more than half of its words in repeated windows; null and empty texts
     do. Others are kept unless they are outliers of their group. Null languages and sources are groups like others.
-    A group of fewer than FEW texts joins the other small ones of its language; if they still are fewer, all are kept.
+    A group of fewer than FEW texts joins the other small ones of its language; if they still are fewer, these join those of
+    other languages. So every text is judged; the floors keep the covariance of a tiny group regular.
     """
     rows = docs.select(*(c.alias(n) for n, c in keep.items()), "lang", "source", base_statistics(F.col("text")).alias("_s"))
     rows = rows.select(*keep, "lang", "source", "_s.*")
@@ -179,8 +203,8 @@ def judge(docs: DataFrame, keep: dict[str, Column]) -> DataFrame:
     keys = sizes.select("own", F.when(F.col("n") >= FEW, F.col("own")).otherwise(F.col("lang")).alias("key"), "n")
     keys = stored(keys, "keys")
     count = keys.count()
-    enough = keys.groupBy("key").agg(F.sum("n").alias("n")).filter(F.col("n") >= FEW).select("key")
-    keys = keys.select("own", "key").join(if_small(enough, count), "key")
+    few = keys.groupBy("key").agg(F.sum("n").alias("n")).filter(F.col("n") < FEW).select("key", F.lit("*").alias("pool"))
+    keys = keys.select("own", "key").join(if_small(few, count), "key", "left").select("own", F.coalesce("pool", "key").alias("key"))
     placed = good.join(if_small(keys, count), "own").select("key", *(f"z{i}" for i in _DIMS))
     estimate = keys.join(fit(placed), "key").drop("key")
     judged = _vectors(rows).join(if_small(estimate, count), "own", "left")
@@ -200,5 +224,6 @@ def without_rejected(docs: DataFrame) -> DataFrame:
     """The rows of `docs` that are kept, unchanged."""
     judged = judge(docs, {"_id": F.col("doc_id"), "_code": F.xxhash64("text")}).filter("NOT kept").select("_id", "_code")
     rejected = stored(judged.distinct(), "rejected")
-    match = docs["doc_id"].eqNullSafe(F.col("_id")) & F.xxhash64(docs["text"]).eqNullSafe(F.col("_code"))
-    return docs.join(if_small(rejected, rejected.count()), match, "left_anti")
+    rows = docs.select(F.struct("*").alias("_row"))
+    match = F.col("_row.doc_id").eqNullSafe(F.col("_id")) & F.xxhash64("_row.text").eqNullSafe(F.col("_code"))
+    return rows.join(if_small(rejected, rejected.count()), match, "left_anti").select("_row.*")
