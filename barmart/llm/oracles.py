@@ -61,19 +61,25 @@ WITH sized AS (
 ), first_free AS (
     SELECT spent, open FROM stopped WHERE NOT stops ORDER BY spent, open LIMIT 1
 ), targets AS (
-    SELECT source, CAST(s AS BIGINT) AS s, CASE WHEN stops THEN CAST(3 * s AS DOUBLE)
+    SELECT source, sid % 3 * 0.5::DOUBLE - 0.5::DOUBLE AS slope, CAST(s AS BIGINT) AS s, CASE WHEN stops THEN CAST(3 * s AS DOUBLE)
         ELSE CAST(w * (total - (SELECT spent FROM first_free)) AS DOUBLE) / CAST((SELECT open FROM first_free) AS DOUBLE)
         END AS target
     FROM stopped
 ), placed AS (
-    SELECT d.doc_id, d.size, t.s, t.target, CAST(floor(t.target + 0.5) AS BIGINT) AS want,
+    SELECT d.doc_id, d.size, t.s, t.target, t.slope, CAST(floor(t.target + 0.5) AS BIGINT) AS want,
         coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY md5(CAST(d.doc_id AS VARCHAR)), d.doc_id, d.size
             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
     FROM sized d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source
+), mixed AS (
+    SELECT *, CAST(CASE WHEN s = 0 THEN 0
+        ELSE want // s * size + greatest(0, least(want - want // s * s - before, size)) END AS BIGINT) AS taken
+    FROM placed
+), timed AS (
+    SELECT *, CASE WHEN taken > 0 THEN least((CAST(before AS DOUBLE) + CAST(size AS DOUBLE) / 2) / target, 1) END AS y FROM mixed
 )
-SELECT doc_id, size, s AS source_size, target,
-    CAST(CASE WHEN s = 0 THEN 0 ELSE want // s * size + greatest(0, least(want - want // s * s - before, size)) END AS BIGINT) AS taken
-FROM placed
+SELECT doc_id, size, s AS source_size, target, taken, CASE WHEN slope = 0 THEN y
+    ELSE (sqrt((1 - slope) * (1 - slope) + 4 * slope * y) - (1 - slope)) / (2 * slope) END AS position
+FROM timed
 """
 
 REPEATS = rf"""

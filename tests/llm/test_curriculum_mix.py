@@ -40,11 +40,23 @@ def brute(rows):
         want = int(goal[s] + Fraction(1, 2))
         copies = want // total[s] if total[s] else 0
         rest = max(0, min(want - copies * total[s] - before[s], n))
+        taken = copies * n + rest
+        out.append((str(i), n, total[s], pytest.approx(float(goal[s])), taken, at(goal, s, before[s] + n / 2) if taken else None))
         before[s] += n
-        out.append((str(i), n, total[s], pytest.approx(float(goal[s])), copies * n + rest))
     return out
 
 
+def at(goal, source, words):
+    """When the integral of the source's schedule reaches its share of the target, by halving."""
+    names = sorted((s for s in goal if s is not None), key=lambda s: s.encode()) + [None] * (None in goal)
+    slope = (-0.5, 0.0, 0.5)[names.index(source) % 3]
+    low, high = 0.0, 1.0
+    for _ in range(60):
+        t = (low + high) / 2
+        low, high = (t, high) if (1 - slope) * t + slope * t * t < words / goal[source] else (low, t)
+    return pytest.approx(low, abs=1e-9)
+
+
 def result(df):
     return [(str(r[0]), *r[1:]) for r in curriculum_mix.mix_digests(df).collect()]
 
@@ -62,6 +74,38 @@ def test_buckets_give_the_same(messy, messy_rows, monkeypatch):
     assert by_row(result(messy)) == by_row(brute(messy_rows))
 
 
+def test_rows_alike_are_written_out_in_pieces(messy, messy_rows, monkeypatch):
+    monkeypatch.setattr(curriculum_mix, "PIECE", 3)
+    assert by_row(result(messy)) == by_row(brute(messy_rows))
+
+
+def test_digests_come_by_position(messy):
+    got = [r.position for r in curriculum_mix.mix_digests(messy).collect()]
+    timed = [p for p in got if p is not None]
+    assert got == sorted(timed) + [None] * (len(got) - len(timed)) and 0 < len(timed) < len(got)
+
+
+def test_one_id_for_many_rows(spark):
+    """Rows that share a null or repeated id, some alike in every column, each have their own place."""
+    rng = random.Random(8)
+    rows = [doc_row(None if k % 2 else 5, prose(rng, 1 + k % 7), "en", f"s{k % 2}") for k in range(300)]
+    rows += rows[:90] + [doc_row(k, prose(rng, 20), "en", "s2") for k in range(50)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    assert by_row(result(df)) == by_row(brute(rows))
+    got = curriculum_mix.training_order(df).collect()
+    total, taken = Counter(), Counter()
+    for r in rows:
+        total[r[3]] += len(r[1].split())
+    for r in got:
+        taken[r.source] += len(r.text.split())
+    have = Counter(tuple(r) for r in rows)
+    for row, n in Counter(tuple(r) for r in got).items():
+        whole = int(targets(total)[row[3]] + Fraction(1, 2)) // total[row[3]]
+        assert whole * have[row] <= n <= (whole + 1) * have[row]
+    for source, goal in targets(total).items():
+        assert abs(taken[source] - goal) <= 20
+
+
 def test_shares_stop_at_three_times_the_size(spark):
     rng = random.Random(4)
     rows = [doc_row(k, prose(rng, 10 + 7 * k), "en", f"s{k % 9}") for k in range(40)]
@@ -90,8 +134,6 @@ def test_training_order_repeats_whole_documents(messy, messy_rows):
         taken[r.source] += len(r.text.encode().split())
     for r in messy_rows:
         largest[r[3]] = max(largest[r[3]], len((r[1] or "").encode().split()))
-    for _, _, _, goal, _ in brute(messy_rows):
-        pass
     total = Counter()
     for r in messy_rows:
         total[r[3]] += len((r[1] or "").encode().split())
