@@ -1,6 +1,6 @@
-"""Token counts of whole texts, as a subword library gives them, with huge texts cut into overlapping chunks.
+"""Token counts of whole texts, as a subword library gives them, with long texts cut into overlapping chunks.
 
-A huge text is encoded in overlapping chunks with offsets. Both encodings of an overlap are followed until they have a token
+A text longer than one chunk is encoded in overlapping chunks with offsets. Both encodings of an overlap are followed until they have a token
 boundary in common that is proven stable: a space after a character that is no space. No piece of the vocabulary holds a
 space mark behind another character (checked when the model is loaded), so no merge can ever reach across it, and the
 tokens before and after it don't depend on each other. The chunks are spliced there. Where an overlap has no such
@@ -12,17 +12,18 @@ Shorter texts are split at all their stable boundaries; the counts of short piec
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Characters of a text from which it is cut, of a chunk, and of the first overlap.
-HUGE = 1 << 16
-CHUNK = 1 << 15
-OVERLAP = 256
+#: Characters of a chunk, and of the first overlap.
+CHUNK = 1 << 12
+OVERLAP = 64
 MEMO = 400_000
 MEMO_CHARS = 40
 MARK = "▁"
@@ -60,8 +61,11 @@ class Counter(dict):
 
     def boundaries(self, text: str) -> list[int]:
         """Offsets in `text` at which its tokens begin (the mark before the text counts as offset 0)."""
+        pieces = self.model.encode(text, out_type=str)
+        if "<0x" not in "".join(pieces):  # no piece stands for a byte: each begins where the one before it ends
+            return [0, *(x - 1 for x in accumulate(map(len, pieces[:-1])))] if pieces else []
         offsets, at = [], -1
-        for piece in self.model.encode(text, out_type=str):
+        for piece in pieces:
             byte = re.fullmatch("<0x([0-9A-F]{2})>", piece)
             inside = byte and int(byte[1], 16) & 0xC0 == 0x80  # a further byte of a character begins where that does
             offsets.append(max(at - bool(inside), 0))
@@ -69,6 +73,7 @@ class Counter(dict):
         return offsets
 
     def huge(self, text: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> int:
+        """A text in overlapping chunks, spliced at the last stable boundary that both encodings of an overlap have."""
         total, start = 0, 0
         while len(text) - start > chunk:
             width, end = overlap, start + chunk
@@ -76,22 +81,16 @@ class Counter(dict):
                 left = self.boundaries(text[start:end])
                 right_from = max(start + 1, end - width)
                 right = {right_from + x for x in self.boundaries(text[right_from : min(len(text), end + width)])}
-                common = [
-                    x + start
-                    for x in left
-                    if right_from < x + start < end
-                    and x + start in right
-                    and text[x + start] == " "
-                    and text[x + start - 1] != " "
-                ]
-                if common:
+                shared = (x + start for x in reversed(left) if right_from < x + start < end)
+                stable = (x for x in shared if x in right and text[x] == " " and text[x - 1] != " ")
+                cut = next(stable, None)
+                if cut is not None:
                     break
                 if end == len(text):
                     return total + self.last(text, start)
                 width *= 2
                 end = min(len(text), end + width)
-            cut = common[-1]
-            total += sum(x + start < cut for x in left)
+            total += bisect_left(left, cut - start)
             start = cut + 1  # the space itself is the mark that the next chunk begins with
         return total + self.last(text, start)
 
@@ -103,7 +102,7 @@ class Counter(dict):
         if not text:
             return 0
         text = text.replace(MARK, " ")  # the model reads both alike
-        return self.huge(text) if len(text) > HUGE else self.short(text)
+        return self.huge(text) if len(text) > CHUNK else self.short(text)
 
 
 def token_counts(docs: DataFrame, model: str, limit: int = 4096) -> DataFrame:

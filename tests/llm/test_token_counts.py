@@ -40,6 +40,14 @@ def test_chunks_equal_the_library(counter, library):
             assert counter.huge(text, chunk, overlap) == len(library.encode(text)), (chunk, repr(text[:80]))
 
 
+def test_every_text_longer_than_a_chunk_is_cut(counter, library, monkeypatch):
+    cut = []
+    monkeypatch.setattr(counter, "huge", lambda text: cut.append(len(text)) or 0)
+    for n in (token_counts.CHUNK - 1, token_counts.CHUNK, token_counts.CHUNK + 1, 100_000):
+        counter.count("ab " * (n // 3) + "c" * (n % 3))
+    assert cut == [token_counts.CHUNK + 1, 100_000]
+
+
 def test_offsets_follow_the_tokens(counter):
     text = "one 漢字 two 😀 x\ty"
     offsets = counter.boundaries(text)
@@ -54,7 +62,7 @@ def test_table(messy, messy_rows, library):
         n = len(library.encode(row[1] or ""))
         want.append((str(row[0]), len((row[1] or "").encode()), n, n > 100))
     assert sorted((str(r[0]), *r[1:]) for r in rows) == sorted(want)
-    assert any(len(r[1] or "") > token_counts.HUGE for r in messy_rows)
+    assert any(len(r[1] or "") > 2 * token_counts.CHUNK for r in messy_rows)
 
 
 def test_empty_table(no_docs):
