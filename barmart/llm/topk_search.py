@@ -23,7 +23,7 @@ QUERIES = 1024
 #: exactly: a product over a contiguous row costs far less than as many postings.
 ROUNDS = (0.6, 0.7, 0.8, 0.9, 1.0)
 LEFT = 0.25
-#: From here on sums of products might leave 53 bits, and the block is scored with Python's integers.
+#: From here on sums of products might leave 53 bits, and a vector is scored with Python's integers.
 LARGE = 1 << 22
 
 
@@ -97,20 +97,34 @@ class ImpactIndex:
         return possible
 
 
+def _large(values: np.ndarray) -> np.ndarray:
+    return ((values >= LARGE) | (values <= -LARGE)).any(axis=-1)
+
+
+def _in_long(score: int) -> int:
+    return max(-(1 << 63), min((1 << 63) - 1, int(score)))
+
+
 def search_block(index_ids: np.ndarray, values: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int) -> list[tuple]:
-    """(query_id, vec_id, score) of the k best of one block for each query, ties to the smaller id."""
-    found = []
-    large = max(np.abs(values).max(initial=0), np.abs(queries).max(initial=0)) >= LARGE
-    index = None if large else ImpactIndex(values)
-    for own, query in zip(query_ids, queries):
-        barred = np.flatnonzero(index_ids == own)
-        if large:
-            possible = np.flatnonzero(index_ids != own)
-            scores = values[possible].astype(object) @ query.astype(object)
-        else:
-            possible = index.best(query, k, barred)
-            scores = values[possible] @ query
-        ranked = sorted(zip((-s for s in scores.tolist()), index_ids[possible].tolist()))[:k]
+    """(query_id, vec_id, score) of the k best of one block for each query, ties to the smaller id.
+
+    Vectors with large components aren't indexed; they, and all vectors for a query with such, are scored in whole numbers.
+    """
+    large, found = _large(values), []
+    ids, far_ids, far = index_ids[~large], index_ids[large], values[large].astype(object)
+    index = ImpactIndex(values[~large]) if len(ids) else None
+    for own, query, beyond in zip(query_ids, queries, _large(queries)):
+        scored = []
+        if index and beyond:
+            others = np.flatnonzero(ids != own)
+            scored += zip((index.values[others].astype(object) @ query.astype(object)).tolist(), ids[others].tolist())
+        elif index:
+            possible = index.best(query, k, np.flatnonzero(ids == own))
+            scored += zip((index.values[possible] @ query).tolist(), ids[possible].tolist())
+        if len(far):
+            others = np.flatnonzero(far_ids != own)
+            scored += zip((far[others] @ query.astype(object)).tolist(), far_ids[others].tolist())
+        ranked = sorted((-_in_long(s), i) for s, i in scored)[:k]
         found += [(int(own), i, -s) for s, i in ranked]
     return found
 
@@ -120,7 +134,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
 
     A query's candidates are all rows with another vec_id (all of them, if fewer than k). A query id that occurs several
     times asks once, with its smallest vector; other rows that repeat an id are candidates each. Vectors of different length
-    are compared as if zeros followed the shorter one. A score must fit a long. Empty tables give an empty table.
+    are compared as if zeros followed the shorter one. A score beyond a long becomes the long nearest to it, and ranks as that.
+    Empty tables give an empty table.
 
     Queries and vectors meet in blocks: each vector goes to every block of queries and each query to every block of vectors,
     so the work is that of the stated searches, and no task holds more than one block of either.

@@ -21,7 +21,8 @@ def brute(rows, k=5):
             asked[i] = min(asked.get(i, v), v)
     out = []
     for q, v in asked.items():
-        scores = sorted((-sum(a * b for a, b in zip(v, w)), i) for i, w in good if i != q)[:k]
+        products = ((sum(a * b for a, b in zip(v, w)), i) for i, w in good if i != q)
+        scores = sorted((-max(-(2**63), min(2**63 - 1, s)), i) for s, i in products)[:k]
         out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scores)]
     return sorted(out)
 
@@ -83,3 +84,19 @@ def test_the_search_stops_early_and_is_right():
         possible = index.best(q, 5, np.array([], int))
         best = np.sort(values @ q)[-5:]
         assert len(possible) < 3000 and np.array_equal(np.sort(values[possible] @ q)[-5:], best)
+
+
+def test_scores_beyond_a_long(spark):
+    """Scores saturate, whether vector, query or both have large components; the others go through the index."""
+    rng = random.Random(9)
+    rows = [(i, [rng.gauss(0, 0.3) for _ in range(8)]) for i in range(1, 260)]
+    rows += [(300, [1e12] * 8), (301, [-1e12] * 8), (302, [1e12] + [0.0] * 7), (350, [2.0**14] * 8), (303, [1e30, -1e30] + [0.0] * 6)]
+    good = [(i, [max(-(2**63), min(2**63 - 1, math.floor(256 * float(np.float32(x))))) for x in v]) for i, v in rows]
+    want = []
+    for q, v in good:
+        if q % 50 == 0:
+            scores = ((sum(a * b for a, b in zip(v, w)), i) for i, w in good if i != q)
+            best = sorted((-max(-(2**63), min(2**63 - 1, s)), i) for s, i in scores)[:5]
+            want += [(q, r + 1, i, -s) for r, (s, i) in enumerate(best)]
+    got = result(spark, rows)
+    assert got == sorted(want) and max(r[3] for r in got) == 2**63 - 1
