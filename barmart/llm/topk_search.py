@@ -120,7 +120,9 @@ def search_block(index_ids: np.ndarray, values: np.ndarray, query_ids: np.ndarra
             scored += zip((index.values[others].astype(object) @ query.astype(object)).tolist(), ids[others].tolist())
         elif index:
             possible = index.best(query, k, np.flatnonzero(ids == own))
-            scored += zip((index.values[possible] @ query).tolist(), ids[possible].tolist())
+            scores, of = index.values[possible] @ query, ids[possible]
+            first = np.lexsort((of, -scores))[:k]
+            scored += zip(scores[first].tolist(), of[first].tolist())
         if len(far):
             others = np.flatnonzero(far_ids != own)
             scored += zip((far[others] @ query.astype(object)).tolist(), far_ids[others].tolist())
