@@ -66,13 +66,19 @@ def band_columns(part: list[str], bars: Bars) -> Columns:
 
 
 def _adder(*builders):
-    def add(df: DataFrame, bars: Bars = Bars(), block_rows: int | None = None, unique: bool | None = None) -> DataFrame:
+    def add(
+        df: DataFrame,
+        bars: Bars = Bars(),
+        block_rows: int | None = None,
+        unique: bool | None = None,
+        places_from: DataFrame | None = None,
+    ) -> DataFrame:
         bars = total_order(df, bars, unique)
 
         def step(rows: DataFrame, part: list[str]) -> DataFrame:
             return rows.withColumns({k: c for build in builders for k, c in build(part, bars).items()})
 
-        return over_series(df, bars, LONGEST_FRAME, step, block_rows)
+        return over_series(df, bars, LONGEST_FRAME, step, block_rows, places_from)
 
     return add
 
@@ -111,12 +117,15 @@ def add_regime(df: DataFrame, name: str = "market_regime") -> DataFrame:
     return df.withColumn(name, regime_label(F.col("pct_change_7d"), F.col("high_low_spread_pct"), F.col("rsi_14")))
 
 
-def enrich_days(df: DataFrame, bars: Bars = Bars(), stamp: str = "event_ts") -> DataFrame:
+def enrich_days(
+    df: DataFrame, bars: Bars = Bars(), stamp: str = "event_ts", dates_fit: bool = False, ranged: bool = False
+) -> DataFrame:
     """All features where a key and day may have several rows: series run along the time stamp, ranks are those of the day.
 
     Rows of one time stamp, which the plain join makes of several measures a day, are put in order by all their columns.
+    ``dates_fit``, ``ranged``: as in ``enrich``.
     """
-    return enrich(df, tied(df, bars, stamp), date=bars.time, unique=True)
+    return enrich(df, tied(df, bars, stamp), dates_fit, date=bars.time, unique=True, ranged=ranged)
 
 
 def enrich(
@@ -126,12 +135,14 @@ def enrich(
     block_rows: int | None = None,
     date: str | None = None,
     unique: bool | None = None,
+    ranged: bool = False,
 ) -> DataFrame:
     """All features of a bar table: one exchange by key for the series, and the ranking by date.
 
     ``dates_fit``: every date is known to hold few enough bars for one task (``groups_fit``). ``block_rows``: rows of
     a block where series are cut. ``date``: the column that rankings go by, if not the time. ``unique``: no two rows share a
     place of a series; by default that is measured, and if some do, all columns of the rows put them in order.
+    ``ranged``: deal uncut series out by ranges of the key, so that a sort by key and time needs no exchange of its own.
     """
     bars = total_order(df, bars, unique)
     builders = (rolling_columns, deviation_columns, vwap_columns, momentum_columns, seed_columns)
@@ -145,7 +156,8 @@ def enrich(
 
     # Rank while rows are narrow; but a cut series is evaluated twice, so there rank it afterwards.
     if calendar_bounded(df, bars):
-        enriched = with_index(ranked(df), bars, parts, "rsi_14")
+        rows = ranked(df)
+        enriched = with_index(rows.repartitionByRange(bars.key) if ranged else rows, bars, parts, "rsi_14")
     else:
         enriched = ranked(with_index(df, bars, parts, "rsi_14", block_rows))
     computed = [c for c in enriched.columns if c not in df.columns and c not in RANK_NAMES.values() and c != "rsi_14"]

@@ -59,16 +59,17 @@ def with_index(
 ) -> DataFrame:
     """Run ``parts`` (which must end in ``index_parts``) per series, cut into blocks where needed.
 
-    What a block holds for the next ones is computed from key, order and close alone, so the
-    features of the rows are evaluated once.
+    What a block holds for the next ones is computed from key, order and close alone, and only for
+    series of several blocks, so the features of the rows are evaluated once.
     """
     refuse_names(df, [*_WORK, _SEEN, _HELD])
     if calendar_bounded(df, bars):
         return settle_rsi(parts(df, [bars.key]), name)
     part = [bars.key, BLOCK]
     blocks = parts(cut_series(df, bars, SPAN, block_rows), part)
-    slim = cut_series(df.select(bars.key, *bars.order, *({bars.close} - {*bars.order})), bars, SPAN, block_rows)
-    ends = index_parts(slim.withColumns(seed_columns(part, bars)), part, bars)
+    narrow = df.select(bars.key, *bars.order, *({bars.close} - {*bars.order}))
+    slim = cut_series(narrow, bars, SPAN, block_rows, only_long=True)
+    ends = block_ends(slim.withColumns(seed_columns(part, bars)), part)
     return settle_rsi(join_earlier_blocks(blocks, ends, bars), name).filter(CORE).drop(BLOCK, CORE)
 
 
@@ -110,13 +111,31 @@ def index_parts(df: DataFrame, part: list[str], bars: Bars) -> DataFrame:
     ).drop(*_WORK)
 
 
-def join_earlier_blocks(parts: DataFrame, ends: DataFrame, bars: Bars) -> DataFrame:
-    """Add to each block what the blocks before it have seen, by ``ends`` (one small row per block)."""
-    per_block = (
-        ends.filter(CORE)
-        .groupBy(bars.key, BLOCK)
-        .agg(F.max(_SEEN).alias("_block_seen"), F.max_by(_HELD, F.when(F.col(_HELD).isNotNull(), F.struct(*bars.order))).alias("_block_held"))
+def block_ends(df: DataFrame, part: list[str]) -> DataFrame:
+    """What each block has seen and holds after its last row: ``index_parts`` there, from sums by span.
+
+    After the last change of a block nothing is added to the sums, so those of its span give the index held.
+    Expects the seed columns.
+    """
+    core, change = F.col(CORE), F.col("_change")
+    growth = F.pow(F.lit(1 / DECAY), F.col("_row").bitwiseAND(SPAN - 1))
+    by_span = df.groupBy(*part, F.shiftright("_row", SPAN_BITS).alias("_span")).agg(
+        F.coalesce(F.sum(F.greatest(change, F.lit(0.0)) * growth), F.lit(0.0)).alias("_up"),
+        F.coalesce(F.sum(F.greatest(-change, F.lit(0.0)) * growth), F.lit(0.0)).alias("_down"),
+        F.count(F.when(core, change)).alias("_changes"),
+        F.count(F.when(core & (change != 0), change)).alias("_moves"),
+    )
+    spans = Window.partitionBy(*part).orderBy("_span")
+    up, down = (F.col(c) + F.lag(c, 1, 0.0).over(spans) * DECAY**SPAN for c in ("_up", "_down"))
+    index = by_span.withColumn("_index", F.when(F.col("_moves") > 0, 100 * ratio(up, up + down)))
+    return index.groupBy(*part).agg(
+        F.sum("_changes").alias("_block_seen"),
+        F.max_by("_index", F.when(F.col("_index").isNotNull(), F.col("_span"))).alias("_block_held"),
     )
+
+
+def join_earlier_blocks(parts: DataFrame, per_block: DataFrame, bars: Bars) -> DataFrame:
+    """Add to each block what the blocks before it have seen, by the ends of the blocks (one small row each)."""
     before = Window.partitionBy(bars.key).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     earlier = per_block.select(
         bars.key,

@@ -17,7 +17,7 @@ from barmart.operators.joins import join_bars
 from barmart.operators.layout import partition_skew, rows_per_key
 from barmart.operators.quality import quality_report, summarise
 from barmart.operators.ranking import groups_fit
-from barmart.operators.series import calendar_bounded
+from barmart.operators.series import calendar_bounded, short_series
 from barmart.plans import gold
 from barmart.schemas import Bars
 from barmart.sources.lookup import coin_lookup
@@ -158,7 +158,7 @@ def build_silver(spark: SparkSession, places: Places, bars: Bars) -> dict[str, i
     fits = places.days == "merged" and groups_fit(measures, [bars.time])
     if places.days == "all":
         # Rows of a day are told apart by their time stamp, and by their place among equal ones.
-        enriched = enrich_days(joined, bars)
+        enriched = enrich_days(joined, short_series(joined, bars))
     else:
         enriched = enrich(joined, bars, fits, unique=True)  # one bar for each key and day, by the merge
     # Uncut series leave each (bounded) key in one task, sorted: one file per key without another exchange.
@@ -187,6 +187,7 @@ def build_gold(
         series = gold.series_of(silver, bars)
         if series != bars:
             log.info("gold: several rows for a key and date; series run by %s", series.order)
+            series = short_series(silver, series)
         return {
             name: write_table(build(silver, lookup, bars, series), places.table(name)) for name, build in GOLD_TABLES.items()
         }

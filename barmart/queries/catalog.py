@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +13,7 @@ from barmart.functions.regime import regime_label
 from barmart.operators import cleaning, features, joins, layout, quality
 from barmart.operators.ranking import groups_fit, rank_values
 from barmart.operators.rsi import add_rsi
+from barmart.operators.series import short_series
 from barmart.plans import gold
 from barmart.plans.layers import Outcome, clean, run
 from barmart.queries import inputs
@@ -400,15 +402,17 @@ def volatility_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _several_per_day(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Bars]:
-    """Silver with several rows per key and day, and the roles its series turn out to run by."""
+    """Silver with several rows per key and day, by ranges of the key if no series is cut, and the roles its series turn out to run by."""
     bars = inputs.line_bars(spark, sf_dir)
-    return features.enrich_days(bars), gold.series_of(bars)
+    roles = short_series(bars)
+    silver = features.enrich_days(bars, roles, dates_fit=_days_fit(spark, sf_dir), ranged=roles.short)
+    return silver, gold.series_of(bars, roles)
 
 
 @_query
 def volatility_several_per_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     silver, series = _several_per_day(spark, sf_dir)
-    report = gold.volatility_report(silver, series=series)
+    report = gold.volatility_report(silver, series=series, ranged=series.short)
     return _rounded(report).withColumn("event_ts", F.col("event_ts").cast("timestamp_ntz"))
 
 

@@ -5,10 +5,20 @@ Prices are whole numbers, so sums and means are exact and independent of row ord
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+# How rows are dealt out before they are summed up: by default as they lie.
+Lay = Callable[[DataFrame], DataFrame]
+
+
+def as_it_lies(lines: DataFrame) -> DataFrame:
+    return lines
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -41,31 +51,35 @@ def supplier_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def supplier_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _bars(supplier_lines(spark, sf_dir))
+def supplier_prices(spark: SparkSession, sf_dir: str, lay: Lay = as_it_lies) -> DataFrame:
+    return _bars(lay(supplier_lines(spark, sf_dir)))
 
 
-def supplier_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
+def supplier_measures(spark: SparkSession, sf_dir: str, lay: Lay = as_it_lies) -> DataFrame:
     return (
-        supplier_lines(spark, sf_dir)
+        lay(supplier_lines(spark, sf_dir))
         .groupBy("coin_id", "event_date")
         .agg(F.sum("price").alias("market_cap_usd"), F.sum("quantity").alias("total_volume_usd"))
     )
 
 
-def supplier_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Some 530 bars per supplier: long series, and a key count that grows with the data."""
+def supplier_bars(spark: SparkSession, sf_dir: str, lay: Lay = as_it_lies) -> DataFrame:
+    """Some 530 bars per supplier: long series, and a key count that grows with the data.
+
+    ``lay`` may deal the lines out by supplier or by day; then the bars are made where their lines are, without an exchange
+    by both. As nearly every line is a bar of its own, summing up before an exchange would save no rows.
+    """
     return _bars(
-        supplier_lines(spark, sf_dir),
+        lay(supplier_lines(spark, sf_dir)),
         F.sum("quantity").alias("total_volume_usd"),
         F.sum("price").alias("market_cap_usd"),
     )
 
 
-def gap_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+def gap_bars(spark: SparkSession, sf_dir: str, lay: Lay = as_it_lies) -> DataFrame:
     """Supplier bars with one close in eleven and one volume in seven missing."""
     day = F.dayofyear("event_date")
-    return supplier_bars(spark, sf_dir).withColumns(
+    return supplier_bars(spark, sf_dir, lay).withColumns(
         {
             "close": F.when(day % 11 != 0, F.col("close")),
             "total_volume_usd": F.when(day % 7 != 0, F.col("total_volume_usd")),
@@ -148,10 +162,10 @@ def supplier_lookup(spark: SparkSession, sf_dir: str, in_credit: bool = False) -
     )
 
 
-def line_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+def line_prices(spark: SparkSession, sf_dir: str, lay: Lay = as_it_lies) -> DataFrame:
     """A price row for each line item: several for some (supplier, day)."""
     price, spread = F.col("price"), F.col("quantity")
-    return supplier_lines(spark, sf_dir).select(
+    return lay(supplier_lines(spark, sf_dir)).select(
         "coin_id",
         "event_date",
         F.col("seq").alias("timestamp_ms"),
@@ -162,9 +176,9 @@ def line_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def line_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
+def line_measures(spark: SparkSession, sf_dir: str, lay: Lay = as_it_lies) -> DataFrame:
     """A measure row for each line item."""
-    return supplier_lines(spark, sf_dir).select(
+    return lay(supplier_lines(spark, sf_dir)).select(
         "coin_id",
         "event_date",
         F.col("seq").alias("timestamp_ms"),

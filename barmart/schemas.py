@@ -13,7 +13,8 @@ class Bars:
 
     ``time`` may be a DATE (one bar per key and day) or a timestamp (any number
     of bars per key); see ``operators/series.py`` for what that changes. ``ties`` order the
-    rows of one key and time, where there may be several.
+    rows of one key and time, where there may be several. ``short``: no key has more rows
+    than a task may hold at once, as ``short_series`` measures.
     """
 
     key: str = "coin_id"
@@ -25,6 +26,7 @@ class Bars:
     volume: str = "total_volume_usd"
     size: str = "market_cap_usd"
     ties: tuple[str, ...] = ()
+    short: bool = False
 
     @property
     def order(self) -> tuple[str, ...]:
