@@ -121,7 +121,8 @@ def rsi_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
 def series_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Long series, cut into small blocks: means, deviation and RSI."""
     series, bars = inputs.flag_series(spark, sf_dir), Bars(time="event_ts", ties=("close",))
-    df = features.add_rolling(add_rsi(series, bars, block_rows=5000, unique=True), bars, block_rows=1000, unique=True)
+    indexed = add_rsi(series, bars, block_rows=5000, unique=True)
+    df = features.add_rolling(indexed, bars, block_rows=1000, unique=True, places_from=series)
     stamp = F.col("event_ts").cast("timestamp_ntz").alias("event_ts")
     return _rounded(df, "coin_id", "event_ts", "close", "avg_close_7d", "avg_close_30d", "stddev_close_30d", "rsi_14").withColumn(
         "event_ts", stamp
