@@ -356,7 +356,7 @@ def silver_several_per_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 def silver_repeated_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dates with several rows of a key, which nobody told the library of: it finds out and orders them by their columns."""
     bars = inputs.line_bars(spark, sf_dir).drop("event_ts")
-    return _rounded(features.enrich(bars, dates_fit=_days_fit(spark, sf_dir)))
+    return _rounded(features.enrich(bars, short_series(bars), dates_fit=_days_fit(spark, sf_dir)))
 
 
 @_query
