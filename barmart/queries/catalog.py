@@ -57,8 +57,15 @@ def _days_fit(spark: SparkSession, sf_dir: str) -> bool:
     return groups_fit(inputs.table(spark, sf_dir, "lineitem"), [F.to_date("l_shipdate")])
 
 
-def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return features.enrich(inputs.supplier_bars(spark, sf_dir), dates_fit=_days_fit(spark, sf_dir), unique=True)
+def _by_day(lines: DataFrame) -> DataFrame:
+    return lines.repartition("event_date")
+
+
+def _silver(spark: SparkSession, sf_dir: str, ranged: bool = False) -> DataFrame:
+    """Where every day fits a task, its lines make their bars where the bars are ranked."""
+    fit = _days_fit(spark, sf_dir)
+    bars = inputs.supplier_bars(spark, sf_dir, _by_day if fit else inputs.as_it_lies)
+    return features.enrich(bars, dates_fit=fit, unique=True, ranged=ranged)
 
 
 # --- features ---------------------------------------------------------------------------
@@ -376,7 +383,11 @@ def silver_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def daily_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(gold.daily_summary(_silver(spark, sf_dir), inputs.supplier_lookup(spark, sf_dir)))
+    """A broadcast lookup leaves the ranges that the series lie in, so the order of the report needs no exchange."""
+    lookup = inputs.supplier_lookup(spark, sf_dir)
+    strategy = "broadcast" if joins.fits_broadcast(lookup.select("coin_id", "ticker", "category")) else "merge"
+    silver = _silver(spark, sf_dir, ranged=strategy == "broadcast")
+    return _rounded(gold.daily_summary(silver, lookup, strategy=strategy))
 
 
 @_query
