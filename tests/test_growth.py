@@ -14,6 +14,7 @@ from barmart.operators import series as series_module
 from barmart.operators.rsi import add_rsi
 from barmart.operators.series import BLOCK, CORE, cut_series, short_series
 from barmart.plans import gold
+from barmart.queries import catalog
 from barmart.queries.catalog import QUERIES
 from barmart.schemas import Bars
 from tests.conftest import plan_of
@@ -88,6 +89,17 @@ def test_a_cut_moves_whole_rows_once(steady_bars):
     assert "row_number" not in "\n".join(lines)
 
 
+def test_doubles_are_rounded_without_decimal_digits(spark):
+    """Halves go away from zero; large, infinite and missing values stay."""
+    given = [0.1953125, -0.1953125, 2.5e-7, 0.4999995, 1e300, -1e18, 123456789.123456789, float("inf"), -0.0, None]
+    df = spark.createDataFrame([(v,) for v in given], "avg_close double").repartition(1)
+    rounded = catalog._rounded(df)
+    assert [r[0] for r in rounded.collect()] == [0.195313, -0.195313, 0.0, 0.5, 1e300, -1e18, 123456789.123457, float("inf"), 0.0, None]
+    assert "round(" not in plan_of(rounded)
+    (nan,) = catalog._rounded(spark.createDataFrame([(float("nan"),)], "avg_close double")).first()
+    assert nan != nan
+
+
 # Exchanges of whole bars (not counts of keys, places or lookups) in the plan of a query.
 @pytest.mark.parametrize(
     ("name", "most"),
@@ -98,6 +110,13 @@ def test_reports_deal_their_rows_out_once(spark, name, most):
     assert plan.count("Exchange hashpartitioning") + plan.count("Exchange rangepartitioning") == most
 
 
+def test_silver_deals_lines_out_before_the_bars(spark):
+    for name in ("silver_several_per_day",):
+        plan = plan_of(QUERIES[name](spark, SF))
+        first = [line for line in plan.splitlines() if "Exchange hashpartitioning(coin_id" in line and "event_date" in line]
+        assert len(first) == 2 and all("REPARTITION_BY_COL" in line for line in first)
+
+
 def test_ranged_silver_needs_no_exchange_for_its_order(steady_bars):
     silver = features.enrich(steady_bars, dates_fit=True, unique=True, ranged=True)
     plan = plan_of(gold.volatility_report(silver, ranged=True))
