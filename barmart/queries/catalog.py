@@ -365,9 +365,10 @@ def limit_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def silver_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    prices, measures = inputs.supplier_prices(spark, sf_dir), inputs.supplier_measures(spark, sf_dir)
-    joined = joins.join_bars(prices, measures, days="all")
-    return _rounded(features.enrich(joined, dates_fit=_days_fit(spark, sf_dir), unique=True))
+    fit = _days_fit(spark, sf_dir)
+    lay = _by_bar if fit else inputs.as_it_lies
+    joined = joins.join_bars(inputs.supplier_prices(spark, sf_dir, lay), inputs.supplier_measures(spark, sf_dir, lay), days="all")
+    return _rounded(features.enrich(joined, dates_fit=fit, unique=True))
 
 
 @_query
