@@ -399,7 +399,9 @@ def silver_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def silver_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(features.enrich(inputs.gap_bars(spark, sf_dir), unique=True))
+    fit = _days_fit(spark, sf_dir)
+    bars = inputs.gap_bars(spark, sf_dir, _by_day if fit else inputs.as_it_lies)
+    return _rounded(features.enrich(bars, dates_fit=fit, unique=True))
 
 
 @_query

@@ -103,7 +103,7 @@ def test_doubles_are_rounded_without_decimal_digits(spark):
 # Exchanges of whole bars (not counts of keys, places or lookups) in the plan of a query.
 @pytest.mark.parametrize(
     ("name", "most"),
-    [("volatility_several_per_day", 1), ("daily_summary", 2)],
+    [("volatility_several_per_day", 1), ("daily_summary", 2), ("silver_gaps", 2)],
 )
 def test_reports_deal_their_rows_out_once(spark, name, most):
     plan = plan_of(QUERIES[name](spark, SF))
