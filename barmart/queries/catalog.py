@@ -86,6 +86,22 @@ def _silver(spark: SparkSession, sf_dir: str, ranged: bool = False) -> DataFrame
     return features.enrich(bars, dates_fit=fit, unique=True, ranged=ranged)
 
 
+# Lines that one task sorts and keeps.
+TASK_LINES = 500_000
+
+
+def _series_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver for reports by series that leave out the ranks: ranges of suppliers, of about ``TASK_LINES`` lines whatever the
+    table's size, serve the bars, the windows and the order of the report. With a hot supplier, bars come first."""
+    lines = inputs.table(spark, sf_dir, "lineitem")
+    if not groups_fit(lines, ["l_suppkey"]):
+        return _silver(spark, sf_dir, ranged=True)
+    parts = max(math.ceil(lines.count() / TASK_LINES), spark.sparkContext.defaultParallelism)
+    bars = inputs.supplier_bars(spark, sf_dir, lambda rows: rows.repartitionByRange(parts, "coin_id"))
+    # The ranks aren't computed, as nothing reads them.
+    return features.enrich(bars, dates_fit=True, unique=True).drop(*features.RANK_NAMES.values())
+
+
 # --- features ---------------------------------------------------------------------------
 
 
@@ -433,7 +449,7 @@ def weekly_rankings_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def volatility_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(gold.volatility_report(_silver(spark, sf_dir)))
+    return _rounded(gold.volatility_report(_series_silver(spark, sf_dir), ranged=True))
 
 
 def _several_per_day(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Bars]:
@@ -459,7 +475,7 @@ def weekly_several_per_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def topk_volatility(spark: SparkSession, sf_dir: str) -> DataFrame:
-    top = gold.most_volatile(gold.volatility(_silver(spark, sf_dir)))
+    top = gold.most_volatile(gold.volatility(_series_silver(spark, sf_dir)))
     return _rounded(top, *BAR_ID, "close", "annualized_vol_pct", "rsi_14", "market_regime")
 
 

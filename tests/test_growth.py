@@ -103,7 +103,7 @@ def test_doubles_are_rounded_without_decimal_digits(spark):
 # Exchanges of whole bars (not counts of keys, places or lookups) in the plan of a query.
 @pytest.mark.parametrize(
     ("name", "most"),
-    [("volatility_several_per_day", 1), ("daily_summary", 2), ("silver_gaps", 2)],
+    [("volatility_several_per_day", 1), ("volatility_report", 1), ("topk_volatility", 1), ("daily_summary", 2), ("silver_gaps", 2)],
 )
 def test_reports_deal_their_rows_out_once(spark, name, most):
     plan = plan_of(QUERIES[name](spark, SF))
@@ -111,7 +111,7 @@ def test_reports_deal_their_rows_out_once(spark, name, most):
 
 
 def test_silver_deals_lines_out_before_the_bars(spark):
-    for name in ("silver_enriched", "silver_several_per_day",):
+    for name in ("silver_enriched", "silver_several_per_day"):
         plan = plan_of(QUERIES[name](spark, SF))
         first = [line for line in plan.splitlines() if "Exchange hashpartitioning(coin_id" in line and "event_date" in line]
         assert len(first) == 2 and all("REPARTITION_BY_COL" in line for line in first)
