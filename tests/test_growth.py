@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 import re
 from datetime import datetime, timedelta
@@ -100,6 +101,38 @@ def test_doubles_are_rounded_without_decimal_digits(spark):
     assert nan != nan
 
 
+def test_halves_next_to_halves(spark):
+    """The neighbours of a half are no halves; the sign of zero stays."""
+    wide = [k + d for k in (0.0, 1.0, 2.0, 7.0) for d in (0.5, 0.5 - 2.0**-54, 0.5 - 2.0**-51, 0.5 + 2.0**-51)]
+    given = [s * w / 1e6 for w in [*wide, 0.2, 2.0**51 + 0.5, 2.0**51 + 1.5] for s in (1, -1)]
+    df = spark.createDataFrame([(v,) for v in given], "avg_close double").repartition(1)
+    for value, near in df.select(F.col("avg_close").alias("value"), catalog._round("avg_close")).collect():
+        whole = math.floor(abs(value * 1e6))
+        want = math.copysign((whole + (abs(value * 1e6) - whole >= 0.5)) / 1e6, value)
+        assert near == want and math.copysign(1, near) == math.copysign(1, want)
+
+
+@pytest.mark.parametrize("name", ["silver_split", "silver_repeated_days", "silver_enriched", "daily_summary"])
+def test_generated_methods_are_short_enough_to_be_compiled(spark, name):
+    """The JVM interprets methods of more than 8,000 bytes for ever."""
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        query = QUERIES[name](spark, SF)._jdf.queryExecution()
+        code = query.explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("codegen"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", code)]
+    assert sizes and max(sizes) < 8000
+
+
+def test_split_silver_reads_its_lines_twice_after_its_count(spark):
+    """For the bars and for the values of a day; places of blocks aren't counted where no series is cut."""
+    plan = plan_of(QUERIES["silver_split"](spark, SF))
+    scans = set(re.findall(r"FileScan parquet \[([^\]]*)\]", plan.replace("#", "")))
+    assert "_block" not in plan and "_r0" in plan and len({len(s.split(",")) for s in scans}) == 2
+
+
 # Exchanges of whole bars (not counts of keys, places or lookups) in the plan of a query.
 @pytest.mark.parametrize(
     ("name", "most"),
