@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,6 +24,8 @@ QUERIES = 1024
 #: exactly: a product over a contiguous row costs far less than as many postings.
 ROUNDS = (0.6, 0.7, 0.8, 0.9, 1.0)
 LEFT = 0.25
+#: Vectors with the highest bounds that are scored exactly for the proof.
+LEADS = 128
 #: From here on sums of products might leave 53 bits, and a vector is scored with Python's integers.
 LARGE = 1 << 22
 
@@ -46,52 +49,72 @@ def _matrix(column: pa.ChunkedArray, width: int) -> np.ndarray:
 
 
 class ImpactIndex:
-    """Posting segments of one block: for segment s the vectors postings[start[s]:start[s + 1]], its dimension and level."""
+    """Posting segments of one block: for segment s the vectors postings[start[s]:start[s + 1]], its dimension and level.
+
+    Segments lie by dimension and falling level. So what a query has processed of a dimension is one run of postings, from its
+    first segment on, or up to its last if the query's component is negative.
+    """
 
     def __init__(self, values: np.ndarray):
         self.values = values
         self.n, self.width = values.shape
         levels = values // STEP
-        self.rows = levels.astype(np.int32)
-        low = int(levels.min()) if levels.size else 0
-        span = int(levels.max()) - low + 1 if levels.size else 1
-        keys = ((levels - low) + np.arange(self.width) * span).T.ravel()
+        high = int(levels.max()) if levels.size else 0
+        span = high - int(levels.min()) + 1 if levels.size else 1
+        keys = ((high - levels) + np.arange(self.width) * span).T.ravel()
         order = np.argsort(keys, kind="stable")
         self.postings = np.tile(np.arange(self.n), self.width)[order]
         used, self.start = np.unique(keys[order], return_index=True)
         self.start = np.append(self.start, len(keys))
-        self.dims, self.levels = used // span, used % span + low
+        self.dims, self.levels = used // span, high - used % span
+        #: The least component that each posting may stand for, and the segments of each dimension.
+        self.least = np.repeat(self.levels * STEP, np.diff(self.start)).astype(np.float64)
+        self.segments = np.searchsorted(self.dims, np.arange(self.width + 1))
+        self.most = float(np.abs(values).max()) if values.size else 0.0
+        self.begin = 0
+
+    def bounds(self, query: np.ndarray, impact: np.ndarray, order: np.ndarray, end: int) -> np.ndarray:
+        """The most that each vector can score, if the first `end` segments of `order` are processed."""
+        rest = np.zeros(self.width)
+        left = order[end:]
+        dims, first = np.unique(self.dims[left], return_index=True)
+        rest[dims] = impact[left][first]
+        done = np.bincount(self.dims[order[:end]], minlength=self.width)
+        since = np.where(query < 0, self.segments[1:] - done, self.segments[:-1])
+        runs = np.stack([self.start[since], self.start[since + done]], axis=1).tolist()
+        # A posting adds its impact, and takes back what was put in for the dimension it isn't unmet in.
+        more = (np.maximum(query, 0) * (STEP - 1) - rest).tolist()
+        runs = [(a, b, q, m) for (a, b), q, m in zip(runs, query.tolist(), more) if a < b]
+        if not runs:
+            return np.full(self.n, rest.sum())
+        gains = np.empty(sum(b - a for a, b, _, _ in runs))
+        at = 0
+        for a, b, q, m in runs:
+            gain = gains[at : (at := at + b - a)]
+            np.multiply(self.least[a:b], q, out=gain)
+            gain += m
+        met = np.concatenate([self.postings[a:b] for a, b, _, _ in runs])
+        return rest.sum() + np.bincount(met, gains, self.n)
 
     def best(self, query: np.ndarray, k: int, barred: np.ndarray) -> np.ndarray:
         """Places of vectors among which the k best are, by proof. `barred` vectors never count."""
         q = query[self.dims]
         impact = np.maximum(q * (self.levels * STEP), q * (self.levels * STEP + STEP - 1))
         order = np.argsort(-impact, kind="stable")
-        sizes = np.diff(self.start)
-        due = np.cumsum(sizes[order])
-        ends = np.searchsorted(due, due[-1] * np.array(ROUNDS)) + 1
-        sign = np.sign(query).astype(np.int32)
-        gained, proven, begin = np.zeros(self.n), -np.inf, 0
-        for end in ends:
-            now = order[begin:end]
-            if len(now):
-                many = sizes[now]
-                at = np.arange(many.sum()) + np.repeat(self.start[now] - (np.cumsum(many) - many), many)
-                gained += np.bincount(self.postings[at], np.repeat(impact[now], many), self.n)
-            begin = end
-            bound = gained.copy()
-            rest = order[end:]
-            if len(rest):
-                # Segments of a dimension go by falling impact, so what is left of it lies on one side of a level.
-                dims, first = np.unique(self.dims[rest], return_index=True)
-                limit = sign[dims] * self.levels[rest][first]
-                unmet = self.rows[:, dims] * sign[dims] <= limit
-                bound += unmet.astype(np.float64) @ impact[rest][first].astype(np.float64)
+        due = np.cumsum(np.diff(self.start)[order])
+        ends = np.searchsorted(due, due[-1] * np.array(ROUNDS)) + 1 if len(due) else [0]
+        # Sums of doubles are whole up to some 500 dimensions; beyond, this covers their rounding.
+        proven, slack = -np.inf, 1e-9 * self.most * float(np.abs(query).sum())
+        # The round that was enough for the query before is tried first, or the one before it, if half would have done.
+        for turn in range(min(self.begin, len(ends) - 1), len(ends)):
+            bound = self.bounds(query, impact, order, int(ends[turn]))
             bound[barred] = -np.inf
             if self.n - len(barred) > k:
-                lead = np.argpartition(-bound, k - 1)[:k]
-                proven = max(proven, (self.values[lead] @ query).min())
-            possible = np.flatnonzero(bound >= max(proven, -1e300))
+                many = max(k, min(LEADS, self.n - len(barred)))
+                lead = np.argpartition(-bound, many - 1)[:many]
+                proven = max(proven, np.partition(self.values[lead] @ query, many - k)[many - k])
+            possible = np.flatnonzero(bound >= max(proven - slack, -1e300))
+            self.begin = max(0, turn - 1) if len(possible) <= LEFT * self.n / 2 else turn
             if len(possible) <= max(4 * k, LEFT * self.n):
                 break
         return possible
@@ -161,7 +184,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     def search(block: pa.Table, ask: pa.Table) -> pa.Table:
         found = []
         if block.num_rows and ask.num_rows:
-            width = max(1, *(len(v) for t in (block, ask) for v in t.column("v").to_pylist()))
+            width = max(1, *(pc.max(pc.list_value_length(t.column("v"))).as_py() for t in (block, ask)))
             ids, asking = block.column("vec_id").to_numpy(), ask.column("vec_id").to_numpy()
             found = search_block(ids, _matrix(block.column("v"), width), asking, _matrix(ask.column("v"), width), k)
         columns = list(zip(*found)) or [[], [], []]

@@ -100,3 +100,38 @@ def test_scores_beyond_a_long(spark):
             want += [(q, r + 1, i, -s) for r, (s, i) in enumerate(best)]
     got = result(spark, rows)
     assert got == sorted(want) and max(r[3] for r in got) == 2**63 - 1
+
+
+def test_bounds_after_any_share_of_the_segments():
+    """What a query has processed of a dimension is one run of postings; no vector scores more than its bound."""
+    rng = np.random.default_rng(3)
+    values = np.floor(rng.normal(0, 60, (300, 7))).astype(np.int64)
+    values[:, 3] = 5
+    index = topk_search.ImpactIndex(values)
+    for query in (*values[:5], np.array([3, 0, -7, 0, 1, -1, 0])):
+        q = query[index.dims]
+        impact = np.maximum(q * (index.levels * topk_search.STEP), q * (index.levels * topk_search.STEP + topk_search.STEP - 1))
+        order = np.argsort(-impact, kind="stable")
+        for end in (0, 1, len(order) // 2, len(order) - 1, len(order)):
+            # Vector by vector: the impact of its segments that are processed, and the largest that is left where none is.
+            table = {(d, level): i for d, level, i in zip(index.dims[order[:end]], index.levels[order[:end]], impact[order[:end]])}
+            rest = {}
+            for d, i in zip(index.dims[order[end:]], impact[order[end:]]):
+                rest.setdefault(d, i)
+            want = [sum(table.get((d, x // topk_search.STEP), rest.get(d)) for d, x in enumerate(v)) for v in values]
+            got = index.bounds(query, impact, order, end)
+            assert np.allclose(got, want) and (got >= values @ query - 1e-6).all()
+
+
+def test_search_of_blocks_equals_all_products(monkeypatch):
+    rng = np.random.default_rng(4)
+    for leads, left, size in ((1, 0.02, 20), (8, 0.25, 300), (128, 0.02, 100_000)):
+        monkeypatch.setattr(topk_search, "LEADS", leads)
+        monkeypatch.setattr(topk_search, "LEFT", left)
+        for n in (1, 4, 60, 300):
+            values = np.floor(rng.normal(0, size, (n, 6))).astype(np.int64)
+            values[n // 2 :: 3] = values[0]
+            ids, queries = rng.integers(0, 2 * n, n), np.concatenate([values[:6], np.zeros((1, 6), np.int64)])
+            own = np.append(ids[:6], 7)
+            want = [(int(o), i, -s) for o, x in zip(own, queries) for s, i in sorted((-int(y @ x), int(j)) for y, j in zip(values, ids) if j != o)[:5]]
+            assert [tuple(map(int, r)) for r in topk_search.search_block(ids, values, own, queries, 5)] == want
